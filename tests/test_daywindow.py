@@ -1,0 +1,75 @@
+from datetime import date, datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import at
+from visitmart.functions.daywindow import DayWindow, resolve_window, shifted_day, utc_ntz
+
+NOW = datetime(2024, 3, 1, 15, 30)  # 00:30 on 2 March in shifted time
+
+
+def test_default_window_is_yesterday_in_shifted_time():
+    window = resolve_window(NOW)
+    assert (window.lo, window.hi) == (datetime(2024, 3, 1), datetime(2024, 3, 2))
+    assert resolve_window(datetime(2024, 3, 1, 14, 59)).hi == datetime(2024, 3, 1)
+
+
+def test_aware_now_is_taken_as_utc():
+    aware = NOW.replace(tzinfo=timezone.utc)
+    assert resolve_window(aware) == resolve_window(NOW)
+
+
+@pytest.mark.parametrize("absent", [None, "", "''", " "])
+def test_bounds_replace_each_end_alone(absent):
+    assert resolve_window(NOW, "2024-02-01", absent) == DayWindow(datetime(2024, 2, 1), datetime(2024, 3, 2))
+    window = resolve_window(NOW, absent, "2024-03-01 12:00:00")
+    assert window == DayWindow(datetime(2024, 3, 1), datetime(2024, 3, 1, 12))
+
+
+def test_full_refresh_moves_the_start_only():
+    window = resolve_window(NOW, "2024-02-01", "2024-02-05", full_refresh=True)
+    assert window == DayWindow(datetime(1999, 1, 1), datetime(2024, 2, 5))
+
+
+def test_bad_bounds():
+    with pytest.raises(ValueError):
+        resolve_window(NOW, "2024-03-05")
+    with pytest.raises(ValueError):
+        resolve_window(NOW, "2024-02-01T00:00:00+09:00")
+
+
+def test_days_of_a_window():
+    window = DayWindow(datetime(2024, 1, 1), datetime(2024, 1, 3))
+    assert (window.first_day, window.last_day, window.whole_days) == (date(2024, 1, 1), date(2024, 1, 2), True)
+    window = DayWindow(datetime(2024, 1, 1, 6), datetime(2024, 1, 3, 1))
+    assert (window.first_day, window.last_day, window.whole_days) == (date(2024, 1, 1), date(2024, 1, 3), False)
+
+
+STAMPS = ["2024-01-01 14:59:59", "2024-01-01 15:00:00", "2024-01-02 14:59:59.999999", "2024-01-02 15:00:00"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Seoul", "America/Sao_Paulo"])
+def test_day_edge_and_window_edge_in_any_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(text,) for text in STAMPS], "text string").select(
+            F.col("text").cast("timestamp_ntz").alias("ts"),
+            F.concat("text", F.lit("+00:00")).cast("timestamp").alias("instant"),
+        )
+        window = DayWindow(datetime(2024, 1, 2), datetime(2024, 1, 3))
+        found = frame.select(
+            "ts",
+            shifted_day(F.col("ts")).alias("day"),
+            utc_ntz(F.col("instant")).alias("same"),
+            window.covers(F.col("ts")).alias("inside"),
+            window.covers(F.col("instant"), zoned=True).alias("zoned_inside"),
+        )
+        assert found.schema["day"].dataType.simpleString() == "timestamp_ntz"
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [row.day for row in rows] == [at("2024-01-01"), at("2024-01-02"), at("2024-01-02"), at("2024-01-03")]
+    assert [row.inside for row in rows] == [False, True, True, False]
+    assert [row.zoned_inside for row in rows] == [False, True, True, False]
+    assert all(row.same == row.ts for row in rows)

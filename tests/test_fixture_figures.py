@@ -1,0 +1,130 @@
+"""The figures of FIXTURES.md, from the mapping given there, in Spark and in DuckDB."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from check import comparable, duck
+from conftest import SF
+from visitmart import sample
+from visitmart.oracle import track_statements
+from visitmart.plans import visits
+from visitmart.sources.tables import parquet_table
+from visitmart.sources.tracks import TrackRule, split_log, stack_tracks
+
+TRACKS = """
+log AS (SELECT nullif(user_id, 7) AS anonymous_id, * FROM events),
+web_tracks AS (SELECT anonymous_id, ts AS received_at, event_type AS event FROM log
+  WHERE event_type = 'view' AND user_id % 3 <> 0),
+click_tracks AS (SELECT anonymous_id, ts AS received_at, event_type AS event FROM log
+  WHERE (event_type = 'click' OR (event_type = 'view' AND event_id % 2 = 0)) AND user_id % 3 <> 0),
+aos_tracks AS (SELECT anonymous_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS received_at, event_type AS event
+  FROM log WHERE event_type = 'purchase' AND user_id % 4 <> 0),
+ios_tracks AS (SELECT anonymous_id, ts AS received_at, event_type AS event FROM log
+  WHERE event_type = 'signup' AND user_id % 5 <> 0)"""
+
+
+def fixture_tracks(spark, window=None):
+    kind, user = F.col("event_type"), F.col("user_id")
+    rules = {
+        "web": TrackRule((kind == "view") & (user % 3 != 0), F.col("ts")),
+        "click": TrackRule(
+            ((kind == "click") | ((kind == "view") & (F.col("event_id") % 2 == 0))) & (user % 3 != 0), F.col("ts")
+        ),
+        "aos": TrackRule(
+            (kind == "purchase") & (user % 4 != 0), F.date_trunc("hour", "ts").cast("timestamp_ntz")
+        ),
+        "ios": TrackRule((kind == "signup") & (user % 5 != 0), F.col("ts")),
+    }
+    import datetime
+
+    return split_log(
+        parquet_table(spark, SF, "events"),
+        rules,
+        user=F.nullif(user, F.lit(7)),
+        event=kind,
+        stamp="ts",
+        slack=datetime.timedelta(hours=1),
+        window=window,
+    )
+
+
+PLANS = {
+    "user_visits_asis_distinct": visits.user_visits_asis_distinct,
+    "user_visits_asis": visits.user_visits_asis,
+    "user_visits": visits.user_visits,
+    "visits_by_stamp": visits.visits_by_stamp,
+    "visits_by_stamp_dedup": visits.visits_by_stamp_dedup,
+    "daily_visits": visits.daily_visits,
+    "daily_visits_window": visits.daily_visits,
+    "having_min_events": lambda rows: visits.daily_visits(rows, min_events=2),
+}
+
+# rows, NULL users, NULL totals, web / aos / ios events, total events
+FIGURES = {
+    "user_visits_asis_distinct": (179, 80, 120, 2644, 1504, 1617, 3171),
+    "user_visits_asis": (179, 80, 120, 3298, 1504, 1617, 3548),
+    "user_visits": (149, 3, 0, 3298, 1504, 1617, 6419),
+    "visits_by_stamp": (5685, 0, 0, 6349, 6349, 6349, 5685),
+    "visits_by_stamp_dedup": (5749, 64, 0, 6403, 6403, 6403, 5749),
+    "daily_visits": (3075, 0, 0, 3259, 1489, 1601, 6349),
+    "daily_visits_window": (102, 0, 0, 93, 52, 67, 212),
+}
+
+
+def result(spark, name):
+    return PLANS[name](fixture_tracks(spark, sample.WINDOW if name == "daily_visits_window" else None))
+
+
+@pytest.mark.parametrize("name", FIGURES)
+def test_figures(spark, name):
+    found = result(spark, name).agg(
+        F.count("*"),
+        F.count_if(F.col("anonymous_id").isNull()),
+        F.count_if(F.col("total_event").isNull()),
+        *[F.sum(f"{platform}_event") for platform in ("web", "aos", "ios", "total")],
+    )
+    assert tuple(found.first()) == FIGURES[name]
+
+
+@pytest.mark.parametrize("name", PLANS)
+def test_same_values_as_sql(spark, name):
+    frame = result(spark, name)
+    answer = duck(SF).execute(track_statements(TRACKS)[name])
+    names = [column[0] for column in answer.description]
+    expected = comparable(names, answer.fetchall())
+    assert comparable(frame.columns, [tuple(row) for row in frame.collect()]) == expected
+
+
+def test_one_scan_gives_the_rows_of_the_source_tables(spark):
+    split = sample.tracks(spark, SF)
+    stacked = stack_tracks(sample.track_tables(spark, SF))
+    assert split.exceptAll(stacked.select(split.columns)).count() == 0
+    assert stacked.count() == split.count()
+    split = sample.tracks(spark, SF, sample.WINDOW)
+    stacked = stack_tracks(sample.track_tables(spark, SF), sample.WINDOW)
+    assert split.exceptAll(stacked.select(split.columns)).count() == 0
+    assert stacked.count() == split.count() > 0
+
+
+def test_daily_invariants(spark):
+    rows = sample.tracks(spark, SF)
+    daily = visits.daily_visits(rows)
+    known = rows.where("anonymous_id IS NOT NULL").count()
+    assert daily.agg(F.sum("total_event")).first()[0] == known
+    assert daily.count() == daily.select("anonymous_id", "event_at").distinct().count()
+
+
+def test_windows_put_together_are_the_whole_run(spark):
+    from datetime import datetime, timedelta
+
+    from visitmart.functions.daywindow import DayWindow
+
+    whole = visits.daily_visits(sample.tracks(spark, SF))
+    cuts = [datetime(2023, 12, 31), datetime(2024, 1, 9), datetime(2024, 1, 10), datetime(2024, 2, 2)]
+    parts = None
+    for lo, hi in zip(cuts, cuts[1:]):
+        part = visits.daily_visits(sample.tracks(spark, SF, DayWindow(lo, hi)))
+        parts = part if parts is None else parts.unionByName(part)
+    assert parts.count() == whole.count()
+    assert whole.exceptAll(parts).count() == 0
+    assert cuts[0] + timedelta(days=1) <= whole.agg(F.min("event_at")).first()[0]

@@ -1,0 +1,70 @@
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF, at, rows_of
+from visitmart import sample
+from visitmart.jobs import daily_visits, outreach
+from visitmart.plans.visits import daily_visits as daily_plan
+from visitmart.session import scratch_table
+from visitmart.sinks.window import DAY_COLUMN
+
+
+@pytest.fixture(scope="module")
+def sources(spark):
+    names = {}
+    for source, table in sample.track_tables(spark, SF).items():
+        names[source] = scratch_table(spark, source)
+        table.frame.write.saveAsTable(names[source])
+    return [argument for source, name in names.items() for argument in (f"--{source}", name)]
+
+
+def run(spark, sources, mart, now, *more):
+    return daily_visits.run(spark, daily_visits.arguments([*sources, "--mart", mart, *more]), now)
+
+
+def test_runs_day_by_day_equal_a_full_refresh(spark, sources):
+    whole, daily = scratch_table(spark, "whole"), scratch_table(spark, "daily")
+    run(spark, sources, whole, datetime(2024, 1, 4, 0), "--full-refresh")
+    for day in (1, 2, 3, 4):
+        run(spark, sources, daily, datetime(2024, 1, day, 0))
+    expected = daily_plan(sample.tracks(spark, SF)).where(F.col("event_at") < at("2024-01-04"))
+    assert rows_of(spark.table(whole).drop(DAY_COLUMN)) == rows_of(expected)
+    assert rows_of(spark.table(daily).drop(DAY_COLUMN)) == rows_of(expected)
+
+    run(spark, sources, daily, datetime(2024, 6, 1), "--start-at", "2024-01-02", "--end-at", "2024-01-03")
+    assert rows_of(spark.table(daily).drop(DAY_COLUMN)) == rows_of(expected)
+
+    run(spark, sources, daily, datetime(2024, 1, 3, 0), "--full-refresh")
+    kept = expected.where(F.col("event_at") < at("2024-01-03"))
+    assert rows_of(spark.table(daily).drop(DAY_COLUMN)) == rows_of(kept)
+
+
+def test_a_source_is_needed():
+    with pytest.raises(SystemExit):
+        daily_visits.arguments(["--mart", "m"])
+
+
+def test_outreach_job(spark):
+    boxes, pipelines, target, parsed, rejects = [
+        scratch_table(spark, name) for name in ("boxes", "pipelines", "ods", "parsed", "rejects")
+    ]
+    sample.boxes(spark, SF).withColumn("pipelineid", F.col("pipelineid").cast("string")).write.saveAsTable(boxes)
+    sample.pipelines(spark, SF).withColumn("id", F.col("id").cast("string")).write.saveAsTable(pipelines)
+    common = ["--boxes", boxes, "--pipeline-id", "2"]
+    now = datetime(2024, 1, 1, 20, 0, tzinfo=timezone.utc)
+    for _ in range(2):
+        outreach.run(
+            spark,
+            outreach.arguments([*common, "--pipelines", pipelines, "--target", target, "--rejects", rejects]),
+            now,
+        )
+        outreach.run(spark, outreach.arguments([*common, "--target", parsed]), now)
+    rows = sample.boxes(spark, SF).where("pipelineid = 2").count()
+    assert spark.table(target).count() == spark.table(parsed).count() == rows > 0
+    assert spark.table(target).select("batched_at").distinct().collect()[0][0] == datetime(2024, 1, 2, 5, 0)
+    assert spark.table(parsed).columns == [
+        "rep_name", "category_id", "stage_type_id", "is_flagged", "leadsource_id", "created_at"
+    ]
+    assert spark.table(rejects).count() > 0

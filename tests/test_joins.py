@@ -1,0 +1,41 @@
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import rows_of
+from visitmart.operators.joins import full_outer_chain
+
+
+def side(spark, keys, name):
+    return spark.createDataFrame([(key, at) for at, key in enumerate(keys)], f"k int, {name} int")
+
+
+def plain(first, second, third):
+    """The same joins as plain Spark joins."""
+    second, third = second.withColumnRenamed("k", "k2"), third.withColumnRenamed("k", "k3")
+    joined = first.join(second, F.col("k") == F.col("k2"), "full_outer")
+    return joined.join(third, F.col("k") == F.col("k3"), "full_outer").drop("k2", "k3")
+
+
+def test_chain_equals_plain_joins(spark):
+    rng = random.Random(1)
+    for _ in range(5):
+        sides = [
+            side(spark, rng.sample(range(12), rng.randint(0, 9)) + ([None] if rng.random() < 0.7 else []), name)
+            for name in ("a", "b", "c")
+        ]
+        assert rows_of(full_outer_chain(sides[0], sides[1:], "k")) == rows_of(plain(*sides))
+
+
+def test_rows_without_a_key_do_not_meet_in_one_task(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        first = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("a"))
+        second = spark.range(10, 20000).select(F.col("id").alias("k"), F.col("id").alias("b"))
+        third = spark.range(5, 20).select(F.col("id").alias("k"), F.col("id").alias("c"))
+        joined = full_outer_chain(first, [second, third], "k")
+        sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 10 + 19990 + 10
+        assert max(sizes) < 6000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -1,0 +1,188 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import at, rows_of
+from visitmart.functions.daywindow import DayWindow
+from visitmart.plans import visits
+from visitmart.sources.tracks import TrackTable, stack_tracks
+
+SCHEMA = "anonymous_id string, received_at timestamp_ntz, timestamp timestamp_ntz, event string"
+
+
+def tracks(spark, rows, window=None):
+    """Track rows out of (source, user, stamp, event[, day stamp])."""
+    tables = {}
+    for source in ("web", "click", "aos", "ios"):
+        mine = [
+            (user, at(stamp), at(rest[0] if rest else stamp), event)
+            for name, user, stamp, event, *rest in rows
+            if name == source
+        ]
+        tables[source] = TrackTable(spark.createDataFrame(mine, SCHEMA))
+    return stack_tracks(tables, window)
+
+
+T1, T2, T3 = "2024-01-01 01:00:00", "2024-01-01 02:00:00", "2024-01-02 20:00:00"
+
+ONE_PLATFORM = [
+    ("web", "u1", T2, "a"),
+    ("web", "u1", T1, "b"),
+    ("aos", "u2", T1, "a"),
+    ("ios", "u3", T1, "a"),
+    ("aos", "u4", T2, "a"),
+    ("ios", "u4", T1, "a"),
+]
+NULL_USER = [("web", None, T1, "a"), ("aos", None, T2, "a"), ("ios", None, T3, "a")]
+
+
+def test_asis_join_keeps_only_web_keys(spark):
+    found = rows_of(visits.user_visits_asis(tracks(spark, ONE_PLATFORM)))
+    assert found == [
+        ("u1", at(T1), 1, 2, 0, 0, 0, 0, 1, None),
+        (None, None, 0, 0, 0, 0, 1, 1, 1, None),
+        (None, None, 0, 0, 0, 0, 1, 1, 1, None),
+        (None, None, 0, 0, 1, 1, 0, 0, 1, None),
+        (None, None, 0, 0, 1, 1, 0, 0, 1, None),
+    ]
+
+
+def test_corrected_totals_have_one_row_per_user(spark):
+    found = rows_of(visits.user_visits(tracks(spark, ONE_PLATFORM)))
+    assert found == [
+        ("u1", at(T1), 1, 2, 0, 0, 0, 0, 1, 2),
+        ("u2", at(T1), 0, 0, 1, 1, 0, 0, 1, 1),
+        ("u3", at(T1), 0, 0, 0, 0, 1, 1, 1, 1),
+        ("u4", at(T1), 0, 0, 1, 1, 1, 1, 2, 2),
+    ]
+
+
+def test_user_on_all_platforms_has_a_total(spark):
+    rows = [("web", "u", T2, "a"), ("click", "u", T1, "b"), ("aos", "u", T3, "a"), ("ios", "u", T1, "a")]
+    expected = [("u", at(T1), 1, 2, 1, 1, 1, 1, 3, 4)]
+    assert rows_of(visits.user_visits_asis(tracks(spark, rows))) == expected
+    assert rows_of(visits.user_visits_asis_distinct(tracks(spark, rows))) == expected
+
+
+def test_null_user_is_one_row_per_platform(spark):
+    for plan in (visits.user_visits_asis, visits.user_visits_asis_distinct, visits.user_visits):
+        found = rows_of(plan(tracks(spark, NULL_USER)))
+        assert len(found) == 3
+        assert all(row[0] is None and row[8] == 1 for row in found)
+    assert visits.visits_by_stamp_dedup(tracks(spark, NULL_USER)).count() == 3
+    for plan in (visits.visits_by_stamp, visits.daily_visits):
+        assert plan(tracks(spark, NULL_USER)).count() == 0
+
+
+def test_copies_in_the_web_sources_count_once_or_twice(spark):
+    rows = [("web", "u", T1, "a"), ("click", "u", T1, "a"), ("aos", "u", T1, "a"), ("aos", "u", T1, "a")]
+    assert rows_of(visits.user_visits_asis_distinct(tracks(spark, rows)))[0][3:6] == (1, 1, 2)
+    assert rows_of(visits.user_visits_asis(tracks(spark, rows)))[0][3:6] == (2, 1, 2)
+
+
+def test_events_without_a_name_are_a_visit_without_events(spark):
+    rows = [("web", "u", T1, None), ("click", "u", T1, None), ("aos", "u", T1, None)]
+    for plan in (visits.user_visits_asis, visits.user_visits_asis_distinct, visits.user_visits):
+        assert rows_of(plan(tracks(spark, rows)))[0][2:6] == (1, 0, 1, 0)
+
+
+def test_stamps_count_rows_and_platforms(spark):
+    rows = [("web", "u", T1, "a"), ("click", "u", T1, "a"), ("aos", "u", T1, "a"), ("aos", "u", T1, "a")]
+    assert rows_of(visits.visits_by_stamp(tracks(spark, rows))) == [("u", at(T1), 1, 4, 1, 4, 0, 4, 1, 2)]
+    assert rows_of(visits.visits_by_stamp_dedup(tracks(spark, rows))) == [("u", at(T1), 1, 3, 1, 3, 0, 3, 1, 2)]
+
+
+def test_daily_counts_and_day_edge(spark):
+    rows = [
+        ("web", "u", "2024-01-01 14:59:59", "a"),
+        ("click", "u", "2024-01-01 00:00:00", "a"),
+        ("ios", "u", "2024-01-01 15:00:00", "a"),
+    ]
+    assert rows_of(visits.daily_visits(tracks(spark, rows))) == [
+        ("u", at("2024-01-01"), 1, 2, 0, 0, 0, 0, 1, 2),
+        ("u", at("2024-01-02"), 0, 0, 0, 0, 1, 1, 1, 1),
+    ]
+
+
+def test_day_comes_from_its_own_column(spark):
+    rows = [("web", "u", "2024-01-05 00:00:00", "a", "2024-01-01 00:00:00")]
+    assert rows_of(visits.daily_visits(tracks(spark, rows)))[0][1] == at("2024-01-01")
+    assert rows_of(visits.visits_by_stamp(tracks(spark, rows)))[0][1] == at("2024-01-05")
+
+
+def test_window_is_half_open(spark):
+    window = DayWindow(datetime(2024, 1, 2), datetime(2024, 1, 3))
+    rows = [("web", "lo", "2024-01-01 15:00:00", "a"), ("web", "hi", "2024-01-02 15:00:00", "a")]
+    assert [row[0] for row in rows_of(visits.daily_visits(tracks(spark, rows, window)))] == ["lo"]
+
+
+def test_threshold_is_per_source(spark):
+    rows = [("web", "u", T1, "a"), ("click", "u", T1, "a"), ("aos", "u", T1, "a"), ("aos", "u", T2, "a")]
+    rows += [("ios", "v", T1, "a")]
+    assert rows_of(visits.daily_visits(tracks(spark, rows), min_events=2)) == [
+        ("u", at("2024-01-01"), 0, 0, 1, 2, 0, 0, 1, 2)
+    ]
+
+
+def test_other_shift(spark):
+    rows = [("web", "u", "2024-01-01 23:30:00", "a")]
+    assert rows_of(visits.daily_visits(tracks(spark, rows), shift_hours=0))[0][1] == at("2024-01-01")
+    assert rows_of(visits.daily_visits(tracks(spark, rows), shift_hours=1))[0][1] == at("2024-01-02")
+
+
+def test_empty_input(spark):
+    for plan in (
+        visits.user_visits_asis_distinct,
+        visits.user_visits_asis,
+        visits.user_visits,
+        visits.visits_by_stamp,
+        visits.visits_by_stamp_dedup,
+        visits.daily_visits,
+    ):
+        assert plan(tracks(spark, [])).count() == 0
+
+
+def test_zoned_columns_are_read_as_utc(spark):
+    frame = spark.sql(
+        "SELECT 'u' AS anonymous_id, timestamp'2024-01-01 15:00:00+00:00' AS timestamp,"
+        " timestamp'2024-01-01 15:00:00+00:00' AS received_at, 'a' AS event"
+    )
+    window = DayWindow(datetime(2024, 1, 2), datetime(2024, 1, 3))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+    try:
+        found = rows_of(visits.daily_visits(stack_tracks({"web": TrackTable(frame)}, window)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found[0][1] == at("2024-01-02")
+
+
+def test_unknown_source(spark):
+    frame = spark.createDataFrame([], SCHEMA)
+    with pytest.raises(ValueError):
+        stack_tracks({"tv": TrackTable(frame)})
+
+
+def test_output_types(spark):
+    types = dict(visits.daily_visits(tracks(spark, ONE_PLATFORM)).dtypes)
+    assert types["event_at"] == "timestamp_ntz"
+    assert {types[f"{p}_visit"] for p in ("web", "aos", "ios", "total")} == {"int"}
+    assert {types[f"{p}_event"] for p in ("web", "aos", "ios", "total")} == {"bigint"}
+    types = dict(visits.visits_by_stamp(tracks(spark, ONE_PLATFORM)).dtypes)
+    assert (types["web_event"], types["total_visit"], types["total_event"]) == ("bigint", "int", "int")
+
+
+def test_hot_user_is_counted_whole(spark):
+    """A third of all rows on one user, and as many copies of one row."""
+    hot = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id"))).alias("anonymous_id"),
+        F.lit(T1).cast("timestamp_ntz").alias("received_at"),
+        F.lit(T1).cast("timestamp_ntz").alias("timestamp"),
+        F.lit("a").alias("event"),
+    )
+    rows = stack_tracks({"web": TrackTable(hot), "aos": TrackTable(hot)})
+    found = {row.anonymous_id: row for row in visits.user_visits(rows).where("web_event > 1").collect()}
+    assert found.keys() == {"hot"} and found["hot"].total_event == 20000
+    found = visits.user_visits_asis_distinct(rows).where("anonymous_id = 'hot'").first()
+    assert (found.web_event, found.aos_event) == (1, 10000)
+    assert visits.user_visits(rows).agg(F.sum("total_event")).first()[0] == 60000

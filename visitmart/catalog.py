@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from visitmart import sample
 from visitmart.functions.daywindow import DayWindow
+from visitmart.operators.joins import full_outer_chain
 from visitmart.operators.profile import column_domains, null_counts, row_counts
 from visitmart.plans import outreach, visits
 from visitmart.session import scratch_path, scratch_table
 from visitmart.sinks.load import truncate_load
 from visitmart.sinks.window import DAY_COLUMN, create_mart, replace_window
 from visitmart.sources.query import SqlFrames, sql_over_frames
-from visitmart.sources.tables import named_table
+from visitmart.sources.tables import named_table, parquet_table
 from visitmart.sources.tracks import stack_tracks
 
 STAGES_SQL = """
@@ -35,8 +36,18 @@ def scan_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stack_tracks(sample.track_tables(spark, sf_dir))
 
 
-def full_outer_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visits.platform_chain(sample.tracks(spark, sf_dir))
+def full_outer_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per person in three tables, joined on the first table's key."""
+
+    def per_person(table: str, key: str, count: str, *more) -> DataFrame:
+        rows = parquet_table(spark, sf_dir, table).groupBy(F.col(key).alias("person"))
+        return rows.agg(F.count("*").alias(count), *more)
+
+    return full_outer_chain(
+        per_person("events", "user_id", "events", F.min("ts").alias("first_at")),
+        [per_person("orders", "o_custkey", "orders"), per_person("customer", "c_custkey", "accounts")],
+        "person",
+    )
 
 
 def stages_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_visits_asis_distinct": lambda spark, sf: visits.user_visits_asis_distinct(sample.tracks(spark, sf)),
     "user_visits_asis": lambda spark, sf: visits.user_visits_asis(sample.tracks(spark, sf)),
     "user_visits": lambda spark, sf: visits.user_visits(sample.tracks(spark, sf)),
-    "full_outer_chain": full_outer_chain,
+    "full_outer_chain": full_outer_join_chain,
     "visits_by_stamp": lambda spark, sf: visits.visits_by_stamp(sample.tracks(spark, sf)),
     "visits_by_stamp_dedup": lambda spark, sf: visits.visits_by_stamp_dedup(sample.tracks(spark, sf)),
     "daily_visits": lambda spark, sf: visits.daily_visits(sample.tracks(spark, sf)),

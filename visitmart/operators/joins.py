@@ -13,16 +13,18 @@ _SALT = "__salt"
 def single_key_join(facts: DataFrame, facts_key: str, lookup: DataFrame, lookup_key: str, value) -> DataFrame:
     """Inner join of the rows that carry one key value on both sides.
 
-    All rows share the key, so a shuffle join on it alone would run in one task. A salt
-    out of the fact columns is part of the join key and the few lookup rows are repeated
-    per salt. Spark may still broadcast the lookup side by its own size check.
+    All rows share the key, so a shuffle join on it alone would run in one task. The
+    fact rows' input partition is part of the join key and the few lookup rows are
+    repeated for each of its values, which also spreads copies of one row. Spark may
+    still broadcast the lookup side by its own size check.
     """
-    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = facts.where(F.col(facts_key) == value)
-    # A hash of the row, not a random number: a re-run task must give the same salt.
-    left = left.withColumn(_SALT, F.pmod(F.xxhash64(*facts.columns), F.lit(salts)))
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = 1 << (partitions - 1).bit_length()
+    # The partition number, not a random one: a re-run task gives the same salt.
+    salt = F.spark_partition_id().bitwiseAND(F.lit(salts - 1))
+    left = facts.where(F.col(facts_key) == value).withColumn(_SALT, salt)
     right = lookup.where(F.col(lookup_key) == value)
-    right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     match = (left[facts_key] == right[lookup_key]) & (left[_SALT] == right[_SALT])
     return left.join(right, match, "inner").drop(left[_SALT]).drop(right[_SALT])
 
@@ -30,21 +32,27 @@ def single_key_join(facts: DataFrame, facts_key: str, lookup: DataFrame, lookup_
 def full_outer_chain(first: DataFrame, others: Sequence[DataFrame], key: str) -> DataFrame:
     """Full outer joins of the other frames, one after the other, all on the first frame's key.
 
-    Each frame has at most one row per key. The result's key is the first frame's: rows
-    without a partner there have a NULL key and stay apart. From the second join on,
-    those NULL keys may be most of the rows and would all meet in one task; as they
-    match nothing, a hash of the row spreads them.
+    Each frame has one row per key, as a GROUP BY gives. The result's key is the first
+    frame's: rows without a partner there have a NULL key and stay apart. From the
+    second join on, those NULL keys may be most of the rows and would all meet in one
+    task; as they match nothing, a hash of the row spreads them.
     """
     joined = first
     for at, other in enumerate(others):
         taken = f"__key_{at}"
-        right = other.withColumnRenamed(key, taken)
-        if at == 0:
-            joined = joined.join(right, F.col(key) == F.col(taken), "full_outer")
-            continue
-        columns = joined.columns
-        left = joined.withColumn("__left", F.when(F.col(key).isNull(), F.xxhash64(*columns)).otherwise(F.lit(0)))
-        right = right.withColumn("__right", F.lit(0).cast("bigint"))
-        match = (F.col(key) == F.col(taken)) & (F.col("__left") == F.col("__right"))
-        joined = left.join(right, match, "full_outer").drop("__left", "__right")
-    return joined.drop(*[f"__key_{at}" for at in range(len(others))])
+        left, right = joined, other.withColumnRenamed(key, taken)
+        match = F.col(key) == F.col(taken)
+        if at > 0:
+            left, right = _spread_nulls(left, key, "__left"), _spread_nulls(right, taken, "__right")
+            match = match & (F.col("__left") == F.col("__right"))
+        joined = left.join(right, match, "full_outer").drop("__left", "__right", taken)
+    return joined
+
+
+def _spread_nulls(frame: DataFrame, key: str, salt: str) -> DataFrame:
+    """A salt that is 0 for rows with a key, and differs between rows without one.
+
+    The 0 is computed: Catalyst would take a constant out of the join keys.
+    """
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    return frame.withColumn(salt, F.when(F.col(key).isNull(), F.xxhash64(*frame.columns)).otherwise(zero))

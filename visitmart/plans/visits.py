@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from visitmart.functions.daywindow import SHIFT_HOURS, shifted_day
 from visitmart.functions.flags import add_up, nonzero_flag
-from visitmart.operators.joins import full_outer_chain
 from visitmart.sources.tracks import PLATFORMS, SOURCE_PLATFORM, on_platform
 
 
@@ -59,25 +58,6 @@ def user_visits(tracks: DataFrame) -> DataFrame:
     return _user_rows(_user_totals(tracks), merged=True)
 
 
-def platform_totals(tracks: DataFrame, platform: str) -> DataFrame:
-    """First time and number of events of each user on one platform."""
-    return (
-        tracks.where(on_platform(platform))
-        .groupBy("anonymous_id")
-        .agg(F.min("received_at").alias("received_at"), F.count("event").alias(f"{platform}_event"))
-    )
-
-
-def platform_chain(tracks: DataFrame) -> DataFrame:
-    """The platforms' totals joined one after the other on the web key, NULL where absent."""
-    first, *others = PLATFORMS
-    return full_outer_chain(
-        platform_totals(tracks, first),
-        [platform_totals(tracks, platform).drop("received_at") for platform in others],
-        "anonymous_id",
-    )
-
-
 def _platform() -> Column:
     return F.coalesce(*[F.when(on_platform(platform), F.lit(platform)) for platform in PLATFORMS])
 

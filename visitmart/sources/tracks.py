@@ -22,6 +22,8 @@ from visitmart.functions.daywindow import DayWindow, utc_ntz
 # The platforms in output order, and the platform that each source counts for.
 PLATFORMS = ("web", "aos", "ios")
 SOURCE_PLATFORM = {"web": "web", "click": "web", "aos": "aos", "ios": "ios"}
+# The column that decides the day, per source table.
+DAY_STAMP = {"web": "timestamp", "click": "received_at", "aos": "timestamp", "ios": "timestamp"}
 
 
 def on_platform(platform: str) -> Column:
