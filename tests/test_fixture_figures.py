@@ -1,11 +1,14 @@
 """The figures of FIXTURES.md, from the mapping given there, in Spark and in DuckDB."""
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
 from check import comparable, duck
 from conftest import SF
 from visitmart import sample
+from visitmart.functions.daywindow import DayWindow
 from visitmart.oracle import track_statements
 from visitmart.plans import visits
 from visitmart.sources.tables import parquet_table
@@ -23,27 +26,26 @@ ios_tracks AS (SELECT anonymous_id, ts AS received_at, event_type AS event FROM
   WHERE event_type = 'signup' AND user_id % 5 <> 0)"""
 
 
-def fixture_tracks(spark, window=None):
-    kind, user = F.col("event_type"), F.col("user_id")
-    rules = {
-        "web": TrackRule((kind == "view") & (user % 3 != 0), F.col("ts")),
-        "click": TrackRule(
-            ((kind == "click") | ((kind == "view") & (F.col("event_id") % 2 == 0))) & (user % 3 != 0), F.col("ts")
-        ),
-        "aos": TrackRule(
-            (kind == "purchase") & (user % 4 != 0), F.date_trunc("hour", "ts").cast("timestamp_ntz")
-        ),
-        "ios": TrackRule((kind == "signup") & (user % 5 != 0), F.col("ts")),
-    }
-    import datetime
+RULES = {
+    "web": TrackRule("event_type = 'view' AND user_id % 3 <> 0", "ts"),
+    "click": TrackRule(
+        "(event_type = 'click' OR (event_type = 'view' AND event_id % 2 = 0)) AND user_id % 3 <> 0", "ts"
+    ),
+    "aos": TrackRule(
+        "event_type = 'purchase' AND user_id % 4 <> 0", "CAST(date_trunc('hour', ts) AS timestamp_ntz)"
+    ),
+    "ios": TrackRule("event_type = 'signup' AND user_id % 5 <> 0", "ts"),
+}
+
 
+def fixture_tracks(spark, window=None):
     return split_log(
         parquet_table(spark, SF, "events"),
-        rules,
-        user=F.nullif(user, F.lit(7)),
-        event=kind,
+        RULES,
+        user="nullif(user_id, 7)",
+        event="event_type",
         stamp="ts",
-        slack=datetime.timedelta(hours=1),
+        slack=timedelta(hours=1),
         window=window,
     )
 
@@ -115,10 +117,6 @@ def test_daily_invariants(spark):
 
 
 def test_windows_put_together_are_the_whole_run(spark):
-    from datetime import datetime, timedelta
-
-    from visitmart.functions.daywindow import DayWindow
-
     whole = visits.daily_visits(sample.tracks(spark, SF))
     cuts = [datetime(2023, 12, 31), datetime(2024, 1, 9), datetime(2024, 1, 10), datetime(2024, 2, 2)]
     parts = None

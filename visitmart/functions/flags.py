@@ -1,19 +1,15 @@
-"""0/1 flags and null-aware sums as Column expressions."""
+"""0/1 flags and sums as SQL expressions."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def nonzero_flag(count: Column) -> Column:
+def nonzero_flag(count: str) -> str:
     """0 for zero, 1 for anything else; NULL also gives 1, as a decode with a default does."""
-    return F.when(count == 0, 0).otherwise(1)
+    return f"CASE WHEN {count} = 0 THEN 0 ELSE 1 END"
 
 
-def add_up(columns: list[Column]) -> Column:
+def add_up(terms: Iterable[str]) -> str:
     """Plain sum: NULL as soon as one term is NULL."""
-    return reduce(add, columns)
+    return "(" + " + ".join(terms) + ")"

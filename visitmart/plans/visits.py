@@ -6,12 +6,29 @@ aggregate once. The aggregate's map-side step shrinks hot users before the shuff
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.functions.daywindow import SHIFT_HOURS, shifted_day
 from visitmart.functions.flags import add_up, nonzero_flag
-from visitmart.sources.tracks import PLATFORMS, SOURCE_PLATFORM, on_platform
+from visitmart.sources.tracks import PLATFORMS, SOURCE_PLATFORM, on_platform, platform_of
+
+# Columns and conditions below are SQL text over the track columns.
+
+
+def _aggregate(groups, columns: Iterable[str]) -> DataFrame:
+    return groups.agg(*[F.expr(column) for column in columns])
+
+
+def _by_platform(visits: dict[str, str], counts: dict[str, str]) -> list[str]:
+    """Output columns in order: visit flag and event count of each platform."""
+    return [
+        column
+        for platform in PLATFORMS
+        for column in (f"{visits[platform]} AS {platform}_visit", f"{counts[platform]} AS {platform}_event")
+    ]
 
 
 # --- per user --------------------------------------------------------------------
@@ -31,20 +48,22 @@ def user_visits_asis_distinct(tracks: DataFrame) -> DataFrame:
     web = on_platform("web")
     # Web rows meet their copies here. Rows of other platforms carry no time and no
     # event in the key, so they shrink to one row per user before the shuffle.
-    unique = tracks.groupBy(
+    copies = tracks.groupBy(
         "anonymous_id",
-        _platform().alias("platform"),
-        F.when(web, F.col("received_at")).alias("web_at"),
-        F.when(web, F.col("event")).alias("web_event_name"),
-    ).agg(F.min("received_at").alias("received_at"), F.count("event").alias("events"))
-    web = F.col("platform") == "web"
-    events = F.when(web, F.when(F.col("events") > 0, 1).otherwise(0)).otherwise(F.col("events"))
-    totals = unique.groupBy("anonymous_id").agg(
-        *[
+        F.expr(f"{platform_of()} AS platform"),
+        F.expr(f"CASE WHEN {web} THEN received_at END AS web_at"),
+        F.expr(f"CASE WHEN {web} THEN event END AS web_event"),
+    )
+    unique = _aggregate(copies, ["min(received_at) AS received_at", "count(event) AS events"])
+    counts = {platform: f"CASE WHEN platform = '{platform}' THEN events END" for platform in PLATFORMS}
+    counts["web"] = "CASE WHEN platform = 'web' THEN least(events, 1) END"
+    totals = _aggregate(
+        unique.groupBy("anonymous_id"),
+        [
             column
             for platform in PLATFORMS
-            for column in _totals_of(platform, F.col("platform") == platform, lambda on: F.sum(F.when(on, events)))
-        ]
+            for column in _platform_total(platform, f"platform = '{platform}'", f"sum({counts[platform]})")
+        ],
     )
     return _user_rows(totals, merged=False)
 
@@ -58,27 +77,21 @@ def user_visits(tracks: DataFrame) -> DataFrame:
     return _user_rows(_user_totals(tracks), merged=True)
 
 
-def _platform() -> Column:
-    return F.coalesce(*[F.when(on_platform(platform), F.lit(platform)) for platform in PLATFORMS])
-
-
-def _totals_of(platform: str, on: Column, count) -> list[Column]:
+def _platform_total(platform: str, on: str, count: str) -> list[str]:
     """Was the user there, since when, and with how many events."""
     return [
-        F.bool_or(on).alias(f"on_{platform}"),
-        F.min(F.when(on, F.col("received_at"))).alias(f"{platform}_at"),
-        count(on).alias(f"{platform}_event"),
+        f"bool_or({on}) AS on_{platform}",
+        f"min(CASE WHEN {on} THEN received_at END) AS {platform}_at",
+        f"{count} AS {platform}_event",
     ]
 
 
 def _user_totals(tracks: DataFrame) -> DataFrame:
-    return tracks.groupBy("anonymous_id").agg(
-        *[
-            column
-            for platform in PLATFORMS
-            for column in _totals_of(platform, on_platform(platform), lambda on: F.count(F.when(on, F.col("event"))))
-        ]
-    )
+    columns = []
+    for platform in PLATFORMS:
+        on = on_platform(platform)
+        columns += _platform_total(platform, on, f"count(CASE WHEN {on} THEN event END)")
+    return _aggregate(tracks.groupBy("anonymous_id"), columns)
 
 
 def _user_rows(totals: DataFrame, *, merged: bool) -> DataFrame:
@@ -88,36 +101,31 @@ def _user_rows(totals: DataFrame, *, merged: bool) -> DataFrame:
     join finds partners, a single platform where it does not. ``merged`` joins on
     whichever key is present; otherwise only users seen on the web have partners.
     """
-    partners = F.col("anonymous_id").isNotNull() if merged else F.col("anonymous_id").isNotNull() & F.col("on_web")
-    together = F.struct(*[F.col(f"on_{platform}").alias(platform) for platform in PLATFORMS])
-    alone = [
-        F.when(
-            ~partners & F.col(f"on_{platform}"),
-            F.struct(*[F.lit(other == platform).alias(other) for other in PLATFORMS]),
-        )
-        for platform in PLATFORMS
-    ]
-    rows = totals.withColumn("seen", F.explode(F.array(F.when(partners, together), *alone)))
-    rows = rows.where(F.col("seen").isNotNull())
-
-    seen = {platform: F.col(f"seen.{platform}") for platform in PLATFORMS}
-    visits = {platform: seen[platform].cast("int") for platform in PLATFORMS}
-    events = {platform: F.when(seen[platform], F.col(f"{platform}_event")) for platform in PLATFORMS}
-    counts = {platform: F.coalesce(events[platform], F.lit(0)) for platform in PLATFORMS}
+    partners = "(anonymous_id IS NOT NULL)" if merged else "(anonymous_id IS NOT NULL AND on_web)"
+    together = ", ".join(f"'{platform}', on_{platform}" for platform in PLATFORMS)
+    sets = [f"CASE WHEN {partners} THEN named_struct({together}) END"]
+    for platform in PLATFORMS:
+        alone = ", ".join(f"'{other}', {str(other == platform).lower()}" for other in PLATFORMS)
+        sets.append(f"CASE WHEN NOT {partners} AND on_{platform} THEN named_struct({alone}) END")
+    rows = totals.selectExpr("*", f"explode(array({', '.join(sets)})) AS seen").where("seen IS NOT NULL")
+
+    visits = {platform: f"CAST(seen.{platform} AS INT)" for platform in PLATFORMS}
+    events = {platform: f"CASE WHEN seen.{platform} THEN {platform}_event END" for platform in PLATFORMS}
+    counts = {platform: f"coalesce({event}, 0)" for platform, event in events.items()}
     if merged:
-        user = F.col("anonymous_id")
-        first_at = F.least(*[F.when(seen[platform], F.col(f"{platform}_at")) for platform in PLATFORMS])
-        total_event = add_up(list(counts.values()))
+        user = "anonymous_id"
+        first_at = "least(" + ", ".join(f"CASE WHEN seen.{p} THEN {p}_at END" for p in PLATFORMS) + ")"
+        total_event = add_up(counts.values())
     else:
-        user = F.when(seen["web"], F.col("anonymous_id"))
-        first_at = F.when(seen["web"], F.col("web_at"))
-        total_event = add_up(list(events.values()))
-    return rows.select(
-        user.alias("anonymous_id"),
-        first_at.alias("received_at"),
+        user = "CASE WHEN seen.web THEN anonymous_id END"
+        first_at = "CASE WHEN seen.web THEN web_at END"
+        total_event = add_up(events.values())
+    return rows.selectExpr(
+        f"{user} AS anonymous_id",
+        f"{first_at} AS received_at",
         *_by_platform(visits, counts),
-        add_up(list(visits.values())).alias("total_visit"),
-        total_event.alias("total_event"),
+        f"{add_up(visits.values())} AS total_visit",
+        f"{total_event} AS total_event",
     )
 
 
@@ -130,41 +138,36 @@ def visits_by_stamp(tracks: DataFrame) -> DataFrame:
     All three ``*_event`` columns hold the number of rows of the group, and
     ``total_event`` the number of platforms: the counts are of flags that are never NULL.
     """
-    groups = tracks.where(F.col("anonymous_id").isNotNull()).groupBy("anonymous_id", "received_at")
-    seen = groups.agg(*_flag_maxima(), F.count("*").alias("rows"))
-    visits = {platform: F.col(f"{platform}_seen") for platform in PLATFORMS}
-    return _stamp_rows(seen, visits, F.greatest(*visits.values()))
+    seen = _aggregate(
+        tracks.where("anonymous_id IS NOT NULL").groupBy("anonymous_id", "received_at"),
+        [f"max(CASE WHEN {on_platform(platform)} THEN 1 ELSE 0 END) AS {platform}" for platform in PLATFORMS]
+        + ["count(*) AS events"],
+    )
+    visits = {platform: platform for platform in PLATFORMS}
+    return _stamp_rows(seen, visits, f"greatest({', '.join(PLATFORMS)})")
 
 
 def visits_by_stamp_dedup(tracks: DataFrame) -> DataFrame:
     """Per user and raw stamp, NULL user included, with each source counted once per stamp."""
-    seen = tracks.groupBy("anonymous_id", "received_at").agg(
-        *[
-            F.max(F.when(F.col("source") == source, 1).otherwise(0)).alias(f"from_{source}")
-            for source in SOURCE_PLATFORM
-        ]
-    )
-    seen = seen.withColumn("rows", add_up([F.col(f"from_{source}") for source in SOURCE_PLATFORM]).cast("bigint"))
+    sources = {source: f"from_{source}" for source in SOURCE_PLATFORM}
+    seen = _aggregate(
+        tracks.groupBy("anonymous_id", "received_at"),
+        [f"max(CASE WHEN source = '{source}' THEN 1 ELSE 0 END) AS {flag}" for source, flag in sources.items()],
+    ).selectExpr("*", f"CAST({add_up(sources.values())} AS BIGINT) AS events")
     visits = {
-        platform: F.greatest(F.lit(0), *[F.col(f"from_{s}") for s, of in SOURCE_PLATFORM.items() if of == platform])
+        platform: nonzero_flag(add_up(flag for source, flag in sources.items() if SOURCE_PLATFORM[source] == platform))
         for platform in PLATFORMS
     }
-    return _stamp_rows(seen, visits, nonzero_flag(add_up(list(visits.values()))))
-
-
-def _flag_maxima() -> list[Column]:
-    return [
-        F.max(F.when(on_platform(platform), 1).otherwise(0)).alias(f"{platform}_seen") for platform in PLATFORMS
-    ]
+    return _stamp_rows(seen, visits, nonzero_flag(add_up(visits.values())))
 
 
-def _stamp_rows(groups: DataFrame, visits: dict[str, Column], total_visit: Column) -> DataFrame:
-    return groups.select(
+def _stamp_rows(groups: DataFrame, visits: dict[str, str], total_visit: str) -> DataFrame:
+    return groups.selectExpr(
         "anonymous_id",
-        F.col("received_at").alias("event_at"),
-        *_by_platform(visits, {platform: F.col("rows") for platform in PLATFORMS}),
-        total_visit.alias("total_visit"),
-        add_up(list(visits.values())).alias("total_event"),
+        "received_at AS event_at",
+        *_by_platform(visits, {platform: "events" for platform in PLATFORMS}),
+        f"{total_visit} AS total_visit",
+        f"{add_up(visits.values())} AS total_event",
     )
 
 
@@ -178,33 +181,23 @@ def daily_visits(tracks: DataFrame, shift_hours: int = SHIFT_HOURS, min_events:
     For a date window pass the window to ``stack_tracks`` or ``split_log``.
     """
     day = shifted_day(F.col("active_at"), shift_hours)
-    groups = (
-        tracks.where(F.col("anonymous_id").isNotNull())
-        .groupBy("anonymous_id", day.alias("event_at"))
-        .agg(*[F.count_if(F.col("source") == source).alias(source) for source in SOURCE_PLATFORM])
+    groups = _aggregate(
+        tracks.where("anonymous_id IS NOT NULL").groupBy("anonymous_id", day.alias("event_at")),
+        [f"count_if(source = '{source}') AS from_{source}" for source in SOURCE_PLATFORM],
     )
-    kept = {source: F.col(source) for source in SOURCE_PLATFORM}
+    kept = {source: f"from_{source}" for source in SOURCE_PLATFORM}
     if min_events > 1:
-        kept = {source: F.when(count >= min_events, count).otherwise(0) for source, count in kept.items()}
-        groups = groups.where(F.greatest(*[F.col(source) for source in SOURCE_PLATFORM]) >= min_events)
+        groups = groups.where(f"greatest({', '.join(kept.values())}) >= {min_events}")
+        kept = {source: f"CASE WHEN {n} >= {min_events} THEN {n} ELSE 0 END" for source, n in kept.items()}
     counts = {
-        platform: add_up([count for source, count in kept.items() if SOURCE_PLATFORM[source] == platform])
+        platform: add_up(count for source, count in kept.items() if SOURCE_PLATFORM[source] == platform)
         for platform in PLATFORMS
     }
     visits = {platform: nonzero_flag(count) for platform, count in counts.items()}
-    return groups.select(
+    return groups.selectExpr(
         "anonymous_id",
         "event_at",
         *_by_platform(visits, counts),
-        nonzero_flag(add_up(list(visits.values()))).alias("total_visit"),
-        add_up(list(counts.values())).alias("total_event"),
+        f"{nonzero_flag(add_up(visits.values()))} AS total_visit",
+        f"{add_up(counts.values())} AS total_event",
     )
-
-
-def _by_platform(visits: dict[str, Column], counts: dict[str, Column]) -> list[Column]:
-    """Output columns in order: visit flag and event count of each platform."""
-    return [
-        column
-        for platform in PLATFORMS
-        for column in (visits[platform].alias(f"{platform}_visit"), counts[platform].alias(f"{platform}_event"))
-    ]

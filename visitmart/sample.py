@@ -14,8 +14,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from visitmart.functions.daywindow import DayWindow
 from visitmart.sources.tables import parquet_table
@@ -28,36 +27,22 @@ LOGGED_OUT_USER = 7
 DEAR_VIEW = 30.0
 
 
-def _device() -> Column:
-    slot = F.floor(F.hour("ts") / 4)
-    return F.concat(F.nullif(F.col("user_id"), F.lit(LOGGED_OUT_USER)).cast("string"), F.lit("-"), slot.cast("string"))
-
-
-def _rules() -> dict[str, TrackRule]:
-    kind = F.col("event_type")
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
-    return {
-        "web": TrackRule(kind == "view", F.col("ts")),
-        "click": TrackRule((kind == "click") | ((kind == "view") & (F.col("value") >= DEAR_VIEW)), F.col("ts")),
-        "aos": TrackRule(kind == "purchase", hour),
-        "ios": TrackRule(kind.isin("signup", "error"), F.col("ts")),
-    }
-
-
-def _event() -> Column:
-    return F.nullif(F.col("event_type"), F.lit("error"))
+# As SQL over the columns of events.
+DEVICE = f"concat(nullif(user_id, {LOGGED_OUT_USER}), '-', hour(ts) div 4)"
+EVENT = "nullif(event_type, 'error')"
+RULES = {
+    "web": TrackRule("event_type = 'view'", "ts"),
+    "click": TrackRule(f"event_type = 'click' OR (event_type = 'view' AND value >= {DEAR_VIEW})", "ts"),
+    "aos": TrackRule("event_type = 'purchase'", "CAST(date_trunc('hour', ts) AS timestamp_ntz)"),
+    "ios": TrackRule("event_type IN ('signup', 'error')", "ts"),
+}
 
 
 def tracks(spark: SparkSession, sf_dir: str, window: DayWindow | None = None) -> DataFrame:
     """All tracks, from one scan of the log."""
+    log = parquet_table(spark, sf_dir, "events")
     return split_log(
-        parquet_table(spark, sf_dir, "events"),
-        _rules(),
-        user=_device(),
-        event=_event(),
-        stamp="ts",
-        slack=timedelta(hours=1),
-        window=window,
+        log, RULES, user=DEVICE, event=EVENT, stamp="ts", slack=timedelta(hours=1), window=window
     )
 
 
@@ -66,58 +51,39 @@ def track_tables(spark: SparkSession, sf_dir: str) -> dict[str, TrackTable]:
     log = parquet_table(spark, sf_dir, "events")
     return {
         source: TrackTable(
-            log.where(rule.where).select(
-                _device().alias("anonymous_id"),
-                rule.stamp.alias("timestamp"),
-                rule.stamp.alias("received_at"),
-                _event().alias("event"),
+            log.where(rule.where).selectExpr(
+                f"{DEVICE} AS anonymous_id",
+                f"{rule.stamp} AS timestamp",
+                f"{rule.stamp} AS received_at",
+                f"{EVENT} AS event",
             )
         )
-        for source, rule in _rules().items()
+        for source, rule in RULES.items()
     }
 
 
+def _banded(shapes: dict[int, str | None], usual: str) -> str:
+    cases = [f"WHEN {band} THEN {'NULL' if text is None else repr(text)}" for band, text in shapes.items()]
+    return f"CASE CAST(floor(o_totalprice / 10000) AS INT) {' '.join(cases)} ELSE {usual} END"
+
+
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = parquet_table(spark, sf_dir, "orders")
-    status, band = F.col("o_orderstatus"), F.floor(F.col("o_totalprice") / 10000)
-    month = F.month("o_orderdate").cast("string")
-
-    def banded(shapes: dict[int, str | None], usual: Column) -> Column:
-        column = F.when(F.lit(False), usual)
-        for at, text in shapes.items():
-            column = column.when(band == at, F.lit(text))
-        return column.otherwise(usual)
-
-    entry = F.concat(
-        F.lit('[{"email":"rep'), F.col("o_custkey").cast("string"), F.lit('@example.com"},{"email":"x@y"}]')
-    )
-    fields = F.concat(
-        F.lit('{"1003":"'),
-        month,
-        F.lit('","1014":'),
-        F.when(status == "F", "true").when(status == "O", "false").otherwise("null"),
-        F.lit(',"1002":'),
-        F.day("o_orderdate").cast("string"),
-        F.lit("}"),
-    )
-    return orders.select(
-        F.col("o_orderkey").alias("id"),
-        (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("pipelineid"),
-        banded(ENTRY_SHAPES, entry).alias("assignedtosharingentries"),
-        banded(FIELD_SHAPES, fields).alias("fields"),
-        F.when(status == "F", month)
-        .when(status == "O", "5")
-        .when(F.col("o_totalprice") < 250000, "x")
-        .otherwise("")
-        .alias("stagekey"),
-        F.col("o_orderdate").alias("createddate"),
+    entry = """concat('[{"email":"rep', o_custkey, '@example.com"},{"email":"x@y"}]')"""
+    flag = "CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' ELSE 'null' END"
+    fields = f"""concat('{{"1003":"', month(o_orderdate), '","1014":', {flag}, ',"1002":', day(o_orderdate), '}}')"""
+    return parquet_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "CAST(substr(o_orderpriority, 1, 1) AS INT) - 1 AS pipelineid",
+        f"{_banded(ENTRY_SHAPES, entry)} AS assignedtosharingentries",
+        f"{_banded(FIELD_SHAPES, fields)} AS fields",
+        """CASE WHEN o_orderstatus = 'F' THEN CAST(month(o_orderdate) AS STRING) WHEN o_orderstatus = 'O' THEN '5'
+           WHEN o_totalprice < 250000 THEN 'x' ELSE '' END AS stagekey""",
+        "o_orderdate AS createddate",
     )
 
 
 def pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parquet_table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")
-    )
+    return parquet_table(spark, sf_dir, "region").selectExpr("r_regionkey AS id", "r_name AS name")
 
 
 # Text of the JSON columns by price band (price / 10,000); other bands hold well-formed text.

@@ -26,10 +26,16 @@ SOURCE_PLATFORM = {"web": "web", "click": "web", "aos": "aos", "ios": "ios"}
 DAY_STAMP = {"web": "timestamp", "click": "received_at", "aos": "timestamp", "ios": "timestamp"}
 
 
-def on_platform(platform: str) -> Column:
-    """True for track rows of a platform."""
-    names = [source for source, of in SOURCE_PLATFORM.items() if of == platform]
-    return F.col("source").isin(names)
+def on_platform(platform: str) -> str:
+    """Condition for track rows of a platform, as SQL."""
+    names = [f"'{source}'" for source, of in SOURCE_PLATFORM.items() if of == platform]
+    return f"source IN ({', '.join(names)})"
+
+
+def platform_of() -> str:
+    """Platform of a track row, as SQL."""
+    cases = [f"WHEN {on_platform(platform)} THEN '{platform}'" for platform in PLATFORMS]
+    return f"CASE {' '.join(cases)} END"
 
 
 @dataclass(frozen=True)
@@ -69,41 +75,45 @@ def stack_tracks(tables: Mapping[str, TrackTable], window: DayWindow | None = No
 
 @dataclass(frozen=True)
 class TrackRule:
-    """Which log rows belong to a source, and the stamp they count with."""
+    """Which log rows belong to a source, and the zone-less stamp they count with, as SQL."""
 
-    where: Column
-    stamp: Column
+    where: str
+    stamp: str
 
 
 def split_log(
     log: DataFrame,
     rules: Mapping[str, TrackRule],
     *,
-    user: Column,
-    event: Column,
+    user: str,
+    event: str,
     stamp: str,
     slack: timedelta = timedelta(0),
     window: DayWindow | None = None,
 ) -> DataFrame:
     """The tracks held in one log, read with a single scan; a row may belong to several sources.
 
-    A rule's stamp may lie up to ``slack`` before the log's ``stamp`` column and never
-    after it. So the window prunes the scan on ``stamp``, and is then applied exactly.
+    ``user`` and ``event`` are SQL over the log's columns. A rule's stamp may lie up to
+    ``slack`` before the log's ``stamp`` column and never after it. So the window prunes
+    the scan on ``stamp``, and is then applied exactly.
     """
     _known(rules)
     if window is not None:
         log = log.where(window.covers(F.col(stamp), slack=slack))
-    members = F.array(*[F.when(rule.where, F.lit(source)) for source, rule in rules.items()])
-    at = F.coalesce(*[F.when(F.col("source") == source, rule.stamp) for source, rule in rules.items()])
+    members = ", ".join(f"CASE WHEN {rule.where} THEN '{source}' END" for source, rule in rules.items())
+    other_stamps = [
+        f"WHEN source = '{source}' THEN {rule.stamp}" for source, rule in rules.items() if rule.stamp != stamp
+    ]
+    at = f"CASE {' '.join(other_stamps)} ELSE {stamp} END" if other_stamps else stamp
     rows = (
-        log.withColumn("source", F.explode(members))
-        .where(F.col("source").isNotNull())
-        .select(
-            user.alias("anonymous_id"),
+        log.selectExpr("*", f"explode(array({members})) AS source")
+        .where("source IS NOT NULL")
+        .selectExpr(
+            f"{user} AS anonymous_id",
             "source",
-            at.alias("received_at"),
-            at.alias("active_at"),
-            event.alias("event"),
+            f"{at} AS received_at",
+            f"{at} AS active_at",
+            f"{event} AS event",
         )
     )
     return rows if window is None else rows.where(window.covers(F.col("active_at")))
