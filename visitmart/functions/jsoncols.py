@@ -39,24 +39,26 @@ def part(text: Column, separator: str, index: int) -> Column:
     return F.split_part(text, F.lit(separator), F.lit(index + 1))
 
 
-def parse_problem(text: Column, member: str | None = None) -> Column:
-    """Why ``json_members`` finds no object, or no value for ``member``; NULL if there is no problem.
+def unread(text: Column, parsed: Column, member: str | None = None) -> Column:
+    """True where the text holds something, but ``json_members`` gave no object, or no value for ``member``."""
+    value = parsed if member is None else parsed.getField(member)
+    return (F.coalesce(text, F.lit("")) != "") & value.isNull()
 
-    NULL and empty text count as absent, not as a problem.
+
+def parse_problem(missing: Column, value: Column, member: str | None = None) -> Column:
+    """Why the text is ``unread``; NULL if it is not.
+
+    ``value`` is the text as a variant, needed only where ``missing`` is true. An array
+    stands for its first element, as in ``json_members``.
     """
-    value = F.try_parse_json(text)
-    kind = F.schema_of_variant(value)
-    first = F.when(kind.startswith("ARRAY"), F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
+    is_array = F.schema_of_variant(value).startswith("ARRAY")
+    first = F.when(is_array, F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
     reason = (
         F.when(value.isNull(), "malformed_json")
-        .when(kind.startswith("ARRAY") & first.isNull(), "empty_array")
+        .when(is_array & first.isNull(), "empty_array")
         .when(~F.schema_of_variant(first).startswith("OBJECT"), "not_an_object")
     )
-    found = json_members(text, [member or "-"])
-    if member is None:
-        unread = found.isNull()
-    else:
-        unread = found.getField(member).isNull()
+    if member is not None:
         given = F.try_variant_get(first, f"$['{member}']", "variant")
         reason = reason.when(given.isNull(), "missing_key").otherwise("null_value")
-    return F.when((F.coalesce(text, F.lit("")) != "") & unread, reason)
+    return F.when(missing, reason)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.functions.daywindow import ntz
-from visitmart.functions.jsoncols import as_flag, as_int, json_members, parse_problem, part
+from visitmart.functions.jsoncols import as_flag, as_int, json_members, parse_problem, part, unread
 from visitmart.operators.joins import single_key_join
 
 # Members of the two JSON columns.
@@ -77,12 +77,23 @@ def outreach_rejects(boxes: DataFrame, pipeline_id) -> DataFrame:
 
     A missing JSON member is a problem for the e-mail only; other members may be absent.
     """
-    rows = _typed(boxes.where(F.col("pipelineid") == pipeline_id))
-    entries, fields = F.col("assignedtosharingentries"), F.col("fields")
-    members = F.col("__fields")
+    entries, fields, members = F.col("assignedtosharingentries"), F.col("fields"), F.col("__fields")
+    rows = _typed(boxes.where(F.col("pipelineid") == pipeline_id)).withColumns(
+        {
+            "__no_email": unread(entries, F.col("__entry"), EMAIL),
+            "__no_fields": unread(fields, members),
+        }
+    )
+    # Only texts that gave nothing are parsed again, to tell why.
+    rows = rows.withColumns(
+        {
+            "__entry_value": F.when(F.col("__no_email"), F.try_parse_json(entries)),
+            "__fields_value": F.when(F.col("__no_fields"), F.try_parse_json(fields)),
+        }
+    )
     problems = F.array(
-        _problem("rep_name", parse_problem(entries, EMAIL), entries),
-        _problem("fields", parse_problem(fields), fields),
+        _problem("rep_name", parse_problem(F.col("__no_email"), F.col("__entry_value"), EMAIL), entries),
+        _problem("fields", parse_problem(F.col("__no_fields"), F.col("__fields_value")), fields),
         _problem("category_id", _not_an_integer(members.getField(CATEGORY)), fields),
         _problem("leadsource_id", _not_an_integer(members.getField(LEAD_SOURCE)), fields),
         _problem("stage_type_id", _not_an_integer(F.col("stagekey")), F.col("stagekey")),
