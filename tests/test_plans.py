@@ -9,6 +9,7 @@ from conftest import SF
 from visitmart import catalog, sample
 from visitmart.functions.daywindow import DayWindow
 from visitmart.plans import visits
+from visitmart.plans.outreach import outreach_ods
 from visitmart.sources.tracks import TrackTable, stack_tracks
 
 
@@ -87,3 +88,12 @@ def test_sources_as_tables_need_one_shuffle(spark, capsys):
 
 def test_small_lookup_is_broadcast_by_its_size(spark, capsys):
     assert "BroadcastHashJoin" in plan(catalog.QUERIES["outreach_ods"](spark, SF), capsys)
+
+
+def test_pipeline_filter_reaches_both_scans(spark, capsys, tmp_path):
+    sample.boxes(spark, SF).write.parquet(f"{tmp_path}/boxes")
+    boxes, pipelines = spark.read.parquet(f"{tmp_path}/boxes"), sample.pipelines(spark, SF)
+    pushed = re.findall(r"PushedFilters: (.*)", plan(outreach_ods(boxes, pipelines, 2), capsys))
+    assert len(pushed) == 2
+    assert any("EqualTo(pipelineid,2)" in filters for filters in pushed)
+    assert any("EqualTo(r_regionkey,2)" in filters for filters in pushed)

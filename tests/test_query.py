@@ -24,6 +24,13 @@ def test_create_df_and_csv(spark):
     assert rows_of(spark.read.option("header", True).csv(path)) == [("1", "NaN")]
 
 
+def test_csv_and_frame_hold_the_same_rows(spark):
+    path = scratch_path(spark, "frame")
+    frame = SqlFrames(spark).create_df("SELECT id, rand() AS r FROM range(50)", save_csv=True, file_path=path)
+    back = spark.read.option("header", True).csv(path).selectExpr("CAST(id AS BIGINT) id", "CAST(r AS DOUBLE) r")
+    assert rows_of(frame) == rows_of(back)
+
+
 def test_jdbc_needs_a_split(spark):
     with pytest.raises(ValueError, match="split"):
         SqlFrames(spark, {"url": "jdbc:none"}).create_df("SELECT 1")

@@ -100,6 +100,16 @@ def test_truncate_load(spark, mart):
     assert rows_of(spark.table(f"spark_catalog.{table}")) == [(2, "y")]
 
 
+def test_truncate_load_from_itself_and_after_a_failure(spark):
+    table = scratch_table(spark, "plain")
+    truncate_load(spark.sql("SELECT 1 AS a UNION ALL SELECT 2"), table)
+    truncate_load(spark.table(table).where("a > 1"), table)
+    assert rows_of(spark.table(table)) == [(2,)]
+    with pytest.raises(Exception, match="lost"):
+        truncate_load(spark.table(table).withColumn("a", F.raise_error(F.lit("lost")).cast("int")), table)
+    assert rows_of(spark.table(table)) == [(2,)]
+
+
 def test_few_files_per_day(spark):
     many = spark.range(20000).select(
         F.col("id").cast("string").alias("anonymous_id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_DATABASE = "visitmart_scratch"
 
@@ -41,6 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The frame's rows written once to the shared folder, with their lineage cut."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
+    return frame.checkpoint()
+
+
 def scratch_path(spark: SparkSession, prefix: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark)}/{prefix}_{uuid.uuid4().hex}"

@@ -6,17 +6,21 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from visitmart.sinks.stage import staged
+
 
 def truncate_load(frame: DataFrame, table: str) -> None:
     """Replace all rows of a catalog table, keeping its definition; create it if it is missing.
 
-    Columns are matched by name.
+    Columns are matched by name. The rows are staged first, so that the target is empty
+    only while finished rows are copied.
     """
     spark = frame.sparkSession
-    if spark.catalog.tableExists(table):
-        frame.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    else:
+    if not spark.catalog.tableExists(table):
         frame.write.saveAsTable(table)
+        return
+    with staged(frame.select(*spark.table(table).columns), table) as stage:
+        spark.table(stage).write.insertInto(table, overwrite=True)
 
 
 def truncate_load_jdbc(frame: DataFrame, table: str, jdbc: Mapping[str, str]) -> None:

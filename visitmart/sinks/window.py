@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import date
@@ -11,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmart.functions.daywindow import DayWindow
+from visitmart.sinks.stage import staged
 
 DAY_COLUMN = "event_day"
 _MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -56,25 +56,21 @@ def replace_window(frame: DataFrame, mart: str, window: DayWindow, time_col: str
     if window.first_day != window.last_day:
         fresh = spread_by_day(fresh)
 
-    stage = f"{mart}__stage_{uuid.uuid4().hex}"
-    try:
-        fresh.write.partitionBy(DAY_COLUMN).format("parquet").saveAsTable(stage)
-        staged = _days(spark, stage)
-        outside = [day for day in staged if day is None or not window.first_day <= day <= window.last_day]
+    with staged(fresh, mart, DAY_COLUMN) as stage:
+        new_days = _days(spark, stage)
+        outside = [day for day in new_days if not _within(window, day)]
         if outside:
             raise ValueError(f"new rows lie outside the window: {outside[:5]}")
-        emptied = [
-            day
-            for day in _days(spark, mart)
-            if day is not None and window.first_day <= day <= window.last_day and day not in staged
-        ]
+        emptied = [day for day in _days(spark, mart) if _within(window, day) and day not in new_days]
         with _overwrite_by_day(spark):
             spark.table(stage).select(*columns).write.insertInto(mart, overwrite=True)
         if emptied:
             specs = ", ".join(f"PARTITION ({DAY_COLUMN} = DATE '{day}')" for day in emptied)
             spark.sql(f"ALTER TABLE {mart} DROP IF EXISTS {specs}")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {stage}")
+
+
+def _within(window: DayWindow, day: date | None) -> bool:
+    return day is not None and window.first_day <= day <= window.last_day
 
 
 def _days(spark: SparkSession, table: str) -> set[date | None]:

@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from visitmart.session import checkpointed
 from visitmart.sinks.load import write_csv
 
 
@@ -87,7 +88,9 @@ class SqlFrames:
     ) -> DataFrame:
         """Frame of the query; ``save_csv`` also writes it as a CSV folder with NaN for null.
 
-        ``split`` says how a JDBC result is read in parallel and is needed there.
+        For that the result is checkpointed, so that the query runs once and the file
+        and the frame hold the same rows. ``split`` says how a JDBC result is read in
+        parallel and is needed there.
         """
         if self.jdbc is None:
             frame = self.spark.sql(sql)
@@ -96,5 +99,6 @@ class SqlFrames:
         else:
             frame = read_query(self.spark, sql, self.jdbc, split)
         if save_csv:
+            frame = checkpointed(frame)
             write_csv(frame, file_path)
         return frame
