@@ -73,3 +73,12 @@ def test_day_edge_and_window_edge_in_any_session_zone(spark, zone):
     assert [row.inside for row in rows] == [False, True, True, False]
     assert [row.zoned_inside for row in rows] == [False, True, True, False]
     assert all(row.same == row.ts for row in rows)
+
+
+def test_days_touched_in_stored_time(spark):
+    window = DayWindow(datetime(2024, 1, 2), datetime(2024, 1, 3))
+    days = spark.sql("SELECT date'2023-12-30' + CAST(id AS INT) AS d FROM range(8)")
+    found = [row.d for row in days.where(window.covers_day(F.col("d"))).orderBy("d").collect()]
+    assert found == [date(2024, 1, 1), date(2024, 1, 2)]
+    midnight = DayWindow(datetime(2024, 1, 2), datetime(2024, 1, 3), shift_hours=0)
+    assert [row.d for row in days.where(midnight.covers_day(F.col("d"))).collect()] == [date(2024, 1, 2)]

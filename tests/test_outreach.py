@@ -28,6 +28,10 @@ FIELD_CASES = [
     ('{"1003":3000000000}', None, None),
     ('{"1003":1,"1003":2}', 2, None),
     ('[{"1003":"9"},{"1003":"8"}]', 9, None),
+    ('[{"1003":"9"},5,null]', 9, None),
+    ('[5,{"1003":"9"}]', None, None),
+    ('[[{"1003":"9"}]]', None, None),
+    ('[{"1003":"9"},bad]', None, None),
     ("[]", None, None),
     ("null", None, None),
     ("5", None, None),
@@ -51,6 +55,9 @@ EMAIL_CASES = [
     ('[{"email":""}]', "", None),
     ('[{"email":"a@b"},{"email":"c@d"}]', "a", None),
     ('{"email":"solo@b"}', "solo", None),
+    ('[{"email":"a@b"},5]', "a", None),
+    ('[{"email":"a@b"},bad]', None, "malformed_json"),
+    ('[[{"email":"a@b"}]]', None, "not_an_object"),
     ("[]", None, "empty_array"),
     ("{}", None, "missing_key"),
     ("[{}]", None, "missing_key"),

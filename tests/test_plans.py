@@ -10,7 +10,7 @@ from visitmart import catalog, sample
 from visitmart.functions.daywindow import DayWindow
 from visitmart.plans import visits
 from visitmart.plans.outreach import outreach_ods
-from visitmart.sources.tracks import TrackTable, stack_tracks
+from visitmart.sources.tracks import TrackRule, TrackTable, split_log, stack_tracks
 
 
 def plan(frame, capsys) -> str:
@@ -81,6 +81,25 @@ def test_window_reaches_each_source_table(spark, capsys, tmp_path, zoned):
     assert hash_exchanges(text) == 1
 
 
+def test_window_prunes_day_partitions(spark, capsys, tmp_path):
+    spark.sql(
+        "SELECT 'u' AS anonymous_id, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, id) AS ts, 'view' AS event_type"
+        " FROM range(96)"
+    ).selectExpr("*", "CAST(ts AS DATE) AS dt").write.partitionBy("dt").parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    window = DayWindow(datetime(2024, 1, 3), datetime(2024, 1, 4))
+    rules = {"web": TrackRule("event_type = 'view'", "ts")}
+    split = split_log(log, rules, user="anonymous_id", event="event_type", stamp="ts", window=window, day="dt")
+    table = TrackTable(log, active_at="ts", received_at="ts", event="event_type", day="dt")
+    for tracks in (split, stack_tracks({"web": table}, window)):
+        daily = visits.daily_visits(tracks)
+        text = plan(daily, capsys)
+        partitions = re.search(r"PartitionFilters: (.*)", text).group(1)
+        assert "dt" in partitions and "2024-01-02" in partitions and "2024-01-03" in partitions
+        assert [row.total_event for row in daily.collect()] == [24]
+        assert len(tracks.select("active_at").inputFiles()) >= 2
+
+
 def test_sources_as_tables_need_one_shuffle(spark, capsys):
     text = plan(visits.daily_visits(stack_tracks(sample.track_tables(spark, SF))), capsys)
     assert hash_exchanges(text) == 1

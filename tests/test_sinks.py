@@ -8,7 +8,7 @@ from conftest import at, rows_of
 from visitmart.functions.daywindow import DayWindow
 from visitmart.session import scratch_path, scratch_table
 from visitmart.sinks.load import truncate_load, write_csv
-from visitmart.sinks.window import DAY_COLUMN, create_mart, replace_window, with_day
+from visitmart.sinks.window import DAY_COLUMN, create_mart, overwrite_window, replace_window, with_day
 
 SCHEMA = "anonymous_id string, event_at timestamp_ntz, n int"
 
@@ -90,6 +90,22 @@ def test_new_rows_may_come_from_the_mart(spark, mart):
     assert [row[2] for row in mart_rows(spark, mart)] == [1, 2, 2]
 
 
+def test_overwrite_by_condition_states_the_window(spark):
+    class Frame:
+        def writeTo(self, table):
+            self.table = table
+            return self
+
+        def overwrite(self, condition):
+            self.condition = condition
+
+    frame = Frame()
+    overwrite_window(frame, "lake.mart", WINDOW)
+    assert frame.table == "lake.mart"
+    stamps = days(spark, [("a", f"2024-01-0{day}", day) for day in (1, 2, 3, 4)])
+    assert [row.n for row in stamps.where(frame.condition).orderBy("n").collect()] == [2, 3]
+
+
 def test_truncate_load(spark, mart):
     truncate_load(with_day(days(spark, [("q", "2024-06-01", 7)])), mart)
     assert mart_rows(spark, mart) == [("q", at("2024-06-01"), 7)]

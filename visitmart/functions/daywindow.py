@@ -56,6 +56,12 @@ class DayWindow:
             return (stamp >= _zoned(lo)) & (stamp < _zoned(hi))
         return (stamp >= ntz(lo)) & (stamp < ntz(hi))
 
+    def covers_day(self, day: Column, *, slack: timedelta = timedelta(0)) -> Column:
+        """True for the unshifted calendar days that the window touches; prunes day partitions."""
+        back = timedelta(hours=self.shift_hours)
+        last = self.hi - back + slack - timedelta(microseconds=1)
+        return day.between(F.lit((self.lo - back).date()), F.lit(last.date()))
+
     def holds(self, shifted: Column) -> Column:
         """True for values that are already in shifted time, such as a mart's day column."""
         return (shifted >= ntz(self.lo)) & (shifted < ntz(self.hi))

@@ -16,8 +16,15 @@ def json_members(text: Column, keys: Sequence[str]) -> Column:
     not looked at; of a repeated key the last value counts.
     """
     members = ",".join(f"`{key}`:string" for key in keys)
-    parsed = F.from_json(text, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
-    return F.get(parsed, F.lit(0))
+
+    def first_object(json: Column) -> Column:
+        parsed = F.from_json(json, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
+        return F.get(parsed, F.lit(0))
+
+    # An array that also holds other things than objects gives nothing as a whole; then
+    # its first element is read by itself. Other texts do not get this far.
+    element = F.get_json_object(text, "$[0]")
+    return F.coalesce(first_object(text), first_object(F.when(element.startswith("{"), element)))
 
 
 def as_int(text: Column) -> Column:

@@ -99,6 +99,7 @@ ENTRY_SHAPES: dict[int, str | None] = {
     8: '[{"email":""}]',
     9: '{"email":"solo@example.com"}',
     10: "[5]",
+    23: '[{"email":"first@example.com"},5]',
 }
 FIELD_SHAPES: dict[int, str | None] = {
     11: "bad",
@@ -111,4 +112,5 @@ FIELD_SHAPES: dict[int, str | None] = {
     18: "{}",
     19: "5",
     20: '{"1003":"7"',
+    24: '[{"1003":"3"},null,"x"]',
 }

@@ -40,13 +40,18 @@ def platform_of() -> str:
 
 @dataclass(frozen=True)
 class TrackTable:
-    """One source table and the columns to read from it."""
+    """One source table and the columns to read from it.
+
+    ``day`` names a partition column with the UTC date of ``active_at``, if there is
+    one: a window then opens the files of its own days only.
+    """
 
     frame: DataFrame
     active_at: str = "timestamp"
     received_at: str = "received_at"
     user: str = "anonymous_id"
     event: str = "event"
+    day: str | None = None
 
     def _zoned(self, column: str) -> bool:
         return isinstance(self.frame.schema[column].dataType, T.TimestampType)
@@ -58,6 +63,8 @@ class TrackTable:
         frame = self.frame
         if window is not None:
             frame = frame.where(window.covers(F.col(self.active_at), zoned=self._zoned(self.active_at)))
+            if self.day is not None:
+                frame = frame.where(window.covers_day(F.col(self.day)))
         return frame.select(
             F.col(self.user).alias("anonymous_id"),
             F.lit(source).alias("source"),
@@ -90,16 +97,20 @@ def split_log(
     stamp: str,
     slack: timedelta = timedelta(0),
     window: DayWindow | None = None,
+    day: str | None = None,
 ) -> DataFrame:
     """The tracks held in one log, read with a single scan; a row may belong to several sources.
 
     ``user`` and ``event`` are SQL over the log's columns. A rule's stamp may lie up to
     ``slack`` before the log's ``stamp`` column and never after it. So the window prunes
-    the scan on ``stamp``, and is then applied exactly.
+    the scan on ``stamp``, and on ``day`` if the log has a partition column with the date
+    of ``stamp``; it is then applied exactly.
     """
     _known(rules)
     if window is not None:
         log = log.where(window.covers(F.col(stamp), slack=slack))
+        if day is not None:
+            log = log.where(window.covers_day(F.col(day), slack=slack))
     members = ", ".join(f"CASE WHEN {rule.where} THEN '{source}' END" for source, rule in rules.items())
     other_stamps = [
         f"WHEN source = '{source}' THEN {rule.stamp}" for source, rule in rules.items() if rule.stamp != stamp
