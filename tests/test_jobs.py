@@ -41,6 +41,17 @@ def test_runs_day_by_day_equal_a_full_refresh(spark, sources):
     assert rows_of(spark.table(daily).drop(DAY_COLUMN)) == rows_of(kept)
 
 
+def test_sources_partitioned_by_day(spark):
+    source, mart = scratch_table(spark, "web"), scratch_table(spark, "mart")
+    frame = sample.track_tables(spark, SF)["web"].frame
+    frame.withColumn("dt", F.col("timestamp").cast("date")).write.partitionBy("dt").saveAsTable(source)
+    run(spark, ["--web", source, "--day-partition", "dt"], mart, datetime(2024, 1, 4, 0))
+    rows = frame.where("anonymous_id IS NOT NULL").where(
+        (F.col("timestamp") >= at("2024-01-02 15:00:00")) & (F.col("timestamp") < at("2024-01-03 15:00:00"))
+    )
+    assert spark.table(mart).agg(F.sum("web_event")).first()[0] == rows.count() > 0
+
+
 def test_a_source_is_needed():
     with pytest.raises(SystemExit):
         daily_visits.arguments(["--mart", "m"])

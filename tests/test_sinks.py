@@ -126,6 +126,16 @@ def test_truncate_load_from_itself_and_after_a_failure(spark):
     assert rows_of(spark.table(table)) == [(2,)]
 
 
+def test_columns_the_target_lacks_are_not_dropped_silently(spark, mart):
+    more = days(spark, [("b", "2024-01-02", 2)]).withColumn("more", F.lit(1))
+    before = mart_rows(spark, mart)
+    with pytest.raises(ValueError, match="more"):
+        replace_window(more, mart, WINDOW)
+    with pytest.raises(ValueError, match="more"):
+        truncate_load(with_day(more), mart)
+    assert mart_rows(spark, mart) == before
+
+
 def test_few_files_per_day(spark):
     many = spark.range(20000).select(
         F.col("id").cast("string").alias("anonymous_id"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import at, rows_of
 from visitmart.functions.daywindow import DayWindow
 from visitmart.plans import visits
-from visitmart.sources.tracks import TrackTable, stack_tracks
+from visitmart.sources.tracks import TrackRule, TrackTable, split_log, stack_tracks
 
 SCHEMA = "anonymous_id string, received_at timestamp_ntz, timestamp timestamp_ntz, event string"
 
@@ -186,3 +186,12 @@ def test_hot_user_is_counted_whole(spark):
     found = visits.user_visits_asis_distinct(rows).where("anonymous_id = 'hot'").first()
     assert (found.web_event, found.aos_event) == (1, 10000)
     assert visits.user_visits(rows).agg(F.sum("total_event")).first()[0] == 60000
+
+
+def test_log_with_columns_of_the_track_names(spark):
+    log = spark.sql(
+        "SELECT 'u' AS anonymous_id, timestamp_ntz'2024-01-01 01:00:00' AS received_at, 'site' AS source, 'a' AS event"
+    )
+    rules = {"web": TrackRule("source = 'site'", "received_at"), "click": TrackRule("source = 'ad'", "received_at")}
+    found = split_log(log, rules, user="anonymous_id", event="event", stamp="received_at")
+    assert rows_of(found) == [("u", "web", at(T1), at(T1), "a")]

@@ -30,6 +30,9 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--start-at", default="")
     parser.add_argument("--end-at", default="")
     parser.add_argument("--full-refresh", action="store_true")
+    parser.add_argument(
+        "--day-partition", metavar="COLUMN", help="partition column of the sources with the UTC date of that stamp"
+    )
     parser.add_argument("--shift-hours", type=int, default=SHIFT_HOURS)
     args = parser.parse_args(argv)
     if not any(getattr(args, source) for source in DAY_STAMP):
@@ -40,7 +43,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace, now: datetime) -> DayWindow:
     window = resolve_window(now, args.start_at, args.end_at, args.full_refresh, args.shift_hours)
     tables = {
-        source: TrackTable(named_table(spark, getattr(args, source)), active_at=stamp)
+        source: TrackTable(named_table(spark, getattr(args, source)), active_at=stamp, day=args.day_partition)
         for source, stamp in DAY_STAMP.items()
         if getattr(args, source)
     }

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from visitmart.sinks.stage import staged
+from visitmart.sinks.stage import in_table_order, staged
 
 
 def truncate_load(frame: DataFrame, table: str) -> None:
@@ -19,7 +19,7 @@ def truncate_load(frame: DataFrame, table: str) -> None:
     if not spark.catalog.tableExists(table):
         frame.write.saveAsTable(table)
         return
-    with staged(frame.select(*spark.table(table).columns), table) as stage:
+    with staged(in_table_order(frame, table), table) as stage:
         spark.table(stage).write.insertInto(table, overwrite=True)
 
 

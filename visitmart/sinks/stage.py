@@ -22,3 +22,12 @@ def staged(frame: DataFrame, target: str, *partition_by: str) -> Iterator[str]:
         yield stage
     finally:
         frame.sparkSession.sql(f"DROP TABLE IF EXISTS {stage}")
+
+
+def in_table_order(frame: DataFrame, table: str) -> DataFrame:
+    """The frame's columns by name in the order of the table, which must have them all."""
+    columns = frame.sparkSession.table(table).columns
+    unknown = {name.lower() for name in frame.columns} - {name.lower() for name in columns}
+    if unknown:
+        raise ValueError(f"{table} has no column {', '.join(sorted(unknown))}")
+    return frame.select(*columns)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmart.functions.daywindow import DayWindow
-from visitmart.sinks.stage import staged
+from visitmart.sinks.stage import in_table_order, staged
 
 DAY_COLUMN = "event_day"
 _MODE = "spark.sql.sources.partitionOverwriteMode"
@@ -46,8 +46,7 @@ def replace_window(frame: DataFrame, mart: str, window: DayWindow, time_col: str
     With bounds inside a day, the old rows of that day outside the window are kept.
     """
     spark = frame.sparkSession
-    columns = spark.table(mart).columns
-    fresh = with_day(frame, time_col).select(*columns)
+    fresh = in_table_order(with_day(frame, time_col), mart)
     if not window.whole_days:
         # Bounds are compared with the stored value; at midnight bounds no row of these days is kept.
         inside = F.coalesce(window.holds(F.col(time_col)), F.lit(False))
@@ -63,7 +62,7 @@ def replace_window(frame: DataFrame, mart: str, window: DayWindow, time_col: str
             raise ValueError(f"new rows lie outside the window: {outside[:5]}")
         emptied = [day for day in _days(spark, mart) if _within(window, day) and day not in new_days]
         with _overwrite_by_day(spark):
-            spark.table(stage).select(*columns).write.insertInto(mart, overwrite=True)
+            in_table_order(spark.table(stage), mart).write.insertInto(mart, overwrite=True)
         if emptied:
             specs = ", ".join(f"PARTITION ({DAY_COLUMN} = DATE '{day}')" for day in emptied)
             spark.sql(f"ALTER TABLE {mart} DROP IF EXISTS {specs}")

@@ -113,15 +113,15 @@ def split_log(
             log = log.where(window.covers_day(F.col(day), slack=slack))
     members = ", ".join(f"CASE WHEN {rule.where} THEN '{source}' END" for source, rule in rules.items())
     other_stamps = [
-        f"WHEN source = '{source}' THEN {rule.stamp}" for source, rule in rules.items() if rule.stamp != stamp
+        f"WHEN __source = '{source}' THEN {rule.stamp}" for source, rule in rules.items() if rule.stamp != stamp
     ]
     at = f"CASE {' '.join(other_stamps)} ELSE {stamp} END" if other_stamps else stamp
     rows = (
-        log.selectExpr("*", f"explode(array({members})) AS source")
-        .where("source IS NOT NULL")
+        log.selectExpr("*", f"explode(array({members})) AS __source")
+        .where("__source IS NOT NULL")
         .selectExpr(
             f"{user} AS anonymous_id",
-            "source",
+            "__source AS source",
             f"{at} AS received_at",
             f"{at} AS active_at",
             f"{event} AS event",
