@@ -17,6 +17,50 @@ def test_sql_over_frames_binds_parameters(spark):
     assert rows_of(found) == [(4, "it's")]
 
 
+DIALECT = [
+    ("nvl(NULL, 3)", 3),
+    ("nvl2(NULL, 1, 0)", 0),
+    ("nvl2(5, 1, 0)", 1),
+    ("decode(0, 0, 0, 1)", 0),
+    ("decode(4, 0, 0, 1)", 1),
+    ("decode(CAST(NULL AS INT), 0, 0, 1)", 1),
+    ("decode('true', 'true', true, 'false', false)", True),
+    ("decode('other', 'true', true, 'false', false)", None),
+    ("split_part('z@y', '@', 1)", "z"),
+    ("split_part('zy', '@', 1)", "zy"),
+    ("json_extract_path_text('{\"1003\":\"7\"}', '1003')", "7"),
+    ("json_extract_path_text('{\"a b\":1}', 'a b')", "1"),
+    ("json_extract_path_text('{}', '1003')", None),
+    ("json_extract_path_text('bad', '1003')", None),
+    ("json_extract_array_element_text('[{\"email\":\"z\"},5]', 0)", '{"email":"z"}'),
+    ("json_extract_array_element_text('[]', 0)", None),
+    ("CAST(date_trunc('day', timestamp_ntz'2024-01-01 15:00:00' + interval '9 hour') AS STRING)", "2024-01-02 00:00:00"),
+    ("CAST(timestamp_ntz'2024-01-02 00:00:00' + interval '-1 days' AS STRING)", "2024-01-01 00:00:00"),
+]
+
+
+@pytest.mark.parametrize("expression, value", DIALECT)
+def test_warehouse_sql_runs(spark, expression, value):
+    assert SqlFrames(spark).create_df(f"SELECT {expression} AS v").first()[0] == value
+
+
+def test_sql_with_ctes_unions_ordinals_and_lateral_aliases(spark):
+    found = sql_over_frames(
+        spark,
+        """
+        WITH stacked AS (
+          SELECT k, 1 AS left_row, 0 AS right_row FROM l UNION ALL SELECT k, 0, 1 FROM r),
+        once AS (SELECT k FROM l UNION SELECT k FROM r)
+        SELECT k, max(left_row) AS in_left, max(right_row) AS in_right, in_left + in_right AS sides
+        FROM (SELECT s.* FROM stacked s JOIN once o ON s.k = o.k)
+        WHERE k IS NOT NULL
+        GROUP BY 1 HAVING count(*) > 0
+        """,
+        {"l": spark.range(3).toDF("k"), "r": spark.range(2, 4).toDF("k")},
+    )
+    assert rows_of(found) == [(0, 1, 0, 1), (1, 1, 0, 1), (2, 1, 1, 2), (3, 0, 1, 1)]
+
+
 def test_create_df_and_csv(spark):
     path = scratch_path(spark, "frame")
     frame = SqlFrames(spark).create_df("SELECT 1 AS a, CAST(NULL AS STRING) AS b", save_csv=True, file_path=path)

@@ -27,6 +27,19 @@ WHERE b.createddate >= CAST(:start_at AS timestamp_ntz) AND b.createddate < CAST
 GROUP BY p.name, b.stagekey
 """
 
+FLAGS_SQL = """
+WITH opened AS (
+  SELECT pipelineid, json_extract_path_text(fields, '1014') AS flag,
+         json_extract_path_text(json_extract_array_element_text(assignedtosharingentries, 0), 'email') AS email
+  FROM boxes)
+SELECT p.name AS pipeline_name, nvl(flag, 'none') AS flag, count(*) AS boxes, count(email) AS with_email,
+       sum(nvl2(email, 0, 1)) AS without_email
+FROM (SELECT * FROM opened WHERE pipelineid IS NOT NULL)
+JOIN pipelines AS p ON pipelineid = p.id
+GROUP BY 1, 2
+HAVING count(*) > 0
+"""
+
 # Windows of the replace query: the mart is refilled on three days, the last of them without new rows.
 REPLACED = DayWindow(datetime(2024, 1, 12), datetime(2024, 1, 15))
 REFILLED = DayWindow(datetime(2024, 1, 12), datetime(2024, 1, 14))
@@ -55,6 +68,11 @@ def stages_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_over_frames(spark, STAGES_SQL, frames, {"start_at": "1996-01-01", "end_at": "2001-01-01"})
 
 
+def flags_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = {"boxes": sample.boxes(spark, sf_dir), "pipelines": sample.pipelines(spark, sf_dir)}
+    return sql_over_frames(spark, FLAGS_SQL, frames)
+
+
 def sql_to_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     statement = f"""
         SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users, max(ts) AS last_at
@@ -115,6 +133,7 @@ PROFILED = ("rep_name", "category_id", "stage_type_id", "is_flagged", "leadsourc
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_tracks": scan_tracks,
     "sql_over_frames": stages_by_sql,
+    "sql_json_functions": flags_by_sql,
     "sql_to_frame": sql_to_frame,
     "user_visits_asis_distinct": lambda spark, sf: visits.user_visits_asis_distinct(sample.tracks(spark, sf)),
     "user_visits_asis": lambda spark, sf: visits.user_visits_asis(sample.tracks(spark, sf)),

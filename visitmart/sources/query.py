@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from visitmart.functions.sqlnames import register_sql_functions
 from visitmart.session import checkpointed
 from visitmart.sinks.load import write_csv
 
@@ -19,6 +20,7 @@ def sql_over_frames(
     params: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """Register each frame as a view of its alias and run the query; ``:name`` parameters are bound."""
+    register_sql_functions(spark)
     for alias, frame in frames.items():
         frame.createOrReplaceTempView(alias)
     return spark.sql(query, args=dict(params or {}))
@@ -93,6 +95,7 @@ class SqlFrames:
         parallel and is needed there.
         """
         if self.jdbc is None:
+            register_sql_functions(self.spark)
             frame = self.spark.sql(sql)
         elif split is None:
             raise ValueError("a JDBC query needs a split column, or one task would read the whole result")
