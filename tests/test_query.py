@@ -141,25 +141,32 @@ def test_jdbc_split_column_without_values():
     assert "partitionColumn" not in reader.loads[-1]
 
 
-class Settings:
-    def __init__(self, **settings):
-        self.settings = {key.replace("__", "."): value for key, value in settings.items()}
-        self.conf = self
+class Session:
+    """Stands in for a session: the settings, the master and the context's checkpoint folder."""
+
+    def __init__(self, master, **settings):
+        self.conf, self.sparkContext = self, self
+        self.master, self.settings, self.folder = master, settings, None
 
     def get(self, key, default=None):
-        return self.settings.get(key, default)
+        return self.settings.get(key.replace(".", "_"), default)
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
-    def set(self, key, value):
-        self.settings[key] = value
+    def getCheckpointDir(self):
+        return self.folder
 
 
 def test_shared_folder_is_the_one_the_cluster_names():
-    named = Settings(spark__checkpoint__dir="hdfs://shared/x/", spark__master="yarn")
-    assert shared_folder(named) == "hdfs://shared/x"
+    assert shared_folder(Session("yarn", spark_checkpoint_dir="hdfs://shared/x/")) == "hdfs://shared/x"
     with pytest.raises(RuntimeError):
-        shared_folder(Settings(spark__master="yarn"))
-    local = Settings(spark__master="local[2]")
-    assert shared_folder(local) == shared_folder(local)
+        shared_folder(Session("yarn"))
+    on_context = Session("yarn")
+    on_context.setCheckpointDir("hdfs://shared/y")
+    assert shared_folder(on_context) == "hdfs://shared/y"
+    local = Session("local[2]")
+    assert shared_folder(local).startswith("/tmp/") and shared_folder(local) == shared_folder(local)
 
 
 def test_scratch_tables_lie_in_the_shared_folder(spark):

@@ -29,23 +29,24 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see: the one named in ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it gets a fresh folder under /tmp.
+    A checkpoint folder set on the context serves as well. Only a local session may do
+    without either; it gets a fresh folder under /tmp.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="visitmart-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="visitmart-", dir="/tmp"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
     """The frame's rows written once to the shared folder, with their lineage cut."""
     context = frame.sparkSession.sparkContext
+    folder = shared_folder(frame.sparkSession)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(frame.sparkSession))
+        context.setCheckpointDir(folder)
     return frame.checkpoint()
 
 
