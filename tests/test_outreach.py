@@ -7,7 +7,10 @@ from conftest import rows_of
 from visitmart.functions.jsoncols import as_flag, as_int, json_members, part
 from visitmart.plans.outreach import outreach_ods, outreach_parsed, outreach_rejects
 
-SCHEMA = "id string, pipelineid string, assignedtosharingentries string, fields string, stagekey string, createddate timestamp_ntz"
+SCHEMA = (
+    "id string, pipelineid string, assignedtosharingentries string, fields string, stagekey string,"
+    " createddate timestamp_ntz"
+)
 DAY = datetime(2024, 1, 1)
 
 FIELD_CASES = [

@@ -20,24 +20,27 @@ from visitmart.sources.query import SqlFrames, sql_over_frames
 from visitmart.sources.tables import named_table, parquet_table
 from visitmart.sources.tracks import stack_tracks
 
+# Counted per pipeline before the names are joined on, so that a pipeline with most boxes is a few rows by then.
 STAGES_SQL = """
-SELECT p.name AS pipeline_name, b.stagekey, count(*) AS boxes, min(b.createddate) AS first_at
-FROM boxes AS b JOIN pipelines AS p ON b.pipelineid = p.id
-WHERE b.createddate >= CAST(:start_at AS timestamp_ntz) AND b.createddate < CAST(:end_at AS timestamp_ntz)
-GROUP BY p.name, b.stagekey
+SELECT p.name AS pipeline_name, stagekey, boxes, first_at
+FROM (SELECT pipelineid, stagekey, count(*) AS boxes, min(createddate) AS first_at
+      FROM boxes
+      WHERE createddate >= CAST(:start_at AS timestamp_ntz) AND createddate < CAST(:end_at AS timestamp_ntz)
+      GROUP BY pipelineid, stagekey)
+JOIN pipelines AS p ON pipelineid = p.id
 """
 
 FLAGS_SQL = """
 WITH opened AS (
   SELECT pipelineid, json_extract_path_text(fields, '1014') AS flag,
          json_extract_path_text(json_extract_array_element_text(assignedtosharingentries, 0), 'email') AS email
-  FROM boxes)
-SELECT p.name AS pipeline_name, nvl(flag, 'none') AS flag, count(*) AS boxes, count(email) AS with_email,
-       sum(nvl2(email, 0, 1)) AS without_email
-FROM (SELECT * FROM opened WHERE pipelineid IS NOT NULL)
-JOIN pipelines AS p ON pipelineid = p.id
-GROUP BY 1, 2
-HAVING count(*) > 0
+  FROM boxes),
+counted AS (
+  SELECT pipelineid, nvl(flag, 'none') AS flag, count(*) AS boxes, count(email) AS with_email,
+         sum(nvl2(email, 0, 1)) AS without_email
+  FROM opened GROUP BY 1, 2 HAVING count(*) > 0)
+SELECT p.name AS pipeline_name, flag, boxes, with_email, without_email
+FROM counted JOIN pipelines AS p ON pipelineid = p.id
 """
 
 # Windows of the replace query: the mart is refilled on three days, the last of them without new rows.

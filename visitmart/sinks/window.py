@@ -43,12 +43,14 @@ def replace_window(frame: DataFrame, mart: str, window: DayWindow, time_col: str
     fails until then leaves the mart as it was, and running the window again mends a
     failure in the short steps after it.
 
-    With bounds inside a day, the old rows of that day outside the window are kept.
+    With bounds inside a day, the old rows of that day outside the window are kept. The
+    rows of a daily mart lie at midnight, so give it bounds at midnight: a day that the
+    window only cuts would keep its old row and get a second one.
     """
     spark = frame.sparkSession
     fresh = in_table_order(with_day(frame, time_col), mart)
     if not window.whole_days:
-        # Bounds are compared with the stored value; at midnight bounds no row of these days is kept.
+        # With bounds at midnight no row of these days is kept.
         inside = F.coalesce(window.holds(F.col(time_col)), F.lit(False))
         affected = F.col(DAY_COLUMN).between(F.lit(window.first_day), F.lit(window.last_day))
         fresh = fresh.unionByName(spark.table(mart).where(affected & ~inside))
