@@ -55,13 +55,16 @@ def scan_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_outer_join_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per person in three tables, joined on the first table's key."""
 
-    def per_person(table: str, key: str, count: str, *more) -> DataFrame:
-        rows = parquet_table(spark, sf_dir, table).groupBy(F.col(key).alias("person"))
+    def per_person(table: str, schema: str, key: str, count: str, *more) -> DataFrame:
+        rows = parquet_table(spark, sf_dir, table, schema).groupBy(F.col(key).alias("person"))
         return rows.agg(F.count("*").alias(count), *more)
 
     return full_outer_chain(
-        per_person("events", "user_id", "events", F.min("ts").alias("first_at")),
-        [per_person("orders", "o_custkey", "orders"), per_person("customer", "c_custkey", "accounts")],
+        per_person("events", sample.EVENTS, "user_id", "events", F.min("ts").alias("first_at")),
+        [
+            per_person("orders", sample.ORDERS, "o_custkey", "orders"),
+            per_person("customer", sample.CUSTOMER, "c_custkey", "accounts"),
+        ],
         "person",
     )
 

@@ -20,6 +20,15 @@ from visitmart.functions.daywindow import DayWindow
 from visitmart.sources.tables import parquet_table
 from visitmart.sources.tracks import TrackRule, TrackTable, split_log
 
+# Columns of the provided tables that are used here.
+EVENTS = "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+ORDERS = (
+    "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+)
+REGION = "r_regionkey INT, r_name STRING"
+CUSTOMER = "c_custkey BIGINT"
+
 WINDOW = DayWindow(datetime(2024, 1, 10), datetime(2024, 1, 11))
 PIPELINE = 2
 BATCHED_AT = datetime(2024, 1, 31, 9)
@@ -40,7 +49,7 @@ RULES = {
 
 def tracks(spark: SparkSession, sf_dir: str, window: DayWindow | None = None) -> DataFrame:
     """All tracks, from one scan of the log."""
-    log = parquet_table(spark, sf_dir, "events")
+    log = parquet_table(spark, sf_dir, "events", EVENTS)
     return split_log(
         log, RULES, user=DEVICE, event=EVENT, stamp="ts", slack=timedelta(hours=1), window=window
     )
@@ -48,7 +57,7 @@ def tracks(spark: SparkSession, sf_dir: str, window: DayWindow | None = None) ->
 
 def track_tables(spark: SparkSession, sf_dir: str) -> dict[str, TrackTable]:
     """The same tracks as one table per source."""
-    log = parquet_table(spark, sf_dir, "events")
+    log = parquet_table(spark, sf_dir, "events", EVENTS)
     return {
         source: TrackTable(
             log.where(rule.where).selectExpr(
@@ -71,7 +80,7 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = """concat('[{"email":"rep', o_custkey, '@example.com"},{"email":"x@y"}]')"""
     flag = "CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' ELSE 'null' END"
     fields = f"""concat('{{"1003":"', month(o_orderdate), '","1014":', {flag}, ',"1002":', day(o_orderdate), '}}')"""
-    return parquet_table(spark, sf_dir, "orders").selectExpr(
+    return parquet_table(spark, sf_dir, "orders", ORDERS).selectExpr(
         "o_orderkey AS id",
         "CAST(substr(o_orderpriority, 1, 1) AS INT) - 1 AS pipelineid",
         f"{_banded(ENTRY_SHAPES, entry)} AS assignedtosharingentries",
@@ -83,7 +92,7 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parquet_table(spark, sf_dir, "region").selectExpr("r_regionkey AS id", "r_name AS name")
+    return parquet_table(spark, sf_dir, "region", REGION).selectExpr("r_regionkey AS id", "r_name AS name")
 
 
 # Text of the JSON columns by price band (price / 10,000); other bands hold well-formed text.
