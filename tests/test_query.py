@@ -1,3 +1,6 @@
+from datetime import date, datetime
+from decimal import Decimal
+
 import pytest
 
 from conftest import rows_of
@@ -133,6 +136,15 @@ def test_jdbc_bounds_can_be_given():
     assert len(reader.loads) == 1 and reader.loads[0]["upperBound"] == "100"
 
 
+def test_jdbc_bounds_are_whole_numbers_or_dates():
+    reader = Reader((Decimal("3.00"), 90.5, 50))
+    read_query(reader, "SELECT id FROM t", {"url": "jdbc:x"}, Split("id", 8))
+    assert (reader.loads[-1]["lowerBound"], reader.loads[-1]["upperBound"]) == ("3", "90")
+    reader = Reader((date(2024, 1, 1), datetime(2024, 1, 2, 3), 50))
+    read_query(reader, "SELECT d FROM t", {"url": "jdbc:x"}, Split("d", 8))
+    assert (reader.loads[-1]["lowerBound"], reader.loads[-1]["upperBound"]) == ("2024-01-01", "2024-01-02 03:00:00")
+
+
 def test_jdbc_split_column_without_values():
     with pytest.raises(ValueError, match="no row has a value"):
         read_query(Reader((None, None, 7)), "SELECT id FROM t", {"url": "jdbc:x"}, Split("id", 4))

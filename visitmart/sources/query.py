@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,13 +64,18 @@ def read_query(spark: SparkSession, query: str, jdbc: Mapping[str, str], split:
         return reader.load()
     return (
         reader.option("partitionColumn", split.column)
-        .option("lowerBound", str(lower))
-        .option("upperBound", str(upper))
+        .option("lowerBound", _bound(lower))
+        .option("upperBound", _bound(upper))
         .option("numPartitions", split.parts)
         .load()
     )
 
 
+def _bound(value: Any) -> str:
+    """Bound as Spark reads it; numbers must be whole there, and a cut need not be exact."""
+    return str(int(value)) if isinstance(value, (Decimal, float)) else str(value)
+
+
 class SqlFrames:
     """Runs SQL text and hands back a DataFrame that stays on the executors.
 
