@@ -148,6 +148,26 @@ def test_few_files_per_day(spark):
     assert files.count() <= 40
 
 
+def test_heavy_day_is_cut_into_several_files(spark):
+    rows = spark.range(200000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("anonymous_id"),
+        F.when(F.col("id") % 100 == 0, "2024-01-02").otherwise("2024-01-01").cast("timestamp_ntz").alias("event_at"),
+        F.lit(1).alias("n"),
+    )
+    mart = scratch_table(spark, "mart")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        create_mart(rows, mart)
+        replace_window(rows, mart, DayWindow(datetime(2024, 1, 1), datetime(2024, 1, 3)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    named = spark.table(mart).select(DAY_COLUMN, F.input_file_name().alias("file"))
+    files = named.groupBy(DAY_COLUMN).agg(F.count_distinct("file"), F.count("*"))
+    found = {str(row[0]): (row[1], row[2]) for row in files.collect()}
+    assert found["2024-01-01"][0] > 3 and found["2024-01-01"][1] == 198000
+    assert found["2024-01-02"] == (1, 2000)
+
+
 def test_csv(spark):
     path = scratch_path(spark, "csv")
     frame = spark.createDataFrame([(1, None, ' a "b", c '), (2, "", None)], "n int, text string, more string")
