@@ -11,6 +11,7 @@ from visitmart import sample
 from visitmart.functions.daywindow import DayWindow
 from visitmart.oracle import track_statements
 from visitmart.plans import visits
+from visitmart.plans.outreach import outreach_ods, outreach_rejects
 from visitmart.sources.tables import parquet_table
 from visitmart.sources.tracks import TrackRule, split_log, stack_tracks
 
@@ -126,3 +127,33 @@ def test_windows_put_together_are_the_whole_run(spark):
     assert parts.count() == whole.count()
     assert whole.exceptAll(parts).count() == 0
     assert cuts[0] + timedelta(days=1) <= whole.agg(F.min("event_at")).first()[0]
+
+
+def test_outreach_figures(spark):
+    boxes = parquet_table(spark, SF, "orders").selectExpr(
+        "o_orderkey AS id",
+        "o_custkey % 25 AS pipelineid",
+        """CASE WHEN o_orderkey % 10 = 0 THEN '[]'
+           ELSE concat('[{"email":"rep', o_custkey % 40, '@example.com"},{"email":"x@y"}]') END
+           AS assignedtosharingentries""",
+        """concat('{',
+             CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 1 THEN '"1003":"",'
+               ELSE concat('"1003":"', o_custkey % 12, '",') END,
+             '"1014":', CASE o_orderkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE 'null' END,
+             ',"1002":', o_orderkey % 5, '}') AS fields""",
+        "substr(o_orderpriority, 1, 1) AS stagekey",
+        "o_orderdate AS createddate",
+    )
+    pipelines = parquet_table(spark, SF, "nation").selectExpr("n_nationkey AS id", "n_name AS name")
+    found = outreach_ods(boxes, pipelines, 7).selectExpr(
+        "count(*)",
+        "count_if(is_flagged)",
+        "count_if(NOT is_flagged)",
+        "count_if(is_flagged IS NULL)",
+        "count_if(category_id IS NULL)",
+        "count_if(rep_name IS NULL)",
+        "count_if(stage_type_id IS NULL OR leadsource_id IS NULL)",
+    )
+    assert tuple(found.first()) == (590, 174, 216, 200, 169, 53, 0)
+    rejects = outreach_rejects(boxes, 7).groupBy("column_name", "reason").count().collect()
+    assert [tuple(row) for row in rejects] == [("rep_name", "empty_array", 53)]

@@ -168,6 +168,22 @@ def test_heavy_day_is_cut_into_several_files(spark):
     assert found["2024-01-02"] == (1, 2000)
 
 
+def test_one_day_with_adaptive_execution_off(spark):
+    rows = spark.range(1000, numPartitions=8).select(
+        F.col("id").cast("string").alias("anonymous_id"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("event_at"),
+        F.lit(1).alias("n"),
+    )
+    mart = scratch_table(spark, "mart")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        create_mart(rows, mart)
+        replace_window(rows, mart, DayWindow(datetime(2024, 1, 1), datetime(2024, 1, 2)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spark.table(mart).count() == 1000
+
+
 def test_csv(spark):
     path = scratch_path(spark, "csv")
     frame = spark.createDataFrame([(1, None, ' a "b", c '), (2, "", None)], "n int, text string, more string")

@@ -22,9 +22,10 @@ def with_day(frame: DataFrame, time_col: str = "event_at") -> DataFrame:
 
 
 def spread_by_day(frame: DataFrame) -> DataFrame:
-    """Rows of a day brought together, so that a load of many days writes few files per day.
+    """Rows of a day brought together, so that a load writes few files per day.
 
-    The rebalance lets adaptive execution cut a day that holds too much of the data.
+    The rebalance lets adaptive execution cut a day that holds more than a file's worth,
+    and it is left out where adaptive execution is off.
     """
     return frame.hint("rebalance", DAY_COLUMN)
 
@@ -54,10 +55,7 @@ def replace_window(frame: DataFrame, mart: str, window: DayWindow, time_col: str
         inside = F.coalesce(window.holds(F.col(time_col)), F.lit(False))
         affected = F.col(DAY_COLUMN).between(F.lit(window.first_day), F.lit(window.last_day))
         fresh = fresh.unionByName(spark.table(mart).where(affected & ~inside))
-    if window.first_day != window.last_day:
-        fresh = spread_by_day(fresh)
-
-    with staged(fresh, mart, DAY_COLUMN) as stage:
+    with staged(spread_by_day(fresh), mart, DAY_COLUMN) as stage:
         new_days = _days(spark, stage)
         outside = [day for day in new_days if not _within(window, day)]
         if outside:
