@@ -1,5 +1,6 @@
 import glob
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,31 @@ def test_overwrite_by_condition_states_the_window(spark):
     assert [row.n for row in stamps.where(frame.condition).orderBy("n").collect()] == [2, 3]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_in_a_row_equal_delete_and_append(spark, seed):
+    rng = random.Random(seed)
+    start = datetime(2024, 1, 1)
+
+    def random_rows(lo, hi, least):
+        hours = int((hi - lo).total_seconds() // 3600)
+        return [(f"u{rng.randrange(5)}", lo + timedelta(hours=rng.randrange(hours)), rng.randrange(100)) for _ in range(least)]
+
+    model = random_rows(start, start + timedelta(days=6), 40)
+    mart = scratch_table(spark, "mart")
+    create_mart(spark.createDataFrame(model, SCHEMA), mart)
+    for _ in range(5):
+        unit = rng.choice([24, 6])
+        lo = start + timedelta(hours=unit * rng.randrange(5 * 24 // unit))
+        hi = lo + timedelta(hours=unit * rng.randrange(1, 6))
+        fresh = random_rows(lo, hi, rng.choice([0, 1, 8]))
+        replace_window(spark.createDataFrame(fresh, SCHEMA), mart, DayWindow(lo, hi))
+        model = [row for row in model if not lo <= row[1] < hi] + fresh
+        expected = spark.createDataFrame(model, SCHEMA)
+        assert mart_rows(spark, mart) == rows_of(expected)
+        kept_days = {row[0] for row in spark.table(mart).select(F.col("event_at").cast("date")).distinct().collect()}
+        assert {row[0] for row in spark.table(mart).select(DAY_COLUMN).distinct().collect()} == kept_days
+
+
 def test_truncate_load(spark, mart):
     truncate_load(with_day(days(spark, [("q", "2024-06-01", 7)])), mart)
     assert mart_rows(spark, mart) == [("q", at("2024-06-01"), 7)]
