@@ -1,6 +1,6 @@
 """The provided tables read as the relations that the plans expect.
 
-Tracks: every row of ``events``. A device id is the user and a four-hour slot of the
+Tracks: every row of ``events``. A device id holds the user and a four-hour slot of the
 day, NULL for one user, so that many devices miss a platform. Views are web tracks,
 clicks and the dearer views are the second web source (the two overlap), purchases are
 Android tracks stamped by the hour (with repeats), sign-ups and errors are iOS tracks
@@ -37,7 +37,7 @@ DEAR_VIEW = 30.0
 
 
 # As SQL over the columns of events.
-DEVICE = f"concat(nullif(user_id, {LOGGED_OUT_USER}), '-', hour(ts) div 4)"
+DEVICE = f"nullif(user_id, {LOGGED_OUT_USER}) * 6 + hour(ts) div 4"
 EVENT = "nullif(event_type, 'error')"
 RULES = {
     "web": TrackRule("event_type = 'view'", "ts"),
