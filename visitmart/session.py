@@ -17,6 +17,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Sessions that run many plans in turn keep the code generated for them.
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
         .config("spark.ui.enabled", "false")
     )
     if master:
