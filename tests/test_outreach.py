@@ -1,10 +1,10 @@
 from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
 from visitmart.functions.jsoncols import as_flag, as_int, json_members, part
+from visitmart.operators.joins import BROADCAST_ROWS, fits_broadcast
 from visitmart.plans.outreach import outreach_ods, outreach_parsed, outreach_rejects
 
 SCHEMA = (
@@ -142,24 +142,44 @@ def test_only_the_pipeline_and_batch_time(spark):
     assert outreach_ods(frame, names, "absent").count() == 0
 
 
-@pytest.mark.parametrize("threshold", ["-1", "10485760"])
-def test_join_of_one_key_spreads_copies_over_the_tasks(spark, threshold):
-    """All rows share the key and are copies of one row; the lookup side even has two rows."""
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+def copies_and_names(spark, copies, names):
+    """Copies of one box, and as many pipeline rows of its id."""
+    one = boxes(spark, [('[{"email":"z@y"}]', "{}", "5")])
+    many = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("n").repartition(8)
+    return many, spark.createDataFrame([("p", f"P{at}") for at in range(names)], "id string, name string")
+
+
+def explained(frame, capsys):
+    frame.explain()
+    return capsys.readouterr().out
+
+
+def test_few_lookup_rows_are_broadcast(spark, capsys):
+    copies, names = copies_and_names(spark, 5000, 2)
+    joined = outreach_ods(copies, names, "p")
+    assert "BroadcastHashJoin" in explained(joined, capsys)
+    assert joined.count() == 10000
+    assert joined.groupBy("pipeline_name").count().count() == 2
+
+
+def test_many_lookup_rows_are_joined_by_a_spread_shuffle(spark, capsys):
+    copies, names = copies_and_names(spark, 80, BROADCAST_ROWS + 1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        copies = boxes(spark, [('[{"email":"z@y"}]', "{}", "5")]).crossJoin(spark.range(5000, numPartitions=8)["id",].toDF("n"))
-        copies = copies.drop("n")
-        names = spark.createDataFrame([("p", "P"), ("p", "P2")], "id string, name string")
         joined = outreach_ods(copies, names, "p")
-        assert joined.groupBy("pipeline_name").count().count() == 2
-        assert joined.count() == 10000
-        if threshold == "-1":
-            spark.conf.set("spark.sql.adaptive.enabled", "false")
-            sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-            assert len(sizes) > 1 and max(row["count"] for row in sizes) < 6000
+        plan = explained(joined, capsys)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        sizes = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 80 * (BROADCAST_ROWS + 1)
+        assert len(sizes) > 2 and max(sizes) < sum(sizes) * 0.6
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    adaptive = outreach_ods(copies, names, "p")
+    assert adaptive.count() == 80 * (BROADCAST_ROWS + 1)
+    assert "SortMergeJoin" in explained(adaptive, capsys)
+
+
+def test_size_check(spark):
+    assert fits_broadcast(spark.range(0)) and fits_broadcast(spark.range(BROADCAST_ROWS))
+    assert not fits_broadcast(spark.range(BROADCAST_ROWS + 1))
+    assert not fits_broadcast(spark.range(20).select(F.repeat(F.lit("x"), 1 << 20).alias("wide")))

@@ -9,22 +9,37 @@ from pyspark.sql import functions as F
 
 _SALT = "__salt"
 
+# Most that a broadcast side may hold: rows, and bytes of them as JSON text.
+BROADCAST_ROWS = 1000
+BROADCAST_BYTES = 8 << 20
+
+
+def fits_broadcast(frame: DataFrame) -> bool:
+    """True if the frame is proven small; reads no more rows than it takes to tell."""
+    few = frame.limit(BROADCAST_ROWS + 1)
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*frame.columns)))), F.lit(0))
+    rows, size = few.agg(F.count("*"), size).first()
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
 
 def single_key_join(facts: DataFrame, facts_key: str, lookup: DataFrame, lookup_key: str, value) -> DataFrame:
     """Inner join of the rows that carry one key value on both sides.
 
     All rows share the key, so a shuffle join on it alone would run in one task. The
-    fact rows' input partition is part of the join key and the few lookup rows are
-    repeated for each of its values, which also spreads copies of one row. Spark may
-    still broadcast the lookup side by its own size check.
+    lookup rows are counted first. A few of them are broadcast. If they are many, the
+    fact rows' input partition becomes part of the join key, which also spreads copies
+    of one row, and the lookup rows are repeated for each of its values.
     """
+    left = facts.where(F.col(facts_key) == value)
+    right = lookup.where(F.col(lookup_key) == value)
+    if fits_broadcast(right):
+        return left.join(F.broadcast(right), left[facts_key] == right[lookup_key], "inner")
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = 1 << (partitions - 1).bit_length()
     # The partition number, not a random one: a re-run task gives the same salt.
-    salt = F.spark_partition_id().bitwiseAND(F.lit(salts - 1))
-    left = facts.where(F.col(facts_key) == value).withColumn(_SALT, salt)
-    right = lookup.where(F.col(lookup_key) == value)
-    right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    left = left.withColumn(_SALT, F.spark_partition_id().bitwiseAND(F.lit(salts - 1)))
+    # Spark's size estimate does not see the repetition, so it must not choose a broadcast here.
+    right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     match = (left[facts_key] == right[lookup_key]) & (left[_SALT] == right[_SALT])
     return left.join(right, match, "inner").drop(left[_SALT]).drop(right[_SALT])
 
