@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmart.llm import langid, lines, mixing, sharding, simhash
+from visitmart.llm import decontam, embeddings, langid, lines, mixing, quality, sharding, simhash, tokens
 from visitmart.llm.common import id_crc32
 
 
@@ -19,10 +19,18 @@ def kept_sha256(text: str = "text") -> F.Column:
     return F.sha2(F.col(text).cast("binary"), 256).alias("kept_sha256")
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.document_tokens(table(spark, sf_dir, "documents"))
+
+
 def shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
+def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -45,10 +53,36 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed.cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_crc32() % 5 == 0, F.lit(False))
+    model = quality.train(docs.where(~held_out), table(spark, sf_dir, "labels"))
+    found = quality.score(docs, model)
+    predicted = F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0)
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": token_counts,
     "op3_sharding": shard_placement,
+    "op4_embedding_dedup": embedding_groups,
     "op5_weighted_mix": weighted_mix,
     "op6_simhash": simhash_groups,
     "op7_line_dedup": line_dedup,
+    "op8_decontamination": decontamination,
     "op9_language_id": language_id,
+    "op10_quality": quality_score,
 }
