@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from visitmart.session import scratch_path
 
@@ -77,7 +78,10 @@ def passes(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
 
 
 def arrow_map(
-    frame: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text"
+    frame: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str | StructType,
+    column: str = "text",
 ) -> DataFrame:
     """``work`` over passes of the frame; it is given a batch and returns a batch or None."""
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from visitmart.llm.common import arrow_map, text_rows
 
@@ -117,15 +118,14 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED) -> di
     return prototypes
 
 
-def identify(
+def tag(
     docs: DataFrame,
     prototypes: dict[str, np.ndarray],
-    id_col: str = "doc_id",
     text_col: str = "text",
     dimensions: int = DIMENSIONS,
     seed: int = SEED,
 ) -> DataFrame:
-    """(doc_id, lang_pred, score) for every row.
+    """The rows with all their columns, and ``lang_pred`` and ``score`` (columns of these names are replaced).
 
     ``score`` is the cosine to the best prototype, 0 where it is negative; equal cosines go to
     the first language by name. Null texts, texts without a letter and all texts if nothing was
@@ -135,29 +135,46 @@ def identify(
     names = sorted(lang for lang, vector in prototypes.items() if vector.any())
     matrix = np.array([prototypes[n] / np.linalg.norm(prototypes[n]) for n in names]) if names else np.zeros((0, dimensions))
     letters: list[Letters] = []
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")])
+
+    def judged(texts: list[str | None]) -> tuple[list[str], list[float]]:
+        has = [any(c.isalpha() for c in t or "") for t in texts]
+        if not names:
+            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        bundles = letters[0].bundles(texts)
+        norms = np.linalg.norm(bundles, axis=1)
+        cosines = bundles @ matrix.T / np.maximum(norms, 1)[:, None]
+        best = cosines.argmax(axis=1)
+        top = np.clip(cosines[np.arange(len(texts)), best], 0, 1)
+        known = [names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has)]
+        return known, [s if ok else 0.0 for s, ok in zip(top.tolist(), has)]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not letters:
             letters.append(Letters(dimensions, seed))
-        texts = batch.column("text").to_pylist()
+        texts = batch.column(text_col).to_pylist()
         preds: list[str] = []
         scores: list[float] = []
         for at in range(0, len(texts), BLOCK_TEXTS):
-            rows = letters[0].bundles(texts[at : at + BLOCK_TEXTS])
-            norms = np.linalg.norm(rows, axis=1)
-            if not names:
-                preds += [UNKNOWN] * len(rows)
-                scores += [0.0] * len(rows)
-                continue
-            cosines = np.where(norms[:, None] > 0, rows @ matrix.T / np.maximum(norms, 1)[:, None], -1)
-            best = cosines.argmax(axis=1)
-            has = [any(c.isalpha() for c in t or "") for t in texts[at : at + BLOCK_TEXTS]]
-            preds += [names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has)]
-            top = np.clip(cosines[np.arange(len(rows)), best], 0, 1)
-            scores += [s if ok else 0.0 for s, ok in zip(top.tolist(), has)]
+            some = judged(texts[at : at + BLOCK_TEXTS])
+            preds += some[0]
+            scores += some[1]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
-            names=["doc_id", "lang_pred", "score"],
+            [*batch.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
+            names=[*batch.schema.names, "lang_pred", "score"],
         )
 
-    return arrow_map(text_rows(docs, id_col, text_col), work, "doc_id long, lang_pred string, score double")
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return arrow_map(rows, work, schema, text_col)
+
+
+def identify(
+    docs: DataFrame,
+    prototypes: dict[str, np.ndarray],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    dimensions: int = DIMENSIONS,
+    seed: int = SEED,
+) -> DataFrame:
+    """(doc_id, lang_pred, score) for every row, see ``tag``."""
+    return tag(text_rows(docs, id_col, text_col), prototypes, "text", dimensions, seed).drop("text")

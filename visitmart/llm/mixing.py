@@ -92,10 +92,12 @@ def mix(
     repeats: int = MAX_REPEATS,
     seed: int = 0,
     group_docs: int = GROUP_DOCS,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for every row of (doc_id, source, text).
+    """(row, doc_id, source, size, source_size, target, passes, taken) for every row of (doc_id, source, text).
 
-    ``taken`` is ``size`` times the passes in which the document lies before the cut. Equal
+    ``passes`` are the times the document lies before the cut, ``taken`` is ``size`` times
+    these. ``row`` is the long column ``row_col``, if that is given, and else any number. Equal
     seeds give equal results. Null texts and texts without words have size 0 and take 0; a
     source of such texts only has target 0. Null sources are one source, the last. Rows
     repeated in full are documents of their own that follow each other in the queue, in an
@@ -105,7 +107,7 @@ def mix(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"),
-        F.monotonically_increasing_id().alias("row"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
     )
     sized = staged(named, "mix_sizes")
     targets = staged(source_targets(sized, weights, percent, repeats), "mix_targets")
@@ -132,10 +134,15 @@ def mix(
     ranged = staged(ranged.withColumn("range", F.spark_partition_id()), "mix_order")
     served = _scanned(ranged, [], "range", order, "size", "served")
     passes = served.where(F.col("served") <= F.lit(budget)).groupBy("row").agg(F.count("*").alias("passes"))
-    taken = sized.join(passes, "row", "left").select(
-        "doc_id", "source", "size", (F.col("size") * F.coalesce(F.col("passes"), F.lit(0))).alias("taken")
-    )
-    own = taken["source"].eqNullSafe(targets["source"])
-    return taken.join(targets, own, "left").select(
-        "doc_id", "size", targets["source_size"], targets["target"], "taken", taken["source"]
+    counted = sized.join(passes, "row", "left").withColumn("passes", F.coalesce("passes", F.lit(0).cast("long")))
+    own = counted["source"].eqNullSafe(targets["source"])
+    return counted.join(targets, own, "left").select(
+        "row",
+        "doc_id",
+        counted["source"],
+        "size",
+        "source_size",
+        "target",
+        "passes",
+        (F.col("size") * F.col("passes")).alias("taken"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmart.llm import decontam, embeddings, langid, lines, mixing, quality, sharding, simhash, tokens
+from visitmart.llm import decontam, embeddings, langid, lines, mixing, phrases, quality, sharding, simhash, tokens
 from visitmart.llm.common import id_crc32
 
 
@@ -23,6 +23,11 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.document_tokens(table(spark, sf_dir, "documents"))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", kept_sha256())
+
+
 def shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
@@ -32,7 +37,8 @@ def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +83,7 @@ def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
+    "op2_substring_dedup": substring_dedup,
     "op3_sharding": shard_placement,
     "op4_embedding_dedup": embedding_groups,
     "op5_weighted_mix": weighted_mix,
