@@ -48,8 +48,8 @@ def staged(frame: DataFrame, prefix: str) -> DataFrame:
 
 
 def small_side(frame: DataFrame, row_bytes: int) -> DataFrame:
-    """The frame, marked for broadcast if its rows are counted to fit ``SMALL_SIDE_BYTES``."""
-    return F.broadcast(frame) if frame.count() * row_bytes <= SMALL_SIDE_BYTES else frame
+    """The frame, marked for broadcast if its rows are counted to fit ``SMALL_SIDE_BYTES``, else for a merge join."""
+    return frame.hint("broadcast" if frame.count() * row_bytes <= SMALL_SIDE_BYTES else "merge")
 
 
 def by_doc(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:

@@ -287,7 +287,7 @@ def remove_repeats(
     )
     place = F.struct("order_id", "text_key", "at")
     firsts = spelled.groupBy("w1", "w2").agg(F.min(place).alias("first"))
-    later = spelled.join(firsts, ["w1", "w2"]).where(F.col("first") < place)
+    later = spelled.join(firsts.hint("merge"), ["w1", "w2"]).where(F.col("first") < place)
     bits = later.groupBy("k1", "k2").agg(F.bit_or(F.expr("shiftleft(1, CAST(j AS int))")).alias("mask"))
     masks = located.union(bits)
 

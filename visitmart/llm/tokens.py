@@ -196,4 +196,4 @@ def document_tokens(
     spark: SparkSession = docs.sparkSession
     manifest = write_token_files(text_rows(docs, id_col, text_col), scratch_path(spark, "token_files"), tokenizer, end_id)
     counts = token_counts(file_lengths(manifest.select("path").distinct()), end_id, 2, block_bytes)
-    return manifest.join(counts, ["path", "doc_no"]).select("doc_id", "n_tokens")
+    return manifest.join(counts.hint("merge"), ["path", "doc_no"]).select("doc_id", "n_tokens")
