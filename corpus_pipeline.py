@@ -37,7 +37,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     named = groups.join(numbered.select("_row", "doc_id"), "_row")
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     kept = named.groupBy("component_id").agg(least.alias("kept")).select("kept._row")
-    return numbered.join(staged(kept, "pipeline_kept"), "_row", "left_semi").select(*docs.columns)
+    return numbered.join(staged(kept, "pipeline_kept").hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Rows as often as the mix takes them: not at all, once, or twice."""
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
     passes = mixing.mix(numbered, row_col="_row").where("passes > 0").select(F.col("row").alias("_row"), "passes")
-    taken = numbered.join(staged(passes, "pipeline_mix"), "_row")
+    taken = numbered.join(staged(passes, "pipeline_mix").hint("merge"), "_row")
     return taken.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes")))).select(*docs.columns)
 
 

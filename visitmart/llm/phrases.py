@@ -267,7 +267,7 @@ def remove_repeats(
     repeated = chosen.groupBy("phrase").agg(F.sum("n").alias("total")).where("total > 1").select("phrase")
     per_doc = chosen.select(*keys, "phrase").join(repeated, "phrase").groupBy(*keys).agg(F.collect_set("phrase").alias("phrases"))
     per_doc = staged(per_doc, "phrases_repeated")
-    segments = staged(arrow_map(rows.drop("doc_id").join(per_doc, keys), _segments(window, phrase), SEGMENT), "phrase_segments")
+    segments = staged(arrow_map(rows.drop("doc_id").join(per_doc.hint("merge"), keys), _segments(window, phrase), SEGMENT), "phrase_segments")
 
     same = ["k1", "k2", "phrase", "offset", "windows", "words"]
     occurrence = F.struct("order_id", "text_key", "begin")
@@ -302,5 +302,5 @@ def remove_repeats(
     lists = marked.where("mask > 0").groupBy(*keys).agg(F.collect_set(F.struct("begin", "mask")).alias("marks"))
     lists = lists.select(*keys, F.col("marks.begin").alias("begins"), F.col("marks.mask").alias("masks"))
     lists = staged(lists, "phrase_marks")
-    joined = rows.join(lists, keys, "left").select("doc_id", "text", "begins", "masks")
+    joined = rows.join(lists.hint("merge"), keys, "left").select("doc_id", "text", "begins", "masks")
     return arrow_map(joined, _removed(window), KEPT)
