@@ -45,16 +45,54 @@ def test_sources_partitioned_by_day(spark):
     source, mart = scratch_table(spark, "web"), scratch_table(spark, "mart")
     frame = sample.track_tables(spark, SF)["web"].frame
     frame.withColumn("dt", F.col("timestamp").cast("date")).write.partitionBy("dt").saveAsTable(source)
-    run(spark, ["--web", source, "--day-partition", "dt"], mart, datetime(2024, 1, 4, 0))
+    only_web = ["--web", source, "--without", "click", "--without", "aos", "--without", "ios", "--day-partition", "dt"]
+    run(spark, only_web, mart, datetime(2024, 1, 4, 0))
     rows = frame.where("anonymous_id IS NOT NULL").where(
         (F.col("timestamp") >= at("2024-01-02 15:00:00")) & (F.col("timestamp") < at("2024-01-03 15:00:00"))
     )
     assert spark.table(mart).agg(F.sum("web_event")).first()[0] == rows.count() > 0
 
 
-def test_a_source_is_needed():
-    with pytest.raises(SystemExit):
-        daily_visits.arguments(["--mart", "m"])
+def test_every_source_is_named_or_left_out_on_purpose():
+    named = [f"--{source}={source}" for source in ("web", "click", "aos", "ios")]
+    assert daily_visits.arguments(["--mart", "m", *named]).without == []
+    left_out = [part for source in ("web", "click", "aos", "ios") for part in ("--without", source)]
+    for wrong in ([], named[:1], [*named, "--without", "web"], left_out):
+        with pytest.raises(SystemExit):
+            daily_visits.arguments(["--mart", "m", *wrong])
+
+
+def test_a_mart_is_not_refilled_without_a_source(spark, sources):
+    mart = scratch_table(spark, "mart")
+    day = ["--start-at", "2024-01-10", "--end-at", "2024-01-11"]
+    run(spark, sources, mart, datetime(2024, 2, 1), *day)
+    before = rows_of(spark.table(mart))
+    for more in ([], ["--full-refresh"]):
+        with pytest.raises(ValueError, match="wipe"):
+            run(spark, [*sources[:-2], "--without", "ios"], mart, datetime(2024, 2, 1), *day, *more)
+    assert rows_of(spark.table(mart)) == before
+
+
+def test_bounds_inside_a_day_are_refused(spark, sources):
+    mart = scratch_table(spark, "mart")
+    run(spark, sources, mart, datetime(2024, 1, 11))
+    before = rows_of(spark.table(mart))
+    with pytest.raises(ValueError, match="midnight"):
+        run(spark, sources, mart, datetime(2024, 1, 12), "--start-at", "2024-01-10 12:00:00")
+    assert rows_of(spark.table(mart)) == before
+
+
+def test_full_refresh_under_dynamic_overwrite(spark, sources):
+    mart, key = scratch_table(spark, "mart"), "spark.sql.sources.partitionOverwriteMode"
+    run(spark, sources, mart, datetime(2024, 1, 6), "--full-refresh")
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        run(spark, sources, mart, datetime(2024, 1, 4), "--full-refresh")
+    finally:
+        spark.conf.set(key, before)
+    expected = daily_plan(sample.tracks(spark, SF)).where(F.col("event_at") < at("2024-01-04"))
+    assert rows_of(spark.table(mart).drop(DAY_COLUMN)) == rows_of(expected)
 
 
 def test_outreach_job(spark):

@@ -142,6 +142,44 @@ def test_truncate_load(spark, mart):
     assert rows_of(spark.table(f"spark_catalog.{table}")) == [(2, "y")]
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+@pytest.mark.parametrize("direct", [False, True])
+def test_truncate_load_empties_all_days(spark, mart, mode, direct):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        truncate_load(with_day(days(spark, [("q", "2024-01-02", 7)])), mart, direct=direct)
+        assert spark.conf.get(key) == mode
+    finally:
+        spark.conf.set(key, before)
+    assert mart_rows(spark, mart) == [("q", at("2024-01-02"), 7)]
+
+
+def test_window_replace_leaves_the_sessions_setting(spark, mart, monkeypatch):
+    """The setting is not changed for a moment, as another thread would see it."""
+    changed = []
+    kind = type(spark.conf)
+    plain = kind.set
+    monkeypatch.setattr(kind, "set", lambda self, key, value: (changed.append(key) if self is spark.conf else None, plain(self, key, value))[1])
+    replace_window(days(spark, [("b", "2024-01-02", 2)]), mart, WINDOW)
+    assert changed == []
+    assert mart_rows(spark, mart) == [("a", at("2024-01-01"), 1), ("b", at("2024-01-02"), 2)]
+
+
+def test_unqualified_names_are_those_of_the_session(spark):
+    full = scratch_table(spark, "plain")
+    database, name = full.split(".")
+    truncate_load(spark.sql("SELECT 1 AS a"), full)
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        truncate_load(spark.sql("SELECT 2 AS a"), name)
+        assert rows_of(spark.table(name)) == [(2,)]
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def test_truncate_load_from_itself_and_after_a_failure(spark):
     table = scratch_table(spark, "plain")
     truncate_load(spark.sql("SELECT 1 AS a UNION ALL SELECT 2"), table)

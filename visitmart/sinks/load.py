@@ -6,21 +6,28 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from visitmart.sinks.stage import in_table_order, staged
+from visitmart.sinks.stage import in_table_order, insert_over, staged
 
 
-def truncate_load(frame: DataFrame, table: str) -> None:
+def truncate_load(frame: DataFrame, table: str, *, direct: bool = False) -> None:
     """Replace all rows of a catalog table, keeping its definition; create it if it is missing.
 
-    Columns are matched by name. The rows are staged first, so that the target is empty
-    only while finished rows are copied.
+    Columns are matched by name. Rows of partitions that the new rows don't reach go as well,
+    whatever partition overwrite mode the session has. The rows are staged first, so that the
+    target is empty only while finished rows are copied, and the frame may read the target.
+    ``direct`` writes them once, by truncate and append: for frames that don't read the target,
+    where an empty target after a failure does no harm.
     """
     spark = frame.sparkSession
     if not spark.catalog.tableExists(table):
         frame.write.saveAsTable(table)
-        return
-    with staged(in_table_order(frame, table), table) as stage:
-        spark.table(stage).write.insertInto(table, overwrite=True)
+    elif direct:
+        rows = in_table_order(frame, table)
+        spark.sql(f"TRUNCATE TABLE {table}")
+        rows.write.insertInto(table)
+    else:
+        with staged(in_table_order(frame, table), table) as stage:
+            insert_over(spark, stage, table, "static")
 
 
 def truncate_load_jdbc(frame: DataFrame, table: str, jdbc: Mapping[str, str]) -> None:

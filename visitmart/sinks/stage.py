@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 @contextmanager
@@ -31,3 +31,21 @@ def in_table_order(frame: DataFrame, table: str) -> DataFrame:
     if unknown:
         raise ValueError(f"{table} has no column {', '.join(sorted(unknown))}")
     return frame.select(*columns)
+
+
+def insert_over(spark: SparkSession, source: str, table: str, mode: str) -> None:
+    """Overwrite a table by the rows of another one, in the given partition overwrite mode.
+
+    ``static`` empties the whole table, ``dynamic`` the partitions that the new rows are in. The
+    insert takes the mode from its session and from nowhere else, so it runs in a session of its
+    own: the caller's session, and other threads in it, keep their setting.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    own.catalog.setCurrentCatalog(spark.catalog.currentCatalog())
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    in_table_order(own.table(source), table).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmart.functions.daywindow import DayWindow
-from visitmart.sinks.stage import in_table_order, staged
+from visitmart.sinks.stage import in_table_order, insert_over, staged
 
 DAY_COLUMN = "event_day"
-_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def with_day(frame: DataFrame, time_col: str = "event_at") -> DataFrame:
@@ -61,15 +58,17 @@ def replace_window(frame: DataFrame, mart: str, window: DayWindow, time_col: str
         if outside:
             raise ValueError(f"new rows lie outside the window: {outside[:5]}")
         emptied = [day for day in _days(spark, mart) if _within(window, day) and day not in new_days]
-        with _overwrite_by_day(spark):
-            in_table_order(spark.table(stage), mart).write.insertInto(mart, overwrite=True)
+        insert_over(spark, stage, mart, "dynamic")
         if emptied:
             specs = ", ".join(f"PARTITION ({DAY_COLUMN} = DATE '{day}')" for day in emptied)
             spark.sql(f"ALTER TABLE {mart} DROP IF EXISTS {specs}")
 
 
 def overwrite_window(frame: DataFrame, mart: str, window: DayWindow, time_col: str = "event_at") -> None:
-    """As ``replace_window``, in one commit, for table formats that overwrite by condition."""
+    """As ``replace_window``, in one commit, for table formats that overwrite by condition.
+
+    No such format is installed here: this has only been run against a stand-in for a frame.
+    """
     frame.writeTo(mart).overwrite(window.holds(F.col(time_col)))
 
 
@@ -81,14 +80,3 @@ def _days(spark: SparkSession, table: str) -> set[date | None]:
     """Day partitions of a table, from the catalog; there is one entry per calendar day."""
     values = (row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect())
     return {None if value == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(value) for value in values}
-
-
-@contextmanager
-def _overwrite_by_day(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions that the written rows belong to."""
-    before = spark.conf.get(_MODE)
-    spark.conf.set(_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_MODE, before)
