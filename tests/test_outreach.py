@@ -2,8 +2,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from conftest import rows_of
-from visitmart.functions.jsoncols import as_flag, as_int, json_members, part
+from conftest import SF, rows_of
+from visitmart import sample
+from visitmart.functions.jsoncols import as_flag, as_int, as_text, first_value, marked_json, member, one_value, part
 from visitmart.operators.joins import BROADCAST_ROWS, fits_broadcast
 from visitmart.plans.outreach import outreach_ods, outreach_parsed, outreach_rejects
 
@@ -39,6 +40,14 @@ FIELD_CASES = [
     ("null", None, None),
     ("5", None, None),
     ("bad", None, None),
+    ('{"1003":"7"} junk', None, None),
+    ('{"1003":"7"},{"1003":"8"}', None, None),
+    ('{"1003":"7"}{"1003":"8"}', None, None),
+    ('{"1003":"7"}]', None, None),
+    ('{"1003":"7"}] junk [', None, None),
+    ('[{"1003":"7"}]]', None, None),
+    ("{'1003':'7'}", None, None),
+    (' {"1003":"7"} ', 7, None),
     ("", None, None),
     (None, None, None),
 ]
@@ -46,7 +55,8 @@ FIELD_CASES = [
 
 def test_member_values(spark):
     frame = spark.createDataFrame([(at, case[0]) for at, case in enumerate(FIELD_CASES)], "at int, text string")
-    value = json_members(F.col("text"), ["1003", "1014"]).getField("1003")
+    text = F.col("text")
+    value = as_text(member(first_value(one_value(marked_json(text), text)), "1003"))
     found = frame.select("at", as_int(value).alias("number"), as_flag(value).alias("flag")).orderBy("at").collect()
     assert [(row.number, row.flag) for row in found] == [case[1:] for case in FIELD_CASES]
 
@@ -72,6 +82,12 @@ EMAIL_CASES = [
     ("[5]", None, "not_an_object"),
     ("[null]", None, "not_an_object"),
     ('"z@y"', None, "not_an_object"),
+    ('[{"email":5}]', None, "not_text"),
+    ('[{"email":true}]', None, "not_text"),
+    ('[{"email":{"a":"b"}}]', None, "not_text"),
+    ('[{"email":"z@y"}] junk', None, "malformed_json"),
+    ('[{"email":"z@y"}]]', None, "malformed_json"),
+    ('{"email":"z@y"}{"email":"a@b"}', None, "malformed_json"),
     (None, None, None),
     ("", None, None),
 ]
@@ -114,6 +130,7 @@ def test_field_and_stage_rejects(spark):
     )
     assert rows_of(outreach_rejects(frame, "p").select("id", "column_name", "reason")) == [
         ("0", "category_id", "not_an_integer"),
+        ("0", "is_flagged", "not_a_flag"),
         ("0", "leadsource_id", "not_an_integer"),
         ("0", "stage_type_id", "not_an_integer"),
         ("1", "fields", "empty_array"),
@@ -124,6 +141,15 @@ def test_field_and_stage_rejects(spark):
     ]
 
 
+def test_bad_shapes_are_in_the_sample(spark):
+    """The oracle check is worth as much as the shapes it meets."""
+    found = {tuple(row) for row in outreach_rejects(sample.boxes(spark, SF), sample.PIPELINE).select("column_name", "reason").collect()}
+    assert {("rep_name", "not_text"), ("rep_name", "malformed_json"), ("fields", "malformed_json"), ("is_flagged", "not_a_flag")} <= found
+    texts = {row.source_text for row in outreach_rejects(sample.boxes(spark, SF), sample.PIPELINE).select("source_text").distinct().collect()}
+    shapes = [*sample.ENTRY_SHAPES.items(), *sample.FIELD_SHAPES.items()]
+    assert {text for band, text in shapes if band >= 25} <= texts
+
+
 def test_stage_key(spark):
     frame = boxes(spark, [(None, None, "5"), (None, None, ""), (None, None, "x"), (None, None, None)])
     names = spark.createDataFrame([("p", "P")], "id string, name string")

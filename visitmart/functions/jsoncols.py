@@ -2,29 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A parse reads the first JSON value of a text and leaves the rest. So the text is parsed as the
+# first element of an array whose second and last element is the text's own hash: if that is
+# found where it must be, the text was exactly one value.
+
+
+def marked_json(text: Column) -> Column:
+    """The parsed array of the text and its hash. Keep it as a column of its own: it is the one parse."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text.cast("binary")), F.lit('"]')))
 
-def json_members(text: Column, keys: Sequence[str]) -> Column:
-    """Struct of the named members as text, from an object or from the first object of an array.
 
-    One parse serves all keys. NULL for NULL, empty text, malformed JSON, an empty
-    array, and for values that are not objects. Text after the first JSON value is
-    not looked at; of a repeated key the last value counts.
+def one_value(marked: Column, text: Column) -> Column:
+    """The text as a variant if it is exactly one JSON value; ``marked`` is its ``marked_json``.
+
+    NULL for NULL, empty text, malformed JSON and text after the value. An object that repeats
+    a key keeps its last value where ``spark.sql.variant.allowDuplicateKeys`` is on, as in
+    ``build_session``, and is malformed elsewhere. The JSON value ``null`` is a variant, not NULL.
     """
-    members = ",".join(f"`{key}`:string" for key in keys)
+    complete = F.try_variant_get(marked, "$[1]", "string") == F.md5(text.cast("binary"))
+    return F.when(complete, F.try_variant_get(marked, "$[0]", "variant"))
+
+
+def one_value_sql(text: str) -> str:
+    """The same as SQL text; the lambda keeps it at one parse."""
+    return (
+        f"transform(array(try_parse_json(concat('[', {text}, ',\"', md5({text}), '\"]'))), marked ->"
+        f" CASE WHEN try_variant_get(marked, '$[1]', 'string') = md5({text})"
+        " THEN try_variant_get(marked, '$[0]', 'variant') END)[0]"
+    )
+
+
+def is_array(value: Column) -> Column:
+    return F.schema_of_variant(value).startswith("ARRAY")
+
+
+def is_object(value: Column) -> Column:
+    return F.schema_of_variant(value).startswith("OBJECT")
 
-    def first_object(json: Column) -> Column:
-        parsed = F.from_json(json, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
-        return F.get(parsed, F.lit(0))
 
-    # An array that also holds other things than objects gives nothing as a whole; then
-    # its first element is read by itself. Other texts do not get this far.
-    element = F.get_json_object(text, "$[0]")
-    return F.coalesce(first_object(text), first_object(F.when(element.startswith("{"), element)))
+def first_value(value: Column) -> Column:
+    """The value, or the first element of an array; NULL for an empty array."""
+    return F.when(is_array(value), F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
+
+
+def member(value: Column, key: str) -> Column:
+    """A member of an object as a variant; NULL if it is missing or the value is no object."""
+    return F.when(is_object(value), F.try_variant_get(value, f"$['{key}']", "variant"))
+
+
+def as_text(value: Column) -> Column:
+    """A variant as text, whatever it holds; NULL for the JSON value ``null``.
+
+    A number that is written with a fraction of zero is not a whole number: it ends in ``.0``.
+    """
+    text = F.try_variant_get(value, "$", "string")
+    lost = F.schema_of_variant(value).startswith("DECIMAL") & ~text.contains(".")
+    return F.when(lost, F.concat(text, F.lit(".0"))).otherwise(text)
+
+
+def text_only(value: Column) -> Column:
+    """A variant that holds text, as text; NULL for any other."""
+    return F.when(F.schema_of_variant(value) == "STRING", as_text(value))
 
 
 def as_int(text: Column) -> Column:
@@ -46,26 +87,14 @@ def part(text: Column, separator: str, index: int) -> Column:
     return F.split_part(text, F.lit(separator), F.lit(index + 1))
 
 
-def unread(text: Column, parsed: Column, member: str | None = None) -> Column:
-    """True where the text holds something, but ``json_members`` gave no object, or no value for ``member``."""
-    value = parsed if member is None else parsed.getField(member)
-    return (F.coalesce(text, F.lit("")) != "") & value.isNull()
-
-
-def parse_problem(missing: Column, value: Column, member: str | None = None) -> Column:
-    """Why the text is ``unread``; NULL if it is not.
+def object_problem(text: Column, value: Column, first: Column) -> Column:
+    """Why a text gives no object; NULL if it does, or is NULL or empty.
 
-    ``value`` is the text as a variant, needed only where ``missing`` is true. An array
-    stands for its first element, as in ``json_members``.
+    ``value`` and ``first`` are the text's ``json_value`` and the ``first_value`` of that.
     """
-    is_array = F.schema_of_variant(value).startswith("ARRAY")
-    first = F.when(is_array, F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
     reason = (
         F.when(value.isNull(), "malformed_json")
-        .when(is_array & first.isNull(), "empty_array")
-        .when(~F.schema_of_variant(first).startswith("OBJECT"), "not_an_object")
+        .when(is_array(value) & first.isNull(), "empty_array")
+        .when(~is_object(first), "not_an_object")
     )
-    if member is not None:
-        given = F.try_variant_get(first, f"$['{member}']", "variant")
-        reason = reason.when(given.isNull(), "missing_key").otherwise("null_value")
-    return F.when(missing, reason)
+    return F.when(F.coalesce(text, F.lit("")) != "", reason)

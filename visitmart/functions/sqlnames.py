@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from visitmart.functions.jsoncols import one_value_sql
+
+_VALUE = one_value_sql("document")
+
 # Name, arguments and body. A missing key, a missing element and malformed JSON give NULL.
 _FUNCTIONS = {
-    "json_extract_path_text": ("document STRING, member STRING", r"get_json_object(document, concat('$[\'', member, '\']'))"),
-    "json_extract_array_element_text": ("document STRING, at INT", "get_json_object(document, concat('$[', at, ']'))"),
+    "json_extract_path_text": (
+        "document STRING, member STRING",
+        rf"try_variant_get({_VALUE}, concat('$[\'', member, '\']'), 'string')",
+    ),
+    "json_extract_array_element_text": (
+        "document STRING, at INT",
+        f"try_variant_get({_VALUE}, concat('$[', at, ']'), 'string')",
+    ),
 }
 
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Make the functions known to SQL text in this session.
 
-    ``nvl``, ``nvl2``, ``decode``, ``split_part`` and the date functions are Spark's own.
+    ``nvl``, ``nvl2``, ``decode``, ``split_part`` and the date functions are Spark's own. Each
+    call parses its document once.
     """
     for name, (arguments, body) in _FUNCTIONS.items():
         if not spark.catalog.functionExists(name):

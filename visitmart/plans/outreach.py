@@ -8,7 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.functions.daywindow import ntz
-from visitmart.functions.jsoncols import as_flag, as_int, json_members, parse_problem, part, unread
+from visitmart.functions.jsoncols import (
+    as_flag,
+    as_int,
+    as_text,
+    first_value,
+    marked_json,
+    member,
+    object_problem,
+    one_value,
+    part,
+    text_only,
+)
 from visitmart.operators.joins import single_key_join
 
 # Members of the two JSON columns.
@@ -17,38 +28,67 @@ CATEGORY = "1003"
 FLAG = "1014"
 LEAD_SOURCE = "1002"
 
+# Ranks the rows of samples.
+SAMPLE_ORDER = ("created_at", "rep_name", "category_id", "stage_type_id", "is_flagged", "leadsource_id")
 PARSED_COLUMNS = ("rep_name", "category_id", "stage_type_id", "is_flagged", "leadsource_id", "created_at")
 
 
-def _typed(boxes: DataFrame) -> DataFrame:
-    """Boxes with the JSON columns parsed, once per row and column."""
-    opened = boxes.withColumns(
+def _opened(boxes: DataFrame) -> DataFrame:
+    """Boxes with the JSON columns parsed, once per row and column, and their members."""
+    entries, fields = F.col("assignedtosharingentries"), F.col("fields")
+    parsed = boxes.withColumns({"__entries_json": marked_json(entries), "__fields_json": marked_json(fields)})
+    values = parsed.withColumns(
         {
-            "__entry": json_members(F.col("assignedtosharingentries"), [EMAIL]),
-            "__fields": json_members(F.col("fields"), [CATEGORY, FLAG, LEAD_SOURCE]),
+            "__entries": one_value(F.col("__entries_json"), entries),
+            "__values": one_value(F.col("__fields_json"), fields),
         }
     )
-    return opened.withColumns(
+    firsts = values.withColumns({"__entry": first_value(F.col("__entries")), "__fields": first_value(F.col("__values"))})
+    first = F.col("__fields")
+    return firsts.withColumns(
         {
-            "rep_name": part(F.col("__entry").getField(EMAIL), "@", 0),
-            "category_id": as_int(F.col("__fields").getField(CATEGORY)),
-            "is_flagged": as_flag(F.col("__fields").getField(FLAG)),
-            "leadsource_id": as_int(F.col("__fields").getField(LEAD_SOURCE)),
+            "__email": member(F.col("__entry"), EMAIL),
+            "__category": as_text(member(first, CATEGORY)),
+            "__flag": as_text(member(first, FLAG)),
+            "__source": as_text(member(first, LEAD_SOURCE)),
         }
     )
 
 
+def _typed(boxes: DataFrame) -> DataFrame:
+    """Boxes with the typed columns; the JSON columns and what was read from them are left out."""
+    return (
+        _opened(boxes)
+        .withColumns(
+            {
+                "rep_name": part(text_only(F.col("__email")), "@", 0),
+                "category_id": as_int(F.col("__category")),
+                "is_flagged": as_flag(F.col("__flag")),
+                "leadsource_id": as_int(F.col("__source")),
+            }
+        )
+        .drop("assignedtosharingentries", "fields", *_READ)
+    )
+
+
+# Columns that only serve the parse.
+_READ = ("__entries_json", "__fields_json", "__entries", "__values", "__entry", "__fields", "__email", "__category", "__flag", "__source")
+
+
 def outreach_ods(
     boxes: DataFrame, pipelines: DataFrame, pipeline_id, batched_at: datetime | None = None
 ) -> DataFrame:
     """Boxes of one pipeline with the pipeline's name and typed columns.
 
     ``batched_at`` is the run's shifted time; without it the column is left out.
-    A missing or unreadable JSON value gives NULL.
+    A missing or unreadable JSON value gives NULL. If pipelines repeat the id, each box
+    comes once per pipeline row, as in any inner join.
     """
     boxes = boxes.select("id", "pipelineid", "assignedtosharingentries", "fields", "stagekey", "createddate")
     names = pipelines.select(F.col("id").alias("pipeline_id"), F.col("name").alias("pipeline_name"))
-    rows = _typed(single_key_join(boxes, "pipelineid", names, "pipeline_id", pipeline_id)).select(
+    # Typed before the join, so that no JSON text is shuffled where the join needs a shuffle.
+    typed = _typed(boxes.where(F.col("pipelineid") == pipeline_id))
+    rows = single_key_join(typed, "pipelineid", names, "pipeline_id", pipeline_id).select(
         "id",
         "pipeline_id",
         "pipeline_name",
@@ -75,27 +115,26 @@ def outreach_parsed(boxes: DataFrame, pipeline_id) -> DataFrame:
 def outreach_rejects(boxes: DataFrame, pipeline_id) -> DataFrame:
     """One row per value that could not be read, with the reason and the source text.
 
-    A missing JSON member is a problem for the e-mail only; other members may be absent.
+    A missing JSON member is a problem for the e-mail only; other members may be absent, null
+    or empty. Every NULL that comes from an unusable text has its row here.
     """
-    entries, fields, members = F.col("assignedtosharingentries"), F.col("fields"), F.col("__fields")
-    rows = _typed(boxes.where(F.col("pipelineid") == pipeline_id)).withColumns(
-        {
-            "__no_email": unread(entries, F.col("__entry"), EMAIL),
-            "__no_fields": unread(fields, members),
-        }
-    )
-    # Only texts that gave nothing are parsed again, to tell why.
-    rows = rows.withColumns(
-        {
-            "__entry_value": F.when(F.col("__no_email"), F.try_parse_json(entries)),
-            "__fields_value": F.when(F.col("__no_fields"), F.try_parse_json(fields)),
-        }
+    entries, fields = F.col("assignedtosharingentries"), F.col("fields")
+    rows = _opened(boxes.where(F.col("pipelineid") == pipeline_id))
+    email = F.col("__email")
+    no_entry = object_problem(entries, F.col("__entries"), F.col("__entry"))
+    no_email = (
+        F.when(email.isNull(), "missing_key")
+        .when(F.schema_of_variant(email) == "VOID", "null_value")
+        .when(text_only(email).isNull(), "not_text")
     )
+    given = F.coalesce(entries, F.lit("")) != ""
+    flag = F.col("__flag")
     problems = F.array(
-        _problem("rep_name", parse_problem(F.col("__no_email"), F.col("__entry_value"), EMAIL), entries),
-        _problem("fields", parse_problem(F.col("__no_fields"), F.col("__fields_value")), fields),
-        _problem("category_id", _not_an_integer(members.getField(CATEGORY)), fields),
-        _problem("leadsource_id", _not_an_integer(members.getField(LEAD_SOURCE)), fields),
+        _problem("rep_name", F.when(given, F.coalesce(no_entry, no_email)), entries),
+        _problem("fields", object_problem(fields, F.col("__values"), F.col("__fields")), fields),
+        _problem("category_id", _not_an_integer(F.col("__category")), fields),
+        _problem("is_flagged", F.when((flag != "") & as_flag(flag).isNull(), "not_a_flag"), fields),
+        _problem("leadsource_id", _not_an_integer(F.col("__source")), fields),
         _problem("stage_type_id", _not_an_integer(F.col("stagekey")), F.col("stagekey")),
     )
     return (

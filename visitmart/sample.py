@@ -109,6 +109,10 @@ ENTRY_SHAPES: dict[int, str | None] = {
     9: '{"email":"solo@example.com"}',
     10: "[5]",
     23: '[{"email":"first@example.com"},5]',
+    25: '[{"email":"a@example.com"}] junk',
+    26: '[{"email":5}]',
+    27: '{"email":"a@example.com"}{"email":"b@example.com"}',
+    28: '[{"email":"a@example.com"}]]',
 }
 FIELD_SHAPES: dict[int, str | None] = {
     11: "bad",
@@ -122,4 +126,8 @@ FIELD_SHAPES: dict[int, str | None] = {
     19: "5",
     20: '{"1003":"7"',
     24: '[{"1003":"3"},null,"x"]',
+    29: '{"1003":"7"} junk',
+    30: '{"1003":"7"},{"1003":"8"}',
+    31: '{"1003":"7"}]',
+    32: '{"1014":"yes","1002":4}',
 }
