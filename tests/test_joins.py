@@ -39,3 +39,12 @@ def test_rows_without_a_key_do_not_meet_in_one_task(spark):
         assert max(sizes) < 6000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_frames_are_moved_once(spark, capsys):
+    """Each frame is grouped by the key; the joins add no exchange of their own."""
+    from conftest import SF
+    from visitmart import catalog
+
+    catalog.QUERIES["full_outer_chain"](spark, SF).explain("formatted")
+    assert capsys.readouterr().out.count("Arguments: hashpartitioning") < 5

@@ -116,3 +116,28 @@ def test_pipeline_filter_reaches_both_scans(spark, capsys, tmp_path):
     assert len(pushed) == 2
     assert any("EqualTo(pipelineid,2)" in filters for filters in pushed)
     assert any("EqualTo(r_regionkey,2)" in filters for filters in pushed)
+
+
+def test_one_parse_per_json_column(spark, capsys):
+    for name in ("sql_json_functions", "outreach_ods", "outreach_parsed", "outreach_rejects"):
+        catalog.QUERIES[name](spark, SF).explain("extended")
+        optimized = re.search(r"== Optimized Logical Plan ==(.*?)== Physical Plan ==", capsys.readouterr().out, re.DOTALL)
+        assert len(re.findall(r"VariantExpressionEvalUtils.parseJson", optimized.group(1))) == 2, name
+
+
+def test_lookup_check_moves_one_row_per_task(spark, capsys):
+    from visitmart.operators import joins
+
+    lookup = sample.pipelines(spark, SF)
+    assert joins.fits_broadcast(lookup)
+    text = plan(lookup.agg({"*": "count"}), capsys)
+    assert "Limit" not in text and "partial_count" in text
+
+
+def test_json_is_typed_before_a_shuffle(spark, capsys, monkeypatch):
+    from visitmart.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    text = plan(outreach_ods(sample.boxes(spark, SF), sample.pipelines(spark, SF), 2), capsys)
+    exchanged = [line for line in re.findall(r"Exchange\nInput \[\d+\]: (.*)", text)]
+    assert exchanged and all("assignedtosharingentries" not in line and "fields" not in line for line in exchanged)

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import rows_of
-from visitmart.operators.profile import column_domains, null_counts, row_counts, sample_rows
+from visitmart.operators.profile import column_domains, first_rows, null_counts, row_counts, sample_rows
 
 
 def frame(spark):
@@ -37,3 +37,17 @@ def test_samples(spark):
     assert rows_of(sample_rows(frame(spark), "n", null=True)) == [("b", None, False)]
     assert sample_rows(frame(spark), "n", null=False, rows=2).count() == 2
     assert sample_rows(frame(spark).where(F.lit(False)), "n", null=True).first() is None
+
+
+def test_first_rows(spark):
+    found = rows_of(first_rows(frame(spark), ["name", "flag"], ["n", "name"]))
+    assert sorted(found, key=str) == sorted(
+        [
+            ("name", True, None, 2, None),
+            ("name", False, "b", None, False),
+            ("flag", True, None, 2, None),
+            ("flag", False, "b", None, False),
+        ],
+        key=str,
+    )
+    assert first_rows(frame(spark).limit(0), ["n"], ["n"]).count() == 0

@@ -15,10 +15,9 @@ BROADCAST_BYTES = 8 << 20
 
 
 def fits_broadcast(frame: DataFrame) -> bool:
-    """True if the frame is proven small; reads no more rows than it takes to tell."""
-    few = frame.limit(BROADCAST_ROWS + 1)
+    """True if the frame is counted to be small: one aggregate, of which a row per task is moved."""
     size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*frame.columns)))), F.lit(0))
-    rows, size = few.agg(F.count("*"), size).first()
+    rows, size = frame.agg(F.count("*"), size).first()
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
@@ -26,9 +25,12 @@ def single_key_join(facts: DataFrame, facts_key: str, lookup: DataFrame, lookup_
     """Inner join of the rows that carry one key value on both sides.
 
     All rows share the key, so a shuffle join on it alone would run in one task. The
-    lookup rows are counted first. A few of them are broadcast. If they are many, the
-    fact rows' input partition becomes part of the join key, which also spreads copies
-    of one row, and the lookup rows are repeated for each of its values.
+    lookup rows are counted first, when the plan is built. A few of them are broadcast. If
+    they are many, the fact rows' input partition becomes part of the join key, which also
+    spreads copies of one row, and the lookup rows are repeated for each of its values.
+
+    The lookup is meant to hold the key once. If it repeats it, each fact row comes once per
+    lookup row, so the result has as many rows as the two counts multiplied.
     """
     left = facts.where(F.col(facts_key) == value)
     right = lookup.where(F.col(lookup_key) == value)
@@ -47,27 +49,32 @@ def single_key_join(facts: DataFrame, facts_key: str, lookup: DataFrame, lookup_
 def full_outer_chain(first: DataFrame, others: Sequence[DataFrame], key: str) -> DataFrame:
     """Full outer joins of the other frames, one after the other, all on the first frame's key.
 
-    Each frame has one row per key, as a GROUP BY gives. The result's key is the first
-    frame's: rows without a partner there have a NULL key and stay apart. From the
-    second join on, those NULL keys may be most of the rows and would all meet in one
-    task; as they match nothing, a hash of the row spreads them.
-    """
-    joined = first
-    for at, other in enumerate(others):
-        taken = f"__key_{at}"
-        left, right = joined, other.withColumnRenamed(key, taken)
-        match = F.col(key) == F.col(taken)
-        if at > 0:
-            left, right = _spread_nulls(left, key, "__left"), _spread_nulls(right, taken, "__right")
-            match = match & (F.col("__left") == F.col("__right"))
-        joined = left.join(right, match, "full_outer").drop("__left", "__right", taken)
-    return joined
-
-
-def _spread_nulls(frame: DataFrame, key: str, salt: str) -> DataFrame:
-    """A salt that is 0 for rows with a key, and differs between rows without one.
+    Each frame has one row per key, as a GROUP BY gives, and value columns of its own names. The
+    result's key is the first frame's: rows without a partner there have a NULL key and stay
+    apart, as do all rows whose own key is NULL.
 
-    The 0 is computed: Catalyst would take a constant out of the join keys.
+    No join is run. The frames are stacked and gathered by key once, and what each key has is
+    then written out as the rows that the joins would give. So the rows without a partner are
+    spread by the keys that they still have, and never meet under their NULL.
     """
-    zero = F.pmod(F.xxhash64(key), F.lit(1))
-    return frame.withColumn(salt, F.when(F.col(key).isNull(), F.xxhash64(*frame.columns)).otherwise(zero))
+    sides = [first, *others]
+    values = [[name for name in side.columns if name != key] for side in sides]
+    on = [f"__on_{at}" for at in range(len(sides))]
+    stacked = None
+    for at, side in enumerate(sides):
+        rows = side.withColumn(on[at], F.lit(True))
+        stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
+    gathered = stacked.groupBy(key).agg(
+        *[F.first(name, ignorenulls=True).alias(name) for names in values for name in names],
+        *[F.coalesce(F.bool_or(flag), F.lit(False)).alias(flag) for flag in on],
+    )
+    partners = F.col(key).isNotNull() & F.col(on[0])
+    together = F.when(partners, F.array(*on))
+    apart = [
+        F.when(~partners & F.col(flag), F.array(*[F.lit(other == flag) for other in on])) for flag in on
+    ]
+    seen = gathered.withColumn("__seen", F.explode(F.array(together, *apart))).where("__seen IS NOT NULL")
+    return seen.select(
+        F.when(F.get("__seen", F.lit(0)), F.col(key)).alias(key),
+        *[F.when(F.get("__seen", F.lit(at)), F.col(name)).alias(name) for at, names in enumerate(values) for name in names],
+    )

@@ -45,3 +45,25 @@ def sample_rows(frame: DataFrame, column: str, *, null: bool, rows: int = 1) ->
     """A few rows where the column is null, or where it has a value; reads no more than needed."""
     wanted = F.col(column).isNull() if null else F.col(column).isNotNull()
     return frame.where(wanted).limit(rows)
+
+
+def first_rows(frame: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Per column the first row where it is null, and the first where it has a value.
+
+    ``order`` names the columns that rank the rows, nulls first; it should tell all rows apart
+    that differ. One aggregate finds all of them; a case without rows has none in the result.
+    """
+    row = F.struct(*order, *[name for name in frame.columns if name not in order])
+    cases = [(name, null, F.col(name).isNull() if null else F.col(name).isNotNull()) for name in columns for null in (True, False)]
+    found = frame.agg(*[F.min(F.when(case, row)).alias(f"__{at}") for at, (_, _, case) in enumerate(cases)])
+    lines = F.array(
+        *[
+            F.struct(F.lit(name).alias("profiled_column"), F.lit(null).alias("is_null"), F.col(f"__{at}").alias("row"))
+            for at, (name, null, _) in enumerate(cases)
+        ]
+    )
+    return (
+        found.select(F.inline(lines))
+        .where("row IS NOT NULL")
+        .select("profiled_column", "is_null", *[F.col("row").getField(name).alias(name) for name in frame.columns])
+    )
