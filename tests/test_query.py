@@ -13,13 +13,23 @@ def test_sql_over_frames_binds_parameters(spark):
     names = spark.createDataFrame([(1, "one"), (4, "it's")], "n int, name string")
     found = sql_over_frames(
         spark,
-        "SELECT x.n, y.name FROM numbers x LEFT JOIN names y ON x.n = y.n WHERE x.n > :least AND y.name = :name",
+        "SELECT x.n, y.name FROM {numbers} x LEFT JOIN {names} y ON x.n = y.n WHERE x.n > :least AND y.name = :name",
         {"numbers": numbers, "names": names},
         {"least": 0, "name": "it's"},
     )
     assert rows_of(found) == [(4, "it's")]
 
 
+def test_frames_take_no_name_in_the_session(spark):
+    spark.sql("SELECT 'mine' AS v").createOrReplaceTempView("numbers")
+    before = {table.name for table in spark.catalog.listTables()}
+    found = sql_over_frames(spark, "SELECT sum(id) AS total FROM {numbers}", {"numbers": spark.range(4)})
+    assert found.first()[0] == 6
+    assert spark.table("numbers").first()[0] == "mine"
+    assert {table.name for table in spark.catalog.listTables()} == before
+    spark.catalog.dropTempView("numbers")
+
+
 DIALECT = [
     ("nvl(NULL, 3)", 3),
     ("nvl2(NULL, 1, 0)", 0),
@@ -35,6 +45,8 @@ DIALECT = [
     ("json_extract_path_text('{\"a b\":1}', 'a b')", "1"),
     ("json_extract_path_text('{}', '1003')", None),
     ("json_extract_path_text('bad', '1003')", None),
+    ("json_extract_path_text('{\"1003\":\"7\"} junk', '1003')", None),
+    ("json_extract_path_text(json_extract_array_element_text('[{\"email\":\"z@y\"}]', 0), 'email')", "z@y"),
     ("json_extract_array_element_text('[{\"email\":\"z\"},5]', 0)", '{"email":"z"}'),
     ("json_extract_array_element_text('[]', 0)", None),
     ("CAST(date_trunc('day', timestamp_ntz'2024-01-01 15:00:00' + interval '9 hour') AS STRING)", "2024-01-02 00:00:00"),
@@ -52,8 +64,8 @@ def test_sql_with_ctes_unions_ordinals_and_lateral_aliases(spark):
         spark,
         """
         WITH stacked AS (
-          SELECT k, 1 AS left_row, 0 AS right_row FROM l UNION ALL SELECT k, 0, 1 FROM r),
-        once AS (SELECT k FROM l UNION SELECT k FROM r)
+          SELECT k, 1 AS left_row, 0 AS right_row FROM {l} UNION ALL SELECT k, 0, 1 FROM {r}),
+        once AS (SELECT k FROM {l} UNION SELECT k FROM {r})
         SELECT k, max(left_row) AS in_left, max(right_row) AS in_right, in_left + in_right AS sides
         FROM (SELECT s.* FROM stacked s JOIN once o ON s.k = o.k)
         WHERE k IS NOT NULL
@@ -78,6 +90,14 @@ def test_csv_and_frame_hold_the_same_rows(spark):
     assert rows_of(frame) == rows_of(back)
 
 
+def test_tables_behind_csv_frames_go_with_their_owner(spark):
+    with SqlFrames(spark) as frames:
+        frame = frames.create_df("SELECT 1 AS a, NULL AS b", save_csv=True, file_path=scratch_path(spark, "frame"))
+        (table,) = frames.kept
+        assert spark.catalog.tableExists(table) and rows_of(frame) == [(1, None)]
+    assert not spark.catalog.tableExists(table)
+
+
 def test_jdbc_needs_a_split(spark):
     with pytest.raises(ValueError, match="split"):
         SqlFrames(spark, {"url": "jdbc:none"}).create_df("SELECT 1")

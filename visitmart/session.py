@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Sessions that run many plans in turn keep the code generated for them.
         .config("spark.sql.codegen.cache.maxEntries", "1000")
+        # JSON objects that repeat a key keep its last value; without this they count as malformed.
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:
@@ -57,9 +60,22 @@ def scratch_path(spark: SparkSession, prefix: str) -> str:
     return f"{shared_folder(spark)}/{prefix}_{uuid.uuid4().hex}"
 
 
+def scratch_database(spark: SparkSession) -> str:
+    """Database of this application's scratch tables, in the shared folder.
+
+    Named by the application, so that a lasting metastore never hands out an earlier one's folder.
+    """
+    name = f"{SCRATCH_DATABASE}_{re.sub('[^a-z0-9]', '_', spark.sparkContext.applicationId.lower())}"
+    if not spark.catalog.databaseExists(name):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch_path(spark, name)}'")
+    return name
+
+
 def scratch_table(spark: SparkSession, prefix: str) -> str:
-    """A new table name in a database kept in the shared folder."""
-    if not spark.catalog.databaseExists(SCRATCH_DATABASE):
-        location = scratch_path(spark, SCRATCH_DATABASE)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DATABASE} LOCATION '{location}'")
-    return f"{SCRATCH_DATABASE}.{prefix}_{uuid.uuid4().hex}"
+    """A new table name in the application's scratch database."""
+    return f"{scratch_database(spark)}.{prefix}_{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop all scratch tables of this application; frames that read them end here."""
+    spark.sql(f"DROP DATABASE IF EXISTS {scratch_database(spark)} CASCADE")

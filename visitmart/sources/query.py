@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from visitmart.functions.sqlnames import register_sql_functions
-from visitmart.session import checkpointed
+from visitmart.session import scratch_table
 from visitmart.sinks.load import write_csv
 
 
@@ -20,11 +20,13 @@ def sql_over_frames(
     frames: Mapping[str, DataFrame],
     params: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """Register each frame as a view of its alias and run the query; ``:name`` parameters are bound."""
+    """Run SQL text over frames: ``{name}`` in it stands for the frame of that name.
+
+    ``:name`` parameters are bound. The frames get no name in the session, so views and tables
+    of the caller that are called alike stay as they are. A brace of the text itself is doubled.
+    """
     register_sql_functions(spark)
-    for alias, frame in frames.items():
-        frame.createOrReplaceTempView(alias)
-    return spark.sql(query, args=dict(params or {}))
+    return spark.sql(query, args=dict(params or {}), **frames)
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,9 @@ def read_query(spark: SparkSession, query: str, jdbc: Mapping[str, str], split:
     """Result of a query run by the source database, read by ``split.parts`` tasks.
 
     ``jdbc`` holds Spark's JDBC options (url, driver, user, password, ...). Missing
-    bounds are asked from the database with a one-row aggregate.
+    bounds are asked from the database with a one-row aggregate. The database runs the query
+    once for the bounds and once per part: give bounds where the query aggregates, or let the
+    query read a table that the database has made of it.
     """
     query = query.strip().rstrip(";")
     lower, upper = split.lower, split.upper
@@ -80,13 +84,27 @@ class SqlFrames:
     """Runs SQL text and hands back a DataFrame that stays on the executors.
 
     Without ``jdbc`` the SQL is Spark's and sees the session catalog; with it the
-    database runs the SQL.
+    database runs the SQL. Results that were also written as CSV are kept in tables that this
+    object owns: use it in a ``with`` block, or call ``close``, to drop them.
     """
 
     def __init__(self, spark: SparkSession, jdbc: Mapping[str, str] | None = None):
         self.spark = spark
         self.jdbc = jdbc
+        self.kept: list[str] = []
+
+    def __enter__(self) -> SqlFrames:
+        return self
 
+    def __exit__(self, *error) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Drop the tables behind the frames of ``save_csv``; such frames end here."""
+        while self.kept:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.kept.pop()}")
+
+    # This call's name, arguments and their defaults.
     def create_df(
         self,
         sql: str,
@@ -96,9 +114,9 @@ class SqlFrames:
     ) -> DataFrame:
         """Frame of the query; ``save_csv`` also writes it as a CSV folder with NaN for null.
 
-        For that the result is checkpointed, so that the query runs once and the file
-        and the frame hold the same rows. ``split`` says how a JDBC result is read in
-        parallel and is needed there.
+        For that the result is written once as a table, from which the file and the frame are
+        taken, so that the query runs once and both hold the same rows. ``split`` says how a
+        JDBC result is read in parallel and is needed there.
         """
         if self.jdbc is None:
             register_sql_functions(self.spark)
@@ -108,6 +126,14 @@ class SqlFrames:
         else:
             frame = read_query(self.spark, sql, self.jdbc, split)
         if save_csv:
-            frame = checkpointed(frame)
+            frame = self._kept(frame)
             write_csv(frame, file_path)
         return frame
+
+    def _kept(self, frame: DataFrame) -> DataFrame:
+        """The frame's rows as a table of this object; columns without a type become text."""
+        table = scratch_table(self.spark, "sql_frame")
+        untyped = {name: frame[name].cast("string") for name, kind in frame.dtypes if kind == "void"}
+        frame.withColumns(untyped).write.format("parquet").saveAsTable(table)
+        self.kept.append(table)
+        return self.spark.table(table)
