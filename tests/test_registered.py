@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as registered
 from check import difference, duck
 from conftest import SF
+from visitmart import catalog
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_equals_sql(spark, name):
     assert name in registered.oracle_sql()
     assert difference(spark, duck(SF), name, SF) is None

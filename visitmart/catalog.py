@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -9,38 +10,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmart import sample
-from visitmart.functions.daywindow import DayWindow
+from visitmart.functions.daywindow import SHIFT_HOURS, DayWindow
 from visitmart.operators.joins import full_outer_chain
-from visitmart.operators.profile import column_domains, null_counts, row_counts
+from visitmart.operators.profile import column_domains, first_rows, null_counts, row_counts
 from visitmart.plans import outreach, visits
 from visitmart.session import scratch_path, scratch_table
 from visitmart.sinks.load import truncate_load
-from visitmart.sinks.window import DAY_COLUMN, create_mart, replace_window
+from visitmart.sinks.window import DAY_COLUMN, create_mart, replace_window, spread_by_day, with_day
 from visitmart.sources.query import SqlFrames, sql_over_frames
 from visitmart.sources.tables import named_table, parquet_table
 from visitmart.sources.tracks import stack_tracks
 
 # Counted per pipeline before the names are joined on, so that a pipeline with most boxes is a few rows by then.
 STAGES_SQL = """
-SELECT p.name AS pipeline_name, stagekey, boxes, first_at
-FROM (SELECT pipelineid, stagekey, count(*) AS boxes, min(createddate) AS first_at
-      FROM boxes
-      WHERE createddate >= CAST(:start_at AS timestamp_ntz) AND createddate < CAST(:end_at AS timestamp_ntz)
-      GROUP BY pipelineid, stagekey)
-JOIN pipelines AS p ON pipelineid = p.id
+SELECT p.name AS pipeline_name, stagekey, in_range, boxes, first_at
+FROM (SELECT pipelineid, stagekey,
+             createddate >= CAST(:start_at AS timestamp_ntz) AND createddate < CAST(:end_at AS timestamp_ntz) AS in_range,
+             count(*) AS boxes, min(createddate) AS first_at
+      FROM {boxes}
+      GROUP BY 1, 2, 3)
+JOIN {pipelines} AS p ON pipelineid = p.id
 """
 
 FLAGS_SQL = """
 WITH opened AS (
-  SELECT pipelineid, json_extract_path_text(fields, '1014') AS flag,
-         json_extract_path_text(json_extract_array_element_text(assignedtosharingentries, 0), 'email') AS email
-  FROM boxes),
+  SELECT pipelineid, nvl(json_extract_path_text(fields, '1014'), 'none') AS flag,
+         json_extract_array_element_text(assignedtosharingentries, 0) AS first_entry
+  FROM {boxes}),
 counted AS (
-  SELECT pipelineid, nvl(flag, 'none') AS flag, count(*) AS boxes, count(email) AS with_email,
-         sum(nvl2(email, 0, 1)) AS without_email
-  FROM opened GROUP BY 1, 2 HAVING count(*) > 0)
-SELECT p.name AS pipeline_name, flag, boxes, with_email, without_email
-FROM counted JOIN pipelines AS p ON pipelineid = p.id
+  SELECT pipelineid, flag, count(*) AS boxes, count(first_entry) AS with_entry,
+         sum(nvl2(first_entry, 0, 1)) AS without_entry
+  FROM opened GROUP BY 1, 2)
+SELECT p.name AS pipeline_name, flag, boxes, with_entry, without_entry
+FROM counted JOIN {pipelines} AS p ON pipelineid = p.id
 """
 
 # Windows of the replace query: the mart is refilled on three days, the last of them without new rows.
@@ -89,12 +91,15 @@ def sql_to_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
-    sample.boxes(spark, sf_dir).createOrReplaceTempView("visitmart_csv_boxes")
-    SqlFrames(spark).create_df(
-        "SELECT id, pipelineid, nullif(assignedtosharingentries, '') AS entries, fields, stagekey FROM visitmart_csv_boxes",
-        save_csv=True,
-        file_path=path,
-    )
+    view = f"csv_boxes_{uuid.uuid4().hex}"
+    sample.boxes(spark, sf_dir).createTempView(view)
+    with SqlFrames(spark) as frames:
+        frames.create_df(
+            f"SELECT id, pipelineid, nullif(assignedtosharingentries, '') AS entries, fields, stagekey FROM {view}",
+            save_csv=True,
+            file_path=path,
+        )
+    spark.catalog.dropTempView(view)
     return spark.read.option("header", True).option("escape", '"').option("nullValue", "NaN").csv(path)
 
 
@@ -102,10 +107,24 @@ def sink_truncate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_table(spark, "outreach_ods")
     old = outreach.outreach_ods(sample.boxes(spark, sf_dir), sample.pipelines(spark, sf_dir), 0)
     truncate_load(old, table)
-    truncate_load(outreach_ods(spark, sf_dir).drop("batched_at"), table)
+    truncate_load(outreach_ods(spark, sf_dir).drop("batched_at"), table, direct=True)
     return named_table(spark, f"spark_catalog.{table}")
 
 
+def sink_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart of days that lie three days too early, then fully refreshed, under dynamic partition overwrite."""
+    mart = scratch_table(spark, "visits")
+    tracks = sample.tracks(spark, sf_dir)
+    create_mart(visits.daily_visits(tracks, SHIFT_HOURS - 72), mart)
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        truncate_load(spread_by_day(with_day(visits.daily_visits(tracks))), mart)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+    return spark.table(mart).drop(DAY_COLUMN)
+
+
 def sink_window_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart first filled without the iOS source, then refilled in a window."""
     mart = scratch_table(spark, "visits")
@@ -134,6 +153,7 @@ def daily_visits_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.daily_visits(sample.tracks(spark, sf_dir, sample.WINDOW))
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 PROFILED = ("rep_name", "category_id", "stage_type_id", "is_flagged", "leadsource_id")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -156,7 +176,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_counts": lambda spark, sf: row_counts(outreach_parsed(spark, sf)),
     "profile_domain": lambda spark, sf: column_domains(outreach_parsed(spark, sf), PROFILED),
     "profile_nulls": lambda spark, sf: null_counts(outreach_parsed(spark, sf), PROFILED),
+    "profile_samples": lambda spark, sf: first_rows(outreach_parsed(spark, sf), PROFILED, outreach.SAMPLE_ORDER),
     "sink_truncate_load": sink_truncate_load,
+    "sink_full_refresh": sink_full_refresh,
     "sink_window_replace": sink_window_replace,
     "sink_csv": sink_csv,
 }
