@@ -1,0 +1,52 @@
+"""Rows that every operator has to take: nulls, empty and long texts, ties, repeats, clashing names."""
+
+from __future__ import annotations
+
+import random
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+# Columns that operators use for themselves or return.
+CLASHING = (
+    "component_id slot shard size taken target row part bits fingerprint score lang_pred words phrase "
+    "text_key order_id spans items passes _row kept n label least source_size vector"
+).split()
+
+
+def with_clashing(frame):
+    """The frame and a column of text under each name that an operator might use."""
+    from pyspark.sql import functions as F
+
+    new = [name for name in CLASHING if name not in frame.columns]
+    return frame.withColumns({name: F.lit("mine") for name in new})
+
+
+def sentence(rng: random.Random, words: int, vocabulary: int = 400) -> str:
+    return " ".join(f"w{rng.randrange(vocabulary)}é" if rng.random() < 0.1 else f"w{rng.randrange(vocabulary)}" for _ in range(words))
+
+
+def odd_rows(seed: int = 3) -> list[tuple]:
+    """About 40 rows with everything that may go wrong, near and exact copies among them."""
+    rng = random.Random(seed)
+    shared = sentence(rng, 60)
+    line = "This very line is found in so many of the documents here. "
+    texts: list[str | None] = [None, "", " \t\n\x0b\x0c\r ", "one", "A b c", "12 34 !! --", "...", "\x1c\x85\xa0 a"]
+    texts += [shared, shared, shared.upper(), shared + " tail", "head " + shared, sentence(rng, 15) + " " + shared]
+    texts += [f"{sentence(rng, 8)}\n{line}\n\n  {line.lower()}\t\n{sentence(rng, 3)}\n" for _ in range(7)]
+    texts += ["same " * 200, "same " * 90, sentence(rng, 20000), "x" * 100_000]
+    texts += [sentence(rng, rng.randrange(5, 80)) for _ in range(8)]
+    rows = [
+        (at, text, rng.choice(["en", "fr", None]), rng.choice(["a", "b", "ä", "Z", None]), None if text is None else len(text))
+        for at, text in enumerate(texts)
+    ]
+    rows += [(None, shared, "en", "a", 1), (None, None, None, None, None), (8, shared, "en", "a", len(shared))]
+    rows += [rows[12], rows[0], rows[20]]
+    rng.shuffle(rows)
+    return rows
+
+
+def odd_docs(spark, seed: int = 3):
+    return with_clashing(spark.createDataFrame(odd_rows(seed), DOCS).repartition(5))
+
+
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)

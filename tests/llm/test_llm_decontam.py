@@ -1,0 +1,76 @@
+import random
+import re
+
+import pytest
+
+from llm_rows import DOCS, no_docs, odd_docs, odd_rows, sentence
+from visitmart.llm import decontam
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute(rows, items, window=10):
+    wanted: dict = {}
+    for item_id, text in items:
+        own = words(text)
+        size = min(window, len(own))
+        for at in range(len(own) - size + 1 if size else 0):
+            wanted.setdefault(tuple(own[at : at + size]), set()).add(item_id)
+    out = []
+    for doc_id, text in rows:
+        own, hit, found = words(text), set(), set()
+        for size in {len(w) for w in wanted}:
+            for at in range(len(own) - size + 1):
+                ids = wanted.get(tuple(own[at : at + size]))
+                if ids:
+                    hit |= set(range(at, at + size))
+                    found |= ids
+        out.append((doc_id, len(own), len(hit), sorted(i for i in found if i is not None)))
+    return sorted(out, key=str)
+
+
+def check(spark, rows, items, docs=None, **options):
+    docs = spark.createDataFrame([(a, b, None, None, None) for a, b in rows], DOCS).repartition(3) if docs is None else docs
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.find_contamination(docs, bench, **options).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found), key=str) == brute(rows, items, options.get("window", 10))
+    for row in found:
+        assert sum(b - a for a, b in zip(row.spans[::2], row.spans[1::2])) == row.n_hit
+    clean = decontam.drop_contaminated(docs, bench, **options)
+    assert clean.columns == docs.columns
+    assert clean.count() == sum(row.n_hit == 0 for row in found)
+    return sum(row.n_hit > 0 for row in found)
+
+
+@pytest.mark.parametrize("window, block_pairs, vocabulary", [(10, 100_000, 60), (10, 40, 60), (3, 100_000, 12), (7, 30, 8)])
+def test_random_texts(spark, window, block_pairs, vocabulary):
+    rng = random.Random(window + vocabulary)
+    items = [(at, sentence(rng, rng.randrange(0, 30), vocabulary)) for at in range(25)]
+    items += [(30, "w1"), (31, "W2 w3"), (32, None), (33, "--"), (None, sentence(rng, 20, vocabulary)), items[3], (34, items[4][1])]
+    rows = []
+    for doc in range(50):
+        parts = [sentence(rng, rng.randrange(20), vocabulary)]
+        if rng.random() < 0.5:
+            own = (rng.choice(items)[1] or "").split()
+            at = rng.randrange(len(own) + 1)
+            parts += [", ".join(own[at : at + 15]).upper(), sentence(rng, 5, vocabulary)]
+        rows.append((doc, "\n".join(parts)))
+    rows += [(None, rows[0][1]), (1, rows[2][1]), rows[3], rows[3]]
+    assert check(spark, rows, items, window=window, block_pairs=block_pairs) > 0
+
+
+def test_odd_rows(spark):
+    rows = [(row[0], row[1]) for row in odd_rows()]
+    items = [(1, next(text for _, text in rows if text and " tail" in text)), (2, "one"), (3, None), (4, "same same")]
+    assert check(spark, rows, items, odd_docs(spark)) > 0
+
+
+def test_empty_tables(spark):
+    some = [(1, "a b c"), (2, None)]
+    assert check(spark, some, []) == 0
+    assert decontam.find_contamination(no_docs(spark), spark.createDataFrame(some, "item_id long, text string")).count() == 0

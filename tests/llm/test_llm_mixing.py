@@ -1,0 +1,69 @@
+import random
+import re
+
+import pytest
+
+from llm_rows import DOCS, no_docs, odd_docs, odd_rows
+from visitmart.llm import mixing
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def targets(sizes, weights=(5, 2, 1), percent=150, repeats=2):
+    """Shares by weight, excess shared again until no source is above its limit."""
+    names = sorted(sizes, key=lambda name: (name is None, (name or "").encode()))
+    weight = {name: weights[at % len(weights)] for at, name in enumerate(names)}
+    budget = sum(sizes.values()) * percent / 100
+    full: dict = {}
+    while True:
+        rest = budget - sum(full.values())
+        shared = sum(weight[n] for n in names if n not in full)
+        found = {n: full.get(n, rest * weight[n] / shared if shared else 0) for n in names}
+        above = [n for n in names if n not in full and found[n] > repeats * sizes[n]]
+        if not above:
+            return found
+        full |= {n: float(repeats * sizes[n]) for n in above}
+
+
+def check(rows, found):
+    sizes: dict = {}
+    for row in rows:
+        sizes[row[3]] = sizes.get(row[3], 0) + len(WORD.findall(row[1] or ""))
+    wanted = targets(sizes)
+    taken: dict = {name: 0 for name in sizes}
+    for row in found:
+        assert row.source_size == sizes[row.source]
+        assert row.target == pytest.approx(wanted[row.source])
+        assert row.taken in (0, row["size"], 2 * row["size"]) and row.taken == row["size"] * row.passes
+        taken[row.source] += row.taken
+    longest = max((row["size"] for row in found), default=0)
+    assert sum(taken.values()) <= sum(wanted.values()) + 1e-6
+    for name in sizes:
+        assert abs(taken[name] - wanted[name]) <= longest
+    assert sorted(((r.doc_id, r.source, r["size"]) for r in found), key=str) == sorted(
+        ((row[0], row[3], len(WORD.findall(row[1] or ""))) for row in rows), key=str
+    )
+
+
+@pytest.mark.parametrize("group_docs", [5, 20_000])
+def test_targets_and_takes(spark, group_docs):
+    rng = random.Random(1)
+    rows = [(at, "w " * rng.randrange(0, 60), None, f"s{min(rng.randrange(12), rng.randrange(12))}", 0) for at in range(600)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(6)
+    first = mixing.mix(docs, group_docs=group_docs).collect()
+    check(rows, first)
+    again = mixing.mix(docs.repartition(3), group_docs=7).collect()
+    pick = lambda found: sorted((r.doc_id, r.taken) for r in found)
+    assert pick(first) == pick(again)
+
+
+def test_a_hot_source_and_scarce_ones(spark):
+    rows = [(at, "a b c d", None, "hot" if at % 3 else f"s{at % 12}", 0) for at in range(300)] + [(900, None, None, "empty", 0)]
+    check(rows, mixing.mix(spark.createDataFrame(rows, DOCS), group_docs=20).collect())
+
+
+def test_odd_rows(spark):
+    check(odd_rows(), mixing.mix(odd_docs(spark)).collect())
+    assert mixing.mix(no_docs(spark)).count() == 0
+    nothing = spark.createDataFrame([(1, None, None, None, None), (2, " ", None, "b", 1)], DOCS)
+    assert [(r["size"], r.target, r.taken) for r in mixing.mix(nothing).collect()] == [(0, 0.0, 0)] * 2

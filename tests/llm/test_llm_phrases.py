@@ -1,0 +1,79 @@
+import hashlib
+import random
+
+import pytest
+
+from llm_rows import DOCS, no_docs, odd_docs, odd_rows, sentence, with_clashing
+from visitmart.llm import phrases, queries
+
+
+def brute(rows, window):
+    """Kept words by (id, text); rows repeated in full are one document."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(set(rows), key=lambda row: (row[0] is None, row[0] or 0, text_order(row[1]))):
+        words = (text or "").encode().split()
+        covered = [False] * len(words)
+        for at in range(len(words) - window + 1):
+            key = tuple(words[at : at + window])
+            if key in seen:
+                covered[at : at + window] = [True] * window
+            seen.add(key)
+        out[doc_id, text] = (len(words), sum(covered), b" ".join(w for w, c in zip(words, covered) if not c).decode())
+    return out
+
+
+def text_order(text):
+    import xxhash
+
+    value = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)  # Spark: a null leaves the seed
+    return value - (1 << 64) if value >= 1 << 63 else value
+
+
+def check(spark, rows, window, phrase):
+    docs = with_clashing(spark.createDataFrame([(a, b, None, None, None) for a, b in rows], DOCS).repartition(4))
+    found = phrases.remove_repeats(docs, window=window, phrase=phrase).collect()
+    wanted = brute(rows, window)
+    listed = sorted(((row.doc_id, row.n_words, row.n_removed, row.text) for row in found), key=str)
+    assert listed == sorted(((row[0], *wanted[row]) for row in rows), key=str)
+    return sum(row.n_removed for row in found)
+
+
+@pytest.mark.parametrize("window, phrase, vocabulary, hot", [(6, 2, 5, 5000), (6, 6, 8, 5000), (20, 5, 300, 5000), (6, 2, 5, 1)])
+def test_random_texts(spark, monkeypatch, window, phrase, vocabulary, hot):
+    monkeypatch.setattr(phrases, "PHRASE_SEGMENTS", hot)
+    monkeypatch.setattr(phrases, "SHARD_SEGMENTS", 50)
+    rng = random.Random(window * vocabulary)
+    passages = [sentence(rng, rng.randrange(3, 60), vocabulary) for _ in range(6)]
+    rows = [
+        (doc, " \n".join(rng.choice(passages) if rng.random() < 0.4 else sentence(rng, rng.randrange(30), vocabulary) for _ in range(4)))
+        for doc in range(60)
+    ]
+    assert check(spark, rows, window, phrase) > 0
+
+
+def test_odd_rows(spark):
+    assert check(spark, [(row[0], row[1]) for row in odd_rows()], 20, 5) > 0
+
+
+def test_no_rows(spark):
+    assert phrases.remove_repeats(no_docs(spark)).count() == 0
+
+
+def test_windows_and_phrases_must_fit(spark):
+    for window, phrase in ((5, 6), (5, 0), (60, 5)):
+        with pytest.raises(ValueError):
+            phrases.remove_repeats(no_docs(spark), window=window, phrase=phrase)
+
+
+def test_query_has_the_digest_of_the_kept_words(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(row.doc_id, row.text) for row in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    wanted = brute(rows, 20)
+    found = queries.QUERIES["op2_substring_dedup"](spark, folder).collect()
+    assert sorted(tuple(row) for row in found) == sorted(
+        (row[0], *wanted[row][:2], hashlib.sha256(wanted[row][2].encode()).hexdigest()) for row in rows
+    )
+
+
+def test_odd_docs_keep_their_own_columns_out(spark):
+    assert phrases.remove_repeats(odd_docs(spark)).columns == ["doc_id", "n_words", "n_removed", "text"]
