@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import arrow_map, staged, text_rows
+from visitmart.llm.common import arrow_map, small_side, staged, text_rows
 from visitmart.llm.components import Forest, components
 
 SHINGLE_WORDS = 4
@@ -181,9 +181,10 @@ def _verified(max_bits: int):
 def linked_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) between distinct fingerprints (``bits``): a spanning forest of all pairs within ``max_bits``, or more."""
     entries = distinct.select("bits").mapInArrow(_entered(max_bits), "cell long, bits long")
-    per_cell = entries.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    entries = entries.join(per_cell, "cell")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("long")
+    crowded = entries.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
+    crowded = small_side(staged(crowded, "simhash_crowded"), 16)
+    entries = entries.join(crowded, "cell", "left")
+    chunks = F.coalesce(F.ceil(F.col("n") / CHUNK), F.lit(1)).cast("long")
     own = F.when(chunks > 1, F.pmod(F.xxhash64("bits"), chunks)).otherwise(F.lit(0).cast("long"))
     # A chunk meets every chunk of its cell, itself included, once.
     units = entries.select(
