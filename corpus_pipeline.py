@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmart.llm import decontam, langid, mixing, sharding, simhash
-from visitmart.llm.common import id_crc32, staged
+from visitmart.llm.common import id_crc32, staged, unused
 from visitmart.llm.queries import table
 
 
@@ -26,18 +26,21 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Rows with a language; prototypes are learned as in the query of language ID. ``und`` goes."""
     held_out = F.coalesce(id_crc32() % 3 == 1, F.lit(False))
     prototypes = langid.train(docs.where(~held_out))
-    return langid.tag(docs, prototypes).where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    pred, score = unused(docs, "_pred"), unused(docs, "_score")
+    tagged = langid.tag(docs, prototypes, names_out=(pred, score))
+    return tagged.where(F.col(pred) != langid.UNKNOWN).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the row with the smallest id; of rows that share it, the first."""
     # Docs come from a written table, so that its rows get the same numbers each time.
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    groups = simhash.near_duplicates(numbered, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    named = groups.join(numbered.select("_row", "doc_id"), "_row")
-    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
-    kept = named.groupBy("component_id").agg(least.alias("kept")).select("kept._row")
-    return numbered.join(staged(kept, "pipeline_kept").hint("merge"), "_row", "left_semi").select(*docs.columns)
+    row = unused(docs, "_row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    groups = simhash.near_duplicates(numbered, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    named = groups.join(numbered.select(row, "doc_id"), row)
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
+    kept = named.groupBy("component_id").agg(least.alias("kept")).select(F.col("kept").getField(row).alias(row))
+    return numbered.join(staged(kept, "pipeline_kept").hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +50,12 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix takes them: not at all, once, or twice."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    passes = mixing.mix(numbered, row_col="_row").where("passes > 0").select(F.col("row").alias("_row"), "passes")
-    taken = numbered.join(staged(passes, "pipeline_mix").hint("merge"), "_row")
-    return taken.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes")))).select(*docs.columns)
+    row, passes = unused(docs, "_row"), unused(docs, "_passes")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    taken = mixing.mix(numbered, row_col=row).where("passes > 0").select(F.col("row").alias(row), F.col("passes").alias(passes))
+    joined = numbered.join(staged(taken, "pipeline_mix").hint("merge"), row)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(passes)))
+    return joined.select(*[joined[f"`{c}`"] for c in docs.columns], each.alias(unused(docs, "_pass"))).select(*docs.columns)
 
 
 def placed_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

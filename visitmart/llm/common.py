@@ -27,6 +27,14 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """The name, with underscores after it if the frame has a column that is called so."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 @contextmanager
 def freed_shuffles(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the queries inside go as each query ends; staged tables hold what is needed later."""

@@ -124,8 +124,9 @@ def tag(
     text_col: str = "text",
     dimensions: int = DIMENSIONS,
     seed: int = SEED,
+    names_out: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """The rows with all their columns, and ``lang_pred`` and ``score`` (columns of these names are replaced).
+    """The rows with all their columns, and the language and its score (columns of those names are replaced).
 
     ``score`` is the cosine to the best prototype, 0 where it is negative; equal cosines go to
     the first language by name. Null texts, texts without a letter and all texts if nothing was
@@ -135,7 +136,7 @@ def tag(
     names = sorted(lang for lang, vector in prototypes.items() if vector.any())
     matrix = np.array([prototypes[n] / np.linalg.norm(prototypes[n]) for n in names]) if names else np.zeros((0, dimensions))
     letters: list[Letters] = []
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")])
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names_out])
 
     def judged(texts: list[str | None]) -> tuple[list[str], list[float]]:
         has = [any(c.isalpha() for c in t or "") for t in texts]
@@ -161,10 +162,11 @@ def tag(
             scores += some[1]
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
-            names=[*batch.schema.names, "lang_pred", "score"],
+            names=[*batch.schema.names, *names_out],
         )
 
-    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    new = [StructField(name, kind) for name, kind in zip(names_out, (StringType(), DoubleType()))]
+    schema = StructType([*rows.schema.fields, *new])
     return arrow_map(rows, work, schema, text_col)
 
 

@@ -58,9 +58,9 @@ def slot_of(key: Column, slots: int) -> Column:
 
 
 def table_frame(spark: SparkSession, owner: list[int]) -> DataFrame:
-    """The lookup table as rows (slot, shard)."""
+    """The lookup table as rows (owned, owner)."""
     return spark.sql(
-        "SELECT CAST(pos AS bigint) AS _slot, CAST(col AS int) AS _shard FROM (SELECT posexplode(split(:owners, ',')))",
+        "SELECT CAST(pos AS bigint) AS owned, CAST(col AS int) AS owner FROM (SELECT posexplode(split(:owners, ',')))",
         args={"owners": ",".join(map(str, owner))},
     )
 
@@ -73,11 +73,11 @@ def place(rows: DataFrame, key: str, shards: list[str] | None = None, slots: int
     """
     names = shards or [f"shard-{n}" for n in range(SHARDS)]
     owners = table_frame(rows.sparkSession, lookup_table(names, slots))
-    other = [c for c in rows.columns if c.lower() not in ("slot", "shard", "_slot", "_shard")]
+    other = [c for c in rows.columns if c.lower() not in ("slot", "shard")]
     keyed = rows.select(*[F.col(f"`{c}`") for c in other], slot_of(F.col(f"`{key}`"), slots).alias("slot"))
     # The outer join keeps every row by construction; each slot is in the table.
-    found = keyed.join(F.broadcast(owners), F.col("slot") == F.col("_slot"), "left")
-    return found.select(*[F.col(f"`{c}`") for c in other], "slot", F.col("_shard").alias("shard"))
+    found = keyed.join(F.broadcast(owners), keyed["slot"] == owners["owned"], "left")
+    return found.select(*[keyed[f"`{c}`"] for c in keyed.columns], owners["owner"].alias("shard"))
 
 
 def write_shards(placed: DataFrame, path: str, files_per_shard: int = 8) -> None:
