@@ -201,6 +201,20 @@ def test_shared_folder_is_the_one_the_cluster_names():
     assert shared_folder(local).startswith("/tmp/") and shared_folder(local) == shared_folder(local)
 
 
+def test_scratch_data_can_be_dropped(spark, monkeypatch):
+    from visitmart import session
+
+    monkeypatch.setattr(session, "SCRATCH_DATABASE", "visitmart_scratch_of_a_test")
+    path, table = scratch_path(spark, "rows"), scratch_table(spark, "rows")
+    spark.range(3).write.parquet(path)
+    spark.range(3).write.saveAsTable(table)
+    session.drop_scratch(spark)
+    assert not spark.catalog.tableExists(table)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    session.drop_scratch(spark)
+
+
 def test_scratch_tables_lie_in_the_shared_folder(spark):
     table = scratch_table(spark, "t")
     spark.range(1).write.saveAsTable(table)

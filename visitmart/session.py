@@ -55,19 +55,28 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Folder of all that this application writes for itself, in the shared folder."""
+    return f"{shared_folder(spark)}/{_scratch_name(spark)}"
+
+
+def _scratch_name(spark: SparkSession) -> str:
+    return f"{SCRATCH_DATABASE}_{re.sub('[^a-z0-9]', '_', spark.sparkContext.applicationId.lower())}"
+
+
 def scratch_path(spark: SparkSession, prefix: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{prefix}_{uuid.uuid4().hex}"
+    """A new path in the application's scratch folder."""
+    return f"{scratch_folder(spark)}/{prefix}_{uuid.uuid4().hex}"
 
 
 def scratch_database(spark: SparkSession) -> str:
-    """Database of this application's scratch tables, in the shared folder.
+    """Database of this application's scratch tables, in its scratch folder.
 
     Named by the application, so that a lasting metastore never hands out an earlier one's folder.
     """
-    name = f"{SCRATCH_DATABASE}_{re.sub('[^a-z0-9]', '_', spark.sparkContext.applicationId.lower())}"
+    name = _scratch_name(spark)
     if not spark.catalog.databaseExists(name):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch_path(spark, name)}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch_path(spark, 'tables')}'")
     return name
 
 
@@ -77,5 +86,7 @@ def scratch_table(spark: SparkSession, prefix: str) -> str:
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Drop all scratch tables of this application; frames that read them end here."""
-    spark.sql(f"DROP DATABASE IF EXISTS {scratch_database(spark)} CASCADE")
+    """Remove all that this application wrote for itself, tables and files; frames that read it end here."""
+    spark.sql(f"DROP DATABASE IF EXISTS {_scratch_name(spark)} CASCADE")
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
