@@ -31,11 +31,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return tagged.where(F.col(pred) != langid.UNKNOWN).select(*docs.columns)
 
 
+def numbered_rows(docs: DataFrame, prefix: str) -> tuple[str, DataFrame]:
+    """(name of the number, the rows with it), written: a scan planned anew may pack files otherwise and number other rows."""
+    row = unused(docs, "_row")
+    return row, staged(docs.withColumn(row, F.monotonically_increasing_id()), prefix)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the row with the smallest id; of rows that share it, the first."""
-    # Docs come from a written table, so that its rows get the same numbers each time.
-    row = unused(docs, "_row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    row, numbered = numbered_rows(docs, "pipeline_dedup_rows")
     groups = simhash.near_duplicates(numbered, id_col=row).select(F.col("doc_id").alias(row), "component_id")
     named = groups.join(numbered.select(row, "doc_id"), row)
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
@@ -50,8 +54,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix takes them: not at all, once, or twice."""
-    row, passes = unused(docs, "_row"), unused(docs, "_passes")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    row, numbered = numbered_rows(docs, "pipeline_mix_rows")
+    passes = unused(docs, "_passes")
     taken = mixing.mix(numbered, row_col=row).where("passes > 0").select(F.col("row").alias(row), F.col("passes").alias(passes))
     joined = numbered.join(staged(taken, "pipeline_mix").hint("merge"), row)
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(passes)))

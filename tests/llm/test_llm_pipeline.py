@@ -1,3 +1,5 @@
+import pytest
+
 import corpus_pipeline
 import __spark_entry__ as registered
 from llm_rows import odd_docs, odd_rows, no_docs
@@ -67,3 +69,25 @@ def test_empty_documents(spark, tmp_path):
     no_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "slot", "shard"] and out.count() == 0
+
+
+@pytest.mark.parametrize("name", ["simhash_dedup", "weighted_mix"])
+def test_row_numbers_hold_when_files_are_packed_anew(spark, tmp_path, monkeypatch, name):
+    """As when executors come or go between the jobs of a stage: later scans get other partitions."""
+    odd_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)[name]
+    packing, write = "spark.sql.files.minPartitionNum", corpus_pipeline.staged
+    rows = lambda: docs_of(stage(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)))
+
+    def packed_anew(frame, prefix):
+        out = write(frame, prefix)
+        spark.conf.set(packing, "100" if spark.conf.get(packing) == "1" else "1")
+        return out
+
+    spark.conf.set(packing, "1")
+    try:
+        expected = rows()
+        monkeypatch.setattr(corpus_pipeline, "staged", packed_anew)
+        assert rows() == expected and expected
+    finally:
+        spark.conf.unset(packing)
