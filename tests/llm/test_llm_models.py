@@ -133,3 +133,15 @@ def test_the_sample_is_bounded(spark):
     model = quality.train(docs, labels, buckets=1 << 12, sample_rows=50)
     scores = {row.doc_id: row.score for row in quality.score(docs, model).collect()}
     assert min(scores[at] for at in range(1, 400, 2)) > max(scores[at] for at in range(0, 400, 2))
+
+
+@pytest.mark.parametrize("taught, fitted", [(400, 50), (30, 30)])
+def test_labels_without_documents_do_not_shrink_the_sample(spark, monkeypatch, taught, fitted):
+    docs = spark.createDataFrame([(at, f"w{at} " + ("good" if at % 2 else "bad!!"), None, None, 0) for at in range(taught)], DOCS)
+    labels = spark.range(40_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality")
+    sizes, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, *rest: sizes.append(len(rows)) or fit(rows, *rest))
+    model = quality.train(docs, labels, buckets=1 << 12, sample_rows=50)
+    assert sizes == [fitted]
+    scores = {row.doc_id: row.score for row in quality.score(docs, model).collect()}
+    assert min(scores[at] for at in range(1, taught, 2)) > max(scores[at] for at in range(0, taught, 2))

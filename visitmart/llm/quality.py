@@ -30,6 +30,9 @@ COST = 0.05
 ROUNDS = 12
 THRESHOLD = 0.3
 LABEL_ROW_BYTES = 64
+#: Range of the hashes that the sample is drawn by, and the steps that they are counted in.
+DRAWS = 1 << 40
+DRAW_STEPS = 1 << 16
 
 #: What a byte tells of a word's shape, one bit each: lower case, upper case, digit, end of a
 #: sentence or clause, other ASCII sign, byte of a letter beyond ASCII.
@@ -147,6 +150,18 @@ def _logistic(margin: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(at[0]), float(at[1])
 
 
+def _bound(taught: DataFrame, wanted: int) -> int:
+    """The least end of a step below which ``wanted`` of the rows' draws lie; the range's end if there are not so many."""
+    width = DRAWS // DRAW_STEPS
+    steps = taught.groupBy(F.floor(F.col("draw") / width).cast("long").alias("step")).agg(F.count("*").alias("n"))
+    within = 0
+    for step, n in sorted(map(tuple, steps.collect())):
+        within += n
+        if within >= wanted:
+            return (step + 1) * width
+    return DRAWS
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -158,6 +173,7 @@ def train(
 ) -> Model:
     """A model from all rows of the documents that have a label 0 or 1.
 
+    The margin is fitted on ``sample_rows`` of these rows, or all if there are fewer, up to ``SAMPLE_FEATURES``.
     Rows with other labels or null ids teach nothing; a document with both labels teaches both.
     Without labelled rows the model scores 0.5 throughout; with one class, that class.
     """
@@ -166,11 +182,10 @@ def train(
     ).where("_id IS NOT NULL AND label IN (0, 1)").distinct()
     rows = text_rows(docs, id_col, text_col)
     taught = rows.join(small_side(known, LABEL_ROW_BYTES), F.col("doc_id") == F.col("_id")).drop("_id")
-    total = known.count()
-    # Rows in the sample: those whose hash is below a share of the hash's range.
-    share = min(1.0, sample_rows / max(1, total))
-    chosen = F.pmod(F.xxhash64("doc_id", "label"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
-    marked = taught.select("text", "label", chosen.alias("chosen"), F.xxhash64("doc_id", "label").alias("draw"))
+    # Rows in the sample: those with the smallest hashes. The bound leaves in as many as are wanted, and some of its step.
+    taught = taught.withColumn("draw", F.pmod(F.xxhash64("doc_id", "label"), F.lit(DRAWS)))
+    bound = _bound(taught, sample_rows)
+    marked = taught.select("text", "label", (F.col("draw") < F.lit(bound)).alias("chosen"), "draw")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, buckets), np.int64)
