@@ -67,3 +67,20 @@ def test_odd_rows(spark):
     assert mixing.mix(no_docs(spark)).count() == 0
     nothing = spark.createDataFrame([(1, None, None, None, None), (2, " ", None, "b", 1)], DOCS)
     assert [(r["size"], r.target, r.taken) for r in mixing.mix(nothing).collect()] == [(0, 0.0, 0)] * 2
+
+
+@pytest.mark.parametrize("same", [None, 7])
+def test_rows_of_one_id_are_cut_into_groups(spark, monkeypatch, same):
+    """A third of all rows share an id, or have none: no window task gets them all, and takes stay right."""
+    rng = random.Random(2)
+    rows = [(same if at % 3 == 0 else at + 10, "w " * rng.randrange(0, 40), None, "one", 0) for at in range(900)]
+    largest, scanned = [], mixing._scanned
+
+    def measured(frame, group, part, *rest):
+        largest.append(max(row["count"] for row in frame.groupBy(*group, part).count().collect()))
+        return scanned(frame, group, part, *rest)
+
+    monkeypatch.setattr(mixing, "_scanned", measured)
+    found = mixing.mix(spark.createDataFrame(rows, DOCS).repartition(4), group_docs=30).collect()
+    check(rows, found)
+    assert len(largest) == 2 and max(largest) < 4 * 30

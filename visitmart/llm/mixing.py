@@ -114,12 +114,13 @@ def mix(
     total = sized.agg(F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
     budget = total["size"] * min(percent, 100 * repeats) / 100
 
-    # A document's place in its source's shuffle: its hash, cut into parts of about group_docs documents.
-    parts = max(1, total["rows"] // group_docs)
+    # A document's place in its source's shuffle: its hash, and among equal ids what follows it. The shuffle is cut into
+    # ranges of about group_docs documents by all of this, so that rows of one id are cut as well.
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    part = F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * parts / (1 << 32))
-    shuffled = sized.withColumn("digest", digest).withColumn("part", part)
     last = [F.col("digest"), F.col("doc_id"), F.col("size"), F.col("row")]
+    in_source = [F.col("source").isNull(), F.col("source"), *last]
+    shuffled = sized.withColumn("digest", digest).repartitionByRange(max(1, total["rows"] // group_docs), *in_source)
+    shuffled = staged(shuffled.withColumn("part", F.spark_partition_id()), "mix_shuffled")
     queued = _scanned(shuffled, ["source"], "part", last, "size", "upto")
 
     same_source = queued["source"].eqNullSafe(targets["source"])
