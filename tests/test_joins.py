@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
@@ -48,3 +49,14 @@ def test_frames_are_moved_once(spark, capsys):
 
     catalog.QUERIES["full_outer_chain"](spark, SF).explain("formatted")
     assert capsys.readouterr().out.count("Arguments: hashpartitioning") < 5
+
+
+@pytest.mark.parametrize("at", [0, 1, 2])
+@pytest.mark.parametrize("key", [4, None])
+def test_a_repeated_key_is_an_error(spark, at, key):
+    keys = [[1, 4, None], [2, 4, None], [4, 5, None]]
+    keys[at] = [*keys[at], key]
+    sides = [side(spark, own, name) for own, name in zip(keys, ("a", "b", "c"))]
+    for action in ("collect", "count"):
+        with pytest.raises(Exception, match=f"frame {at} of the chain repeats the key {'NULL' if key is None else key}"):
+            getattr(full_outer_chain(sides[0], sides[1:], "k"), action)()

@@ -55,7 +55,8 @@ def full_outer_chain(first: DataFrame, others: Sequence[DataFrame], key: str) ->
 
     No join is run. The frames are stacked and gathered by key once, and what each key has is
     then written out as the rows that the joins would give. So the rows without a partner are
-    spread by the keys that they still have, and never meet under their NULL.
+    spread by the keys that they still have, and never meet under their NULL. A frame that repeats
+    a key, or NULL, ends the query with an error that names both: its rows can't be told apart here.
     """
     sides = [first, *others]
     values = [[name for name in side.columns if name != key] for side in sides]
@@ -66,8 +67,11 @@ def full_outer_chain(first: DataFrame, others: Sequence[DataFrame], key: str) ->
         stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
     gathered = stacked.groupBy(key).agg(
         *[F.first(name, ignorenulls=True).alias(name) for names in values for name in names],
-        *[F.coalesce(F.bool_or(flag), F.lit(False)).alias(flag) for flag in on],
+        *[F.count(flag).alias(flag) for flag in on],
     )
+    for at, flag in enumerate(on):
+        repeated = F.concat(F.lit(f"frame {at} of the chain repeats the key "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+        gathered = gathered.withColumn(flag, F.when(F.col(flag) > 1, F.raise_error(repeated)).otherwise(F.col(flag) > 0))
     partners = F.col(key).isNotNull() & F.col(on[0])
     together = F.when(partners, F.array(*on))
     apart = [
