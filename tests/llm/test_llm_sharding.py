@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from llm_rows import no_docs, odd_docs
-from visitmart.llm import sharding
+from visitmart.llm import queries, sharding
 
 
 def by_turns(shards, slots):
@@ -73,3 +73,23 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(map(tuple, back.select("id", "shard").collect())) == sorted(map(tuple, placed.select("id", "shard").collect()))
     assert {path.name for path in (tmp_path / "out").glob("shard=*")} == {"shard=0", "shard=1"}
+
+
+def test_query_places_whole_documents(spark, tmp_path, monkeypatch):
+    """The shards that the query writes hold all rows with all their columns, each in its own shard's folder."""
+    odd_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    written, write = [], sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda placed, path: written.append(path) or write(placed, path))
+    found = queries.QUERIES["op3_sharding"](spark, str(tmp_path))
+    assert found.columns == ["doc_id", "slot", "shard"] and dict(found.dtypes)["shard"] == "int"
+    rows = lambda frame: sorted(map(str, frame.collect()))
+    shards = spark.read.parquet(written[0])
+    placed = sharding.place(docs, "doc_id")
+    assert rows(shards.select(*placed.columns)) == rows(placed)
+    assert rows(found) == rows(placed.select(*found.columns))
+
+
+def test_query_places_no_documents(spark, tmp_path):
+    no_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    assert queries.QUERIES["op3_sharding"](spark, str(tmp_path)).count() == 0

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitmart.llm import decontam, embeddings, langid, lines, mixing, phrases, quality, sharding, simhash, tokens
-from visitmart.llm.common import id_crc32
+from visitmart.llm.common import freed_shuffles, id_crc32
+from visitmart.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +30,11 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shard_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
+    path = scratch_path(spark, "shards")
+    placed = sharding.place(table(spark, sf_dir, "documents"), "doc_id")
+    with freed_shuffles(spark):
+        sharding.write_shards(placed, path)
+    return spark.read.schema(placed.schema).parquet(path).select("doc_id", "slot", "shard")
 
 
 def embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
