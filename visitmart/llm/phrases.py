@@ -8,10 +8,11 @@ of a phrase follow each other and make up a segment.
 1. Phrases whose hash is chosen only once in the corpus are dropped, and with them their windows.
 2. Documents are streamed again and the segments of the other phrases cut out. Segments of equal
    words are one, with its first occurrence; the copies of a hot passage shrink to a row per task.
-3. Segments are dealt to shards by phrase. A shard confirms which of its phrases do recur, word
+3. Segments are dealt to shards by phrase. A shard finds which of its phrases do recur, word
    by word, compiles them into an Aho-Corasick automaton, and streams its segments through it.
-   Each occurrence that the automaton locates is spelled out into its windows, and each window's
-   first place is found. A document's words thus pass only those automata that can match in them.
+   The place of a segment's phrase is known from the cut; the automaton confirms it there, and what
+   it finds elsewhere in the segment is left to the segments cut for those windows. Confirmed
+   segments are spelled out into their windows, and each window's first place is found.
    Shards take a bounded number of segments at a time. Phrases with very many different segments
    are not one shard's work: their windows are grouped one by one, by their MD5.
 4. Documents are joined with the windows that are repeated and lose the words these cover.
