@@ -1,0 +1,143 @@
+"""Tokenizer alignment against whole texts encoded at once and all pairs compared."""
+
+import hashlib
+from collections import Counter
+
+import pytest
+
+from conftest import SF
+from llm_rows import no_docs, odd_docs
+from visitmart.llm import alignment, queries
+
+FILES = alignment.file_bytes(alignment.TOKENIZER_A), alignment.file_bytes(alignment.TOKENIZER_B)
+
+
+def encoded(texts):
+    """Per text ids and bytes of both tokenizers, from the text as a whole."""
+    pair = alignment._pair(*FILES)
+    a_bytes, b_bytes, _ = alignment.tables(*FILES)
+    for text in texts:
+        if not text:
+            yield [], [], [], []
+            continue
+        a, b = pair.a.encode(" " + text, add_special_tokens=False).ids, pair.b.encode(text)
+        spelled = (" " + text).encode()
+        if b"".join(a_bytes[t] for t in a) != spelled or b"".join(b_bytes[t] for t in b) != spelled:
+            a, b = [], []
+        yield a, b, [a_bytes[t] for t in a], [b_bytes[t] for t in b]
+
+
+def spans(tokens):
+    at, out = 0, []
+    for token in tokens:
+        out.append((at, at + len(token)))
+        at += len(token)
+    return out
+
+
+def expected(texts: list[str | None]) -> tuple[list[tuple], Counter]:
+    links, rows = [], []
+    for a, b, a_tokens, b_tokens in encoded(texts):
+        a_spans, b_spans = spans(a_tokens), spans(b_tokens)
+        pairs = []
+        first = 0
+        for id_a, (start, end) in zip(a, a_spans):
+            while first < len(b) and b_spans[first][1] <= start:
+                first += 1
+            at = first
+            while at < len(b) and b_spans[at][0] < end:
+                pairs.append((id_a, b[at]))
+                at += 1
+        shared = {end for _, end in a_spans} & {end for _, end in b_spans}
+        groups, own = [], ([], [])
+        ends = sorted([(end, 0, t) for (_, end), t in zip(a_spans, a)] + [(end, 1, t) for (_, end), t in zip(b_spans, b)])
+        for at, (end, side, token) in enumerate(ends):
+            own[side].append(str(token))
+            if end in shared and side == 1:
+                groups.append(f"{','.join(own[0])}|{','.join(own[1])}")
+                own = ([], [])
+        links.append(pairs)
+        rows.append((len(a), len(b), len(groups), len(pairs), ";".join(groups)))
+    counts = Counter(pair for pairs in links for pair in set(pairs))
+    best: dict[int, int] = {}
+    for (a, _), n in counts.items():
+        best[a] = max(best.get(a, 0), n)
+    done = []
+    for (n_a, n_b, n_groups, n_links, groups), pairs in zip(rows, links):
+        done.append((n_a, n_b, n_groups, n_links, sum(counts[p] == best[p[0]] for p in pairs), sum(counts[p] for p in pairs), groups))
+    return done, counts
+
+
+ODD = [
+    None, "", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a\n\n b", "\n", "\t\t x", "x▁y", "▁", "<s> </s> <unk> <0x41>", "<|endoftext|> a<|endoftext|>",
+    "it's we'll THEY'RE", "é ñ 日本語 テスト 😀 👩‍👩‍👧", "\x00 \x01a", "a\x1c b", "a\xa0 b", "a　 b", "don 't 's", "1234 5,678.90", "\r\n x \r\n", "ééé  ééé   ",
+    "a" * 300, " " * 300, "ab " * 300, "\n" * 300, "ﬁ ① é", "x  y", "=====\n-----", "foo.bar(baz) { return; }", "a\x85 b", "é" * 200 + " z",
+]
+
+
+def got(frame) -> list[tuple]:
+    return [(r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups) for r in frame.collect()]
+
+
+def test_words_are_independent():
+    assert alignment._pair(*FILES).by_word
+
+
+def test_odd_texts_equal_whole_encoding(spark):
+    rows = list(enumerate(ODD * 2))
+    found, pairs = alignment.align(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    want, counts = expected([text for _, text in rows])
+    assert sorted(got(found)) == [(at, *values) for at, values in enumerate(want)]
+    assert {(r.a_id, r.b_id): r.n_docs for r in pairs.collect()} == dict(counts)
+
+
+def test_all_documents_equal_whole_encoding(spark):
+    docs = queries.table(spark, SF, "documents").select("doc_id", "text").collect()
+    want, _ = expected([row.text for row in docs])
+    found = {r.doc_id: tuple(r)[1:] for r in queries.tokenizer_alignment(spark, SF).collect()}
+    for row, values in zip(docs, want):
+        digest = hashlib.sha256(values[-1].encode()).hexdigest() if values[-1] else ""
+        assert found[row.doc_id] == (*values[:-1], digest)
+
+
+def test_odd_rows(spark):
+    docs = odd_docs(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want, _ = expected([text for _, text in rows])
+    found, _ = alignment.align(docs)
+    assert sorted(map(str, got(found))) == sorted(str((i, *values)) for (i, _), values in zip(rows, want))
+    found, pairs = alignment.align(no_docs(spark))
+    assert found.count() == 0 and pairs.count() == 0
+
+
+def test_few_words_kept_and_many_blocks(spark, monkeypatch):
+    """Words are forgotten and blocks are small: the same results."""
+    pair = alignment.Pair(*FILES)
+    texts = [text or "" for text in ODD] + [f"w{n} é{n * 7} x" for n in range(300)]
+    monkeypatch.setattr(alignment, "KEPT_WORDS", 50)
+    for text in texts:
+        words = pair.cut(text) if text else []
+        entries = pair.links(words)
+        a, b, _, _ = next(encoded([text]))
+        if all(entry[0] for entry in entries) and text:
+            assert sum(entry[1] for entry in entries) == len(a) and sum(entry[2] for entry in entries) == len(b)
+        else:
+            assert not a
+    rows = [(at, ("longer words than that " * 20000) + str(at)) for at in range(12)]
+    found, _ = alignment.align(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), digest_groups=True)
+    want, _ = expected([text for _, text in rows])
+    assert sorted(tuple(r)[:7] for r in found.collect()) == [(at, *values[:-1]) for at, values in enumerate(want)]
+
+
+def test_identity_map_prefers_pieces():
+    found = alignment.identity_map([b"a", b"b", b"", b"zz"], [b"", b"a", b"a", b"b"], [False, True, False, True])
+    assert found.tolist() == [2, 3, -1, -1]
+
+
+def test_invalid_bytes_text_ids_and_missing_files(spark):
+    docs = spark.sql("SELECT 'x' AS doc_id, CAST(X'41FF20' AS STRING) AS text")
+    found, _ = alignment.align(docs)
+    want, _ = expected(["A� "])
+    assert got(found) == [("x", *want[0])]
+    with pytest.raises(FileNotFoundError, match="no tokenizer file"):
+        alignment.align(docs, tokenizer_a="/nowhere/a.json")

@@ -1,0 +1,141 @@
+"""Secret scans against patterns and entropy written out in Python."""
+
+import math
+import random
+import re
+import string
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows_of
+from llm_rows import no_docs, odd_docs
+from visitmart.llm import secrets
+
+NAMES = "password passwd secret token apikey api_key".split()
+ASSIGN = re.compile(
+    "(?:" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in n) for n in NAMES) + ")"
+    r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+RUN = re.compile("[A-Za-z0-9+/_-]{20,}")
+
+
+def bits(text: str) -> float:
+    return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
+
+
+def expected(text: str | None) -> list[tuple]:
+    text = text or ""
+    spans = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[1]) >= 12]
+    spans += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    ends = [(m.start(), m.end()) for m in ASSIGN.finditer(text)]
+    for start, end in zip([0, *(e for _, e in ends)], [*(s for s, _ in ends), len(text)]):
+        for m in RUN.finditer(text[start:end]):
+            run = m[0]
+            if re.search("[0-9a-f]{16,}|AKIA[A-Z0-9]{14,}", run) or any(re.search(p, run) for p in secrets.ALLOWED):
+                continue
+            if not re.search("[0-9]", run) or not re.search("[A-Za-z]", run):
+                continue
+            most = max(bits(run[at : at + 20]) for at in range(len(run) - 19))
+            kind = 3 if re.fullmatch("[0-9A-Fa-f]+", run) else 4
+            if most >= (3.0 if kind == 3 else 3.8):
+                spans.append((start + m.start(), kind, start + m.end(), secrets.KINDS[kind]))
+    return sorted(spans)
+
+
+def noise(rng: random.Random, size: int, alphabet: str) -> str:
+    return "".join(rng.choice(alphabet) for _ in range(size))
+
+
+def texts() -> list[str | None]:
+    rng = random.Random(7)
+    base64 = string.ascii_letters + string.digits + "+/_-"
+    out: list[str | None] = [
+        None, "", " ", "password", "password=", "PassWord : 'abcdefghijkl'", "token=short", "token=secret\": \"abcdefghijklmnop",
+        "api_key='a.b-c=d_e/f+g' apikey=0123456789abcdef", "AKIA" + "A" * 13, "AKIA" + "A" * 14, "AKIAxAKIA" + "Z9" * 8,
+        "éé😀 deadbeefdeadbeef😀deadbeefdeadbee", "paſſword=abcdefghijkl", "toKen=abcdefghijkl", "DEADBEEF01" * 3, "secret\t=abcdefghijkl",
+        "abcdefghijklmnopqrstuvwxyz0123456789", "my_EXAMPLE_" + "a8Fk39dLqPz7XwB2mNvT", "1234567890" * 4, "internationalization2international",
+        "x" * 30 + "1" * 30, "aB3" * 3000 + noise(rng, 25, base64) + "zz9" * 2000, "token " * 300, "password=" * 50, "a1" * 4200 + noise(rng, 20, base64),
+    ]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 12)):
+            kind = rng.randrange(6)
+            parts.append(
+                [
+                    noise(rng, rng.randrange(1, 60), base64),
+                    noise(rng, rng.randrange(1, 60), "0123456789ABCDEF"),
+                    noise(rng, rng.randrange(1, 40), "0123456789abcdef"),
+                    f"{rng.choice(NAMES).title()} = \"{noise(rng, rng.randrange(1, 30), base64)}",
+                    "é" * rng.randrange(4),
+                    noise(rng, rng.randrange(1, 50), "abcde1"),
+                ][kind]
+            )
+        out.append(rng.choice([" ", "\n", "=", ""]).join(parts))
+    return out
+
+
+def found(frame) -> dict:
+    return {row[0]: [tuple(span) for span in row[1]] for row in frame.collect()}
+
+
+def test_equals_python(spark):
+    rows = list(enumerate(texts()))
+    got = found(secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    for at, text in rows:
+        assert got[at] == expected(text), (at, text and text[:200])
+    kinds = Counter(span[3] for spans in got.values() for span in spans)
+    assert all(kinds[kind] for kind in secrets.KINDS), kinds
+
+
+def test_odd_rows(spark):
+    docs = odd_docs(spark)
+    want = sorted((str(r["doc_id"]), str(expected(r["text"]))) for r in docs.collect())
+    got = secrets.find_secrets(docs).collect()
+    assert sorted((str(r[0]), str([tuple(s) for s in r[1]])) for r in got) == want
+    assert secrets.find_secrets(no_docs(spark)).count() == 0
+
+
+def test_running_sums_over_groups(spark):
+    sizes = [random.Random(1).randrange(9) for _ in range(3 * secrets.GROUP + 5)]
+    for values in ([], [4], sizes[: secrets.GROUP], sizes[: secrets.GROUP + 1], sizes):
+        row = spark.createDataFrame([(values,)], "v array<bigint>").select(secrets.running(F.col("v"))).first()[0]
+        assert row == [sum(values[:at]) for at in range(len(values))]
+
+
+def test_long_texts(spark):
+    long = ["x" * 1_000_000, " " * 1_000_000, "deadbeefdeadbeef " * 2000, "password" + " " * 200_000]
+    got = found(secrets.find_secrets(spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")))
+    assert [len(got[at]) for at in range(4)] == [0, 0, 2000, 0]
+    assert got[2][-1] == (1999 * 17, 2, 1999 * 17 + 16, "hex")
+
+
+def test_invalid_bytes_and_text_ids(spark):
+    rows = spark.sql("SELECT 'a' AS doc_id, CAST(X'FF41FE20' AS STRING) || 'password=abcdefghijkl' AS text")
+    assert found(secrets.find_secrets(rows)) == {"a": [(4, 0, 25, "assign")]}
+
+
+def test_bounds_and_allow_list_are_parameters(spark):
+    docs = spark.createDataFrame([(1, "k q7Rk29LmXz81PvBn4TsW")], "doc_id long, text string")
+    assert len(found(secrets.find_secrets(docs))[1]) == 1
+    assert found(secrets.find_secrets(docs, allowed=("^q7",)))[1] == []
+    assert found(secrets.find_secrets(docs, entropy_base64=4.4))[1] == []
+
+
+@pytest.mark.parametrize("window", [20, 8])
+def test_plan_has_no_python(spark, window):
+    plan = secrets.find_secrets(odd_docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan.replace("RoundRobin", "").split("Scan")[0].split("Exchange")[0]
+    text = noise(random.Random(3), 300, "abcd0123")
+    bound = max(bits(text[at : at + window]) for at in range(300 - window + 1))
+    frame = spark.createDataFrame([(text,)], "t string")
+    for bits_wanted, reached in ((bound - 1e-6, True), (bound + 1e-6, False)):
+        got = frame.select(secrets.entropy_reaches(F.col("t"), secrets.BASE64, F.lit(bits_wanted), window)).first()[0]
+        assert got is reached
+
+
+def test_rows_are_not_joined(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefghijklm"), (1, ""), (None, "deadbeefdeadbeef")], "doc_id long, text string")
+    assert rows_of(secrets.find_secrets(docs).select("doc_id", F.size("spans"))) == [(1, 0), (1, 1), (None, 1)]

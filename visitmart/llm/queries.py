@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmart.llm import decontam, embeddings, langid, lines, mixing, phrases, quality, sharding, simhash, tokens
+from visitmart.llm import alignment, decontam, embeddings, infill, langid, lines, mixing, phrases
+from visitmart.llm import quality, secrets, sharding, simhash, tokens
 from visitmart.llm.common import freed_shuffles, id_crc32
 from visitmart.session import scratch_path
 
@@ -86,6 +87,33 @@ def quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def of_kind(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda span: span["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda span: span["kind"].isin("assign", "access", "hex"))
+    return found.select(
+        "doc_id",
+        of_kind("assign"),
+        of_kind("access"),
+        of_kind("hex"),
+        F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = alignment.align(table(spark, sf_dir, "documents"), digest_groups=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.restore(infill.fill_in_middle(table(spark, sf_dir, "documents")).drop("pieces"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": token_counts,
     "op2_substring_dedup": substring_dedup,
@@ -97,4 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontamination,
     "op9_language_id": language_id,
     "op10_quality": quality_score,
+    "op11_secret_scan": secret_scan,
+    "op12_token_alignment": tokenizer_alignment,
+    "op13_fill_in_middle": fill_in_middle,
 }

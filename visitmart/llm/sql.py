@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express.
 
-Token counts, SimHash (XXH64), language ID, the classifier and the pipeline can't be; tests hold
-them against brute force or held-out rows.
+Token counts, SimHash (XXH64), language ID, the classifier, tokenizer alignment and the pipeline can't be;
+tests hold them against brute force or held-out rows.
 """
 
 from __future__ import annotations
@@ -111,6 +111,79 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+# Letters in either case are written out: a case-insensitive match would take more than ASCII ones here.
+NAMES = "password passwd secret token apikey api_key"
+ASSIGN = (
+    "(?:" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in name) for name in NAMES.split()) + ")"
+    r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+RUN = "[A-Za-z0-9+/_-]{20,}"
+HARMLESS = "(?i:example|sample|dummy|placeholder|changeme|change_me|your_|your-)|(?i:abcdefgh|01234567|12345678)|^[0-9]+$"
+
+
+def _found(rows: str, kind: str, rank: int, pattern: str) -> str:
+    """(doc_id, kind, rank, s, e, found) of the matches in (doc_id, base, text), counted from ``base``."""
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, s, s + length(found) AS e, found FROM (
+    SELECT doc_id, found, base + CAST(sum(length(piece)) OVER w + coalesce(sum(length(found)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s
+    FROM (SELECT doc_id, base, unnest(range(len(ms))) AS nth, unnest(ms) AS found, unnest(ps[1:len(ms)]) AS piece
+          FROM (SELECT doc_id, base, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS ps FROM {rows}) WHERE len(ms) > 0)
+    WINDOW w AS (PARTITION BY doc_id, base ORDER BY nth))"""
+
+
+SECRETS = f"""
+WITH docs AS (SELECT doc_id, 0 AS base, coalesce(text, '') AS text FROM documents),
+assigned AS ({_found("docs", "assign", 0, ASSIGN)}),
+pieces AS (
+  SELECT doc_id, 0 AS base, string_split_regex(text, '{ASSIGN}')[1] AS text FROM docs
+  UNION ALL
+  SELECT doc_id, e, string_split_regex(substr(rest, 1 + e), '{ASSIGN}')[1] FROM (SELECT a.doc_id, a.e, d.text AS rest FROM assigned AS a JOIN docs AS d USING (doc_id))),
+runs AS ({_found("pieces", "run", 3, RUN)}),
+windows AS (
+  SELECT *, unnest(list_transform(range(1, length(found) - 18), lambda i: list_entropy(string_split(substr(found, CAST(i AS BIGINT), 20), '')))) AS bits
+  FROM runs WHERE NOT regexp_matches(found, '{HARMLESS}|[0-9a-f]{{16,}}|AKIA[A-Z0-9]{{14,}}')
+    AND regexp_matches(found, '[0-9]') AND regexp_matches(found, '[A-Za-z]')),
+added AS (
+  SELECT doc_id, CASE WHEN regexp_full_match(found, '[0-9A-Fa-f]+') THEN 'entropy_hex' ELSE 'entropy_base64' END AS kind,
+         CASE WHEN regexp_full_match(found, '[0-9A-Fa-f]+') THEN 3 ELSE 4 END AS rank, s, e, max(bits) AS bits
+  FROM windows GROUP BY ALL),
+spans AS (
+  SELECT doc_id, kind, rank, s, e FROM assigned WHERE length(regexp_extract(found, '{ASSIGN}', 1)) >= 12
+  UNION ALL SELECT doc_id, kind, rank, s, e FROM ({_found("docs", "access", 1, "AKIA[A-Z0-9]+")}) WHERE length(found) >= 18
+  UNION ALL SELECT doc_id, kind, rank, s, e FROM ({_found("docs", "hex", 2, "[0-9a-f]+")}) WHERE length(found) >= 16
+  UNION ALL SELECT doc_id, kind, rank, s, e FROM added WHERE bits >= CASE rank WHEN 3 THEN 3.0 ELSE 3.8 END),
+listed AS (
+  SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(listed.base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (doc_id)
+"""
+
+INFILL = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS us FROM documents),
+numbers AS (
+  SELECT *, CAST(len(us) AS BIGINT) AS n, list_transform(range(4), lambda k: CAST('0x' || substr(h, CAST(8 * k + 1 AS BIGINT), 8) AS BIGINT)) AS hs FROM cut),
+places AS (
+  SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS lo, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS hi,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 90 THEN 'plain'
+              WHEN hs[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (
+  SELECT doc_id, text, n, form, coalesce(array_to_string(us[1:lo], ''), '') AS p, coalesce(array_to_string(us[lo + 1:hi], ''), '') AS m,
+         coalesce(array_to_string(us[hi + 1:], ''), '') AS s
+  FROM places)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
+FROM parts
+"""
+
+
 def _shards() -> str:
     """Placement by the lookup table, which is written out: filling it takes turns, which SQL has not."""
     owners = ",".join(map(str, sharding.lookup_table([f"shard-{n}" for n in range(sharding.SHARDS)])))
@@ -129,4 +202,6 @@ STATEMENTS: dict[str, str] = {
     "op5_weighted_mix": MIX,
     "op7_line_dedup": LINES,
     "op8_decontamination": LEAKS,
+    "op11_secret_scan": SECRETS,
+    "op13_fill_in_middle": INFILL,
 }
