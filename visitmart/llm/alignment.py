@@ -34,9 +34,8 @@ from visitmart.llm.common import passes, staged
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
-#: Words that a worker keeps with their links, and the longest that it keeps.
-KEPT_WORDS = 400_000
-KEPT_LENGTH = 64
+#: A worker that holds more words, or more than eight times as many links, forgets all before its next block.
+KEPT_WORDS = 300_000
 
 SPACE = "▁"
 _PLAIN = re.compile(r"\A | \Z|\s ")
@@ -73,6 +72,35 @@ def identity_map(a_bytes: list[bytes], b_bytes: list[bytes], b_single: list[bool
     return np.array([of_bytes.get(token, -1) if token else -1 for token in a_bytes], np.int64)
 
 
+def gathered(offsets: np.ndarray, values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists of the given rows one after the other, and their sizes."""
+    starts, sizes = offsets[rows], offsets[rows + 1] - offsets[rows]
+    shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    return values[shift + np.arange(len(shift))], sizes
+
+
+class Words:
+    """Words by number, with their links: A ids of identical groups, codes of the other links, and their groups as text."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.texts: list[str] = []
+        #: Valid, tokens of A, tokens of B, groups.
+        self.counts = np.zeros((0, 4), np.int64)
+        self.lists = {name: (np.zeros(1, np.int64), np.zeros(0, np.int64)) for name in ("same", "other")}
+
+    def add(self, words: list[str], texts: list[str], counts: np.ndarray, lists: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
+        self.numbers.update(zip(words, range(len(self.texts), len(self.texts) + len(words))))
+        self.texts += texts
+        self.counts = np.concatenate([self.counts, counts])
+        for name, (sizes, values) in lists.items():
+            offsets, before = self.lists[name]
+            self.lists[name] = np.concatenate([offsets, offsets[-1] + np.cumsum(sizes)]), np.concatenate([before, values])
+
+    def full(self) -> bool:
+        return len(self.texts) > KEPT_WORDS or sum(len(values) for _, values in self.lists.values()) > 8 * KEPT_WORDS
+
+
 class Pair:
     """The two tokenizers, the bytes of their ids, and the words met so far with their links."""
 
@@ -89,7 +117,10 @@ class Pair:
         pieces = [self.b.id_to_piece(at) for at in range(self.b.get_piece_size())]
         #: Words are independent if no piece of B has a space behind another character.
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in pieces)
-        self.words: dict[str, tuple] = {}
+        names = [f"{at},".encode() for at in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.names = np.frombuffer(b"".join(names), np.uint8)
+        self.name_offsets = np.concatenate([[0], np.cumsum(list(map(len, names)))])
+        self.words = Words()
 
     def cut(self, text: str) -> list[str]:
         """The text's words, each without the space before it."""
@@ -97,60 +128,66 @@ class Pair:
             return [text]
         return _WORD_END.split(text) if _PLAIN.search(text) else text.split(" ")
 
-    def links(self, words: list[str]) -> list[tuple]:
-        """Per word (valid, n_a, n_b, n_groups, groups as text, A ids of identical groups, codes of other links)."""
-        new = [word for word in dict.fromkeys(words) if word not in self.words]
-        if len(self.words) + len(new) > KEPT_WORDS:
-            self.words.clear()
-            new = list(dict.fromkeys(words))
-        fresh: dict[str, tuple] = {}
+    def known(self, words: list[str]) -> np.ndarray:
+        """The number of each word in ``self.words``; numbers hold until the next call."""
+        if self.words.full():
+            self.words = Words()
+        new = [word for word in dict.fromkeys(words) if word not in self.words.numbers]
         if new:
             a_lists = [done.ids for done in self.a.encode_batch_fast([f" {word}" for word in new], add_special_tokens=False)]
-            for word, entry in zip(new, self._linked(new, a_lists, self.b.encode(new, num_threads=1))):
-                (self.words if len(word) <= KEPT_LENGTH else fresh)[word] = entry
-        return [self.words[word] if word in self.words else fresh[word] for word in words]
+            self._link(new, a_lists, self.b.encode(new, num_threads=1))
+        return np.fromiter(map(self.words.numbers.__getitem__, words), np.int64, len(words))
 
-    def _linked(self, words: list[str], a_lists: list[list[int]], b_lists: list[list[int]]) -> list[tuple]:
-        """As ``links``, for words with their ids."""
+    def _link(self, words: list[str], a_lists: list[list[int]], b_lists: list[list[int]]) -> None:
         a_bytes, b_bytes = self.a_bytes, self.b_bytes
         a_flat, b_flat = list(chain.from_iterable(a_lists)), list(chain.from_iterable(b_lists))
         spelled = [f" {word}".encode() for word in words]
         whole = b"".join(spelled)
         if b"".join([a_bytes[t] for t in a_flat]) != whole or b"".join([b_bytes[t] for t in b_flat]) != whole:
-            of_each = zip(spelled, a_lists, b_lists)
-            good = [at for at, (word, a, b) in enumerate(of_each) if b"".join([a_bytes[t] for t in a]) == b"".join([b_bytes[t] for t in b]) == word]
-            entries = [(False, 0, 0, 0, "", (), ())] * len(words)
-            done = self._linked(*([values[at] for at in good] for values in (words, a_lists, b_lists))) if good else []
-            for at, entry in zip(good, done):
-                entries[at] = entry
-            return entries
+            good, bad = [], []
+            for entry in zip(spelled, words, a_lists, b_lists):
+                same = b"".join([a_bytes[t] for t in entry[2]]) == b"".join([b_bytes[t] for t in entry[3]]) == entry[0]
+                (good if same else bad).append(entry[1:])
+            none = np.zeros(len(bad), np.int64), np.zeros(0, np.int64)
+            self.words.add([word for word, _, _ in bad], [""] * len(bad), np.zeros((len(bad), 4), np.int64), {"same": none, "other": none})
+            if good:
+                self._link(*map(list, zip(*good)))
+            return
         a, b = np.array(a_flat), np.array(b_flat)
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         # Between two neighbouring ends, of whichever tokenizer, one token of each lies: one link.
-        ends = np.union1d(a_ends, b_ends)
+        ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+        ends = ends[np.append(ends[1:] != ends[:-1], True)]
         in_a, in_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         closes = (a_ends[in_a] == ends) & (b_ends[in_b] == ends)
         alone = closes & np.concatenate([[True], closes[:-1]])
         same = alone & (self.identity[a[in_a]] == b[in_b])
-        same_ids = a[in_a][same].tolist()
-        codes = (a[in_a] * len(b_bytes) + b[in_b])[~same].tolist()
-        last = np.flatnonzero(closes)
-        first = np.concatenate([[0], last[:-1] + 1])
-        a_names, b_names = list(map(str, a_flat)), list(map(str, b_flat))
-        bounds = zip(in_a[first].tolist(), (in_a[last] + 1).tolist(), in_b[first].tolist(), (in_b[last] + 1).tolist())
-        groups = [f"{','.join(a_names[a0:a1])}|{','.join(b_names[b0:b1])}" for a0, a1, b0, b1 in bounds]
 
         word_ends = np.cumsum([len(word) for word in spelled])
         to_link = np.searchsorted(ends, word_ends, "right")
-        to_group = np.searchsorted(last, to_link).tolist()
+        to_group = np.searchsorted(np.flatnonzero(closes), to_link)
         to_same = np.concatenate([[0], np.cumsum(same)])[to_link]
-        to_code = (to_link - to_same).tolist()
-        entries = []
-        g0 = s0 = c0 = 0
-        for a_ids, b_ids, g1, s1, c1 in zip(a_lists, b_lists, to_group, to_same.tolist(), to_code):
-            entries.append((True, len(a_ids), len(b_ids), g1 - g0, ";".join(groups[g0:g1]), tuple(same_ids[s0:s1]), tuple(codes[c0:c1])))
-            g0, s0, c0 = g1, s1, c1
-        return entries
+        sizes = {"same": np.diff(to_same, prepend=0), "other": np.diff(to_link - to_same, prepend=0)}
+        counts = [np.ones(len(words), np.int64), list(map(len, a_lists)), list(map(len, b_lists)), np.diff(to_group, prepend=0)]
+        self.words.add(
+            words,
+            self._groups(a, b, a_ends, b_ends, ends[closes], to_group),
+            np.stack(counts, axis=1),
+            {"same": (sizes["same"], a[in_a][same]), "other": (sizes["other"], (a[in_a] * len(b_bytes) + b[in_b])[~same])},
+        )
+
+    def _groups(self, a, b, a_ends, b_ends, group_ends, to_group) -> list[str]:
+        """Per word its groups as text: ids of A, a bar, ids of B; written for all words at once."""
+        keys = np.concatenate([2 * np.searchsorted(group_ends, a_ends), 2 * np.searchsorted(group_ends, b_ends) + 1])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        out, sizes = gathered(self.name_offsets, self.names, np.concatenate([a, b])[order])
+        last = np.append(keys[1:] != keys[:-1], True)
+        item_ends = np.cumsum(sizes)
+        out[item_ends[last] - 1] = np.where(keys[last] % 2 == 0, ord("|"), ord(";"))
+        text = out.tobytes().decode()
+        word_ends = item_ends[np.searchsorted(keys, 2 * to_group) - 1].tolist()
+        return [text[start : end - 1] for start, end in zip([0, *word_ends], word_ends)]
 
 
 @lru_cache(maxsize=2)
@@ -185,14 +222,12 @@ def _pair(a_file: bytes, b_file: bytes) -> Pair:
     return Pair(a_file, b_file)
 
 
-def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    body = np.concatenate(values) if values else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(body, kind))
+def _lists(offsets: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def _counted(values: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.array(values, np.int64), return_counts=True)
+def _one(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return _lists(np.array([0, len(values)]), values, kind)
 
 
 ENCODED = (
@@ -209,42 +244,51 @@ def encode(docs: DataFrame, a_file: bytes, b_file: bytes, id_col: str, text_col:
     schema = ENCODED.format(id=id_type)
 
     def of_block(pair: Pair, block: int, batch: pa.RecordBatch, vector: np.ndarray) -> Iterator[dict]:
-        numbers, groups, columns = [], [], ([], [], [], [])
-        block_pairs: list[np.ndarray] = []
-        texts = batch.column("text").to_pylist()
-        cut = [pair.cut(text) if text else [] for text in texts]
-        places = {word: at for at, word in enumerate(dict.fromkeys(word for words in cut for word in words))}
-        entries = pair.links(list(places))
-        for words in cut:
-            own = [entries[places[word]] for word in words]
-            if not own or not all(entry[0] for entry in own):
-                own = []
-            same, same_times = _counted([at for entry in own for at in entry[5]])
-            other, other_times = _counted([code for entry in own for code in entry[6]])
-            n_a, n_b, n_groups = (sum([entry[at] for entry in own]) for at in (1, 2, 3))
-            numbers.append((n_a, n_b, n_groups, int(same_times.sum() + other_times.sum())))
-            text = ";".join([entry[4] for entry in own])
-            groups.append(hashlib.sha256(text.encode()).hexdigest() if digest_groups and own else text)
-            for column, values in zip(columns, (same, same_times, other, other_times)):
-                column.append(values)
-            vector[same] += 1
-            # A pair of same bytes may also be linked in a group of several; a document counts it once.
-            known = same * len(pair.b_bytes) + pair.identity[same]
-            block_pairs.append(np.setdiff1d(other, known, assume_unique=True))
+        cut = [pair.cut(text) if text else [] for text in batch.column("text").to_pylist()]
+        size = len(cut)
+        numbers = pair.known(list(chain.from_iterable(cut)))
+        words, docs = pair.words, np.arange(size + 1)
+        of_doc = np.repeat(docs[:-1], list(map(len, cut)))
+        counts = words.counts[numbers]
+        whole = np.ones(size, bool)
+        whole[of_doc[counts[:, 0] == 0]] = False  # a word that is not given back takes its document's tokens
+        stay = whole[of_doc]
+        numbers, of_doc, counts = numbers[stay], of_doc[stay], counts[stay]
+        first = np.searchsorted(of_doc, docs)
+        sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(counts, axis=0)])
+        n_a, n_b, n_groups = (np.diff(sums[first], axis=0)[:, at] for at in (1, 2, 3))
+
+        texts = list(map(words.texts.__getitem__, numbers.tolist()))
+        groups = [";".join(texts[start:end]) for start, end in zip(first.tolist(), first[1:].tolist())]
+        if digest_groups:
+            groups = [text and hashlib.sha256(text.encode()).hexdigest() for text in groups]
+
+        columns, found, n_links = {}, {}, np.zeros(size, np.int64)
+        for name in ("same", "other"):
+            values, sizes = gathered(*words.lists[name], numbers)
+            keys, times = np.unique(np.repeat(of_doc, sizes) << 32 | values, return_counts=True)
+            found[name] = keys >> 32, keys & 0xFFFFFFFF
+            offsets = np.searchsorted(found[name][0], docs)
+            columns[name], columns[f"{name}_times"] = (_lists(offsets, column, pa.int32()) for column in (found[name][1], times))
+            n_links += np.diff(np.concatenate([[0], np.cumsum(times)])[offsets])
+        (same_doc, same), (other_doc, other) = found["same"], found["other"]
+        np.add.at(vector, same, 1)
+        # A pair of same bytes may also be linked in a group of several; a document counts it once.
+        counted = np.isin(other_doc << 32 | other, same_doc << 32 | same * len(pair.b_bytes) + pair.identity[same], invert=True)
         # All pairs of the block, as their counts are asked for; those known by their vector alone add no documents.
-        pairs = np.unique(np.concatenate(columns[2]))
-        pair_docs = np.zeros(len(pairs), np.int64)
-        counted, times = np.unique(np.concatenate(block_pairs), return_counts=True)
-        pair_docs[np.searchsorted(pairs, counted)] = times
-        size = len(texts)
+        pairs, at = np.unique(other, return_inverse=True)
         yield {
             "block": pa.array(np.full(size, block), pa.int64()),
             "doc_id": batch.column("doc_id"),
-            **{name: pa.array([n[at] for n in numbers], pa.int64()) for at, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))},
+            **{name: pa.array(n, pa.int64()) for name, n in zip(("n_a", "n_b", "n_groups", "n_links"), (n_a, n_b, n_groups, n_links))},
             "groups": pa.array(groups, pa.string()),
-            **{name: _lists(values, pa.int32()) for name, values in zip(("same", "same_times", "other", "other_times"), columns)},
+            **columns,
+        }
+        yield {
+            "block": pa.array([block], pa.int64()),
+            "pairs": _one(pairs, pa.int32()),
+            "pair_docs": _one(np.bincount(at[counted], minlength=len(pairs)), pa.int32()),
         }
-        yield {"block": pa.array([block], pa.int64()), "pairs": _lists([pairs], pa.int32()), "pair_docs": _lists([pair_docs], pa.int32())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(a_file, b_file)
@@ -255,7 +299,7 @@ def encode(docs: DataFrame, a_file: bytes, b_file: bytes, id_col: str, text_col:
                 yield _row_batch(columns, batch.schema.field("doc_id").type)
             block += 1
         if vector.any():
-            yield _row_batch({"block": pa.array([block], pa.int64()), "vector": _lists([vector], pa.int64())}, None)
+            yield _row_batch({"block": pa.array([block], pa.int64()), "vector": _one(vector, pa.int64())}, None)
 
     def _row_batch(columns: dict, id_kind: pa.DataType | None) -> pa.RecordBatch:
         size = len(next(iter(columns.values())))
