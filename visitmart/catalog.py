@@ -16,7 +16,7 @@ from visitmart.operators.profile import column_domains, first_rows, null_counts,
 from visitmart.plans import outreach, visits
 from visitmart.session import scratch_path, scratch_table
 from visitmart.sinks.load import truncate_load
-from visitmart.sinks.window import DAY_COLUMN, create_mart, replace_window, spread_by_day, with_day
+from visitmart.sinks.window import DAY_COLUMN, create_mart, replace_window, with_day
 from visitmart.sources.query import SqlFrames, sql_over_frames
 from visitmart.sources.tables import named_table, parquet_table
 from visitmart.sources.tracks import stack_tracks
@@ -107,21 +107,16 @@ def sink_truncate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_table(spark, "outreach_ods")
     old = outreach.outreach_ods(sample.boxes(spark, sf_dir), sample.pipelines(spark, sf_dir), 0)
     truncate_load(old, table)
-    truncate_load(outreach_ods(spark, sf_dir).drop("batched_at"), table, direct=True)
+    truncate_load(outreach_ods(spark, sf_dir).drop("batched_at"), table)
     return named_table(spark, f"spark_catalog.{table}")
 
 
 def sink_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A mart of days that lie three days too early, then fully refreshed, under dynamic partition overwrite."""
+    """A mart of days that lie three days too early, then fully refreshed."""
     mart = scratch_table(spark, "visits")
     tracks = sample.tracks(spark, sf_dir)
     create_mart(visits.daily_visits(tracks, SHIFT_HOURS - 72), mart)
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        truncate_load(spread_by_day(with_day(visits.daily_visits(tracks))), mart)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+    truncate_load(with_day(visits.daily_visits(tracks)), mart)
     return spark.table(mart).drop(DAY_COLUMN)
 
 
@@ -153,7 +148,6 @@ def daily_visits_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.daily_visits(sample.tracks(spark, sf_dir, sample.WINDOW))
 
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 PROFILED = ("rep_name", "category_id", "stage_type_id", "is_flagged", "leadsource_id")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

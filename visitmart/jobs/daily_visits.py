@@ -21,7 +21,7 @@ from visitmart.functions.daywindow import SHIFT_HOURS, DayWindow, resolve_window
 from visitmart.plans.visits import daily_visits
 from visitmart.session import build_session
 from visitmart.sinks.load import truncate_load
-from visitmart.sinks.window import create_mart, replace_window, spread_by_day, with_day
+from visitmart.sinks.window import create_mart, replace_window, with_day
 from visitmart.sources.tables import named_table
 from visitmart.sources.tracks import DAY_STAMP, TrackTable, stack_tracks
 
@@ -64,7 +64,7 @@ def run(spark: SparkSession, args: argparse.Namespace, now: datetime) -> DayWind
     if not exists:
         create_mart(visits, args.mart)
     elif args.full_refresh:
-        truncate_load(spread_by_day(with_day(visits)), args.mart)
+        truncate_load(with_day(visits), args.mart)
     else:
         replace_window(visits, args.mart, window)
     return window

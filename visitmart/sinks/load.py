@@ -6,21 +6,31 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from visitmart.sinks.stage import in_table_order, insert_over, staged
+from visitmart.sinks import versions
+from visitmart.sinks.stage import in_table_order, insert_over, spread_by, staged
 
 
 def truncate_load(frame: DataFrame, table: str, *, direct: bool = False) -> None:
     """Replace all rows of a catalog table, keeping its definition; create it if it is missing.
 
-    Columns are matched by name. Rows of partitions that the new rows don't reach go as well,
-    whatever partition overwrite mode the session has. The rows are staged first, so that the
-    target is empty only while finished rows are copied, and the frame may read the target.
-    ``direct`` writes them once, by truncate and append: for frames that don't read the target,
-    where an empty target after a failure does no harm.
+    Columns are matched by name. Tables made here are published in versions (``versions.py``): readers see the
+    old rows until all new ones are there, a load that fails changes nothing, of two loads at once the
+    second raises ``ConcurrentLoad``, and the frame may read the target.
+
+    Tables that others made are emptied and filled: rows of partitions that the new rows don't reach go as
+    well, whatever partition overwrite mode the session has. The rows are staged first, so that the
+    target is empty only while finished rows are copied. ``direct`` writes them once, by truncate and append: for
+    frames that don't read the target, where an empty target after a failure does no harm.
     """
     spark = frame.sparkSession
-    if not spark.catalog.tableExists(table):
-        frame.write.saveAsTable(table)
+    if versions.is_versioned(spark, table):
+        base = versions.newest(spark, table)
+        versions.publish(frame, table, base, base.partition_by, spread=lambda rows: spread_by(rows, base.partition_by))
+    elif not spark.catalog.tableExists(table):
+        if versions.can_hold(spark, table):
+            versions.publish(frame, table, versions.newest(spark, table))
+        else:
+            frame.write.saveAsTable(table)
     elif direct:
         rows = in_table_order(frame, table)
         spark.sql(f"TRUNCATE TABLE {table}")

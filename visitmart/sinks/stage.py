@@ -24,6 +24,15 @@ def staged(frame: DataFrame, target: str, *partition_by: str) -> Iterator[str]:
         frame.sparkSession.sql(f"DROP TABLE IF EXISTS {stage}")
 
 
+def spread_by(frame: DataFrame, column: str | None) -> DataFrame:
+    """Rows of a partition brought together, so that a load writes few files for each.
+
+    The rebalance lets adaptive execution cut a partition that holds more than a file's worth,
+    and it is left out where adaptive execution is off.
+    """
+    return frame.hint("rebalance", column) if column else frame
+
+
 def in_table_order(frame: DataFrame, table: str) -> DataFrame:
     """The frame's columns by name in the order of the table, which must have them all."""
     columns = frame.sparkSession.table(table).columns
