@@ -10,6 +10,7 @@ from visitmart import catalog, sample
 from visitmart.functions.daywindow import DayWindow
 from visitmart.plans import visits
 from visitmart.plans.outreach import outreach_ods
+from visitmart.sources.query import sql_over_frames
 from visitmart.sources.tracks import TrackRule, TrackTable, split_log, stack_tracks
 
 
@@ -125,6 +126,22 @@ def test_one_parse_per_json_column(spark, capsys):
         assert len(re.findall(r"VariantExpressionEvalUtils.parseJson", optimized.group(1))) == 2, name
 
 
+def test_three_calls_on_one_column_parse_once(spark):
+    """Calls on one column are one parse per row in the generated code, in SQL over frames and on a table."""
+    statement = """
+        SELECT id, json_extract_path_text(fields, '1003') AS a, json_extract_path_text(fields, '1014') AS b,
+               json_extract_path_text(fields, '1002') AS c, json_extract_array_element_text(assignedtosharingentries, 0) AS d
+        FROM {boxes}
+    """
+    frame = sql_over_frames(spark, statement, {"boxes": sample.boxes(spark, SF)})
+    stages = frame._jdf.queryExecution().debug().codegenToSeq()
+    codes = [stages.apply(at)._2() for at in range(stages.size())]
+    assert sum(code.count("VariantExpressionEvalUtils.parseJson(") for code in codes) == 2
+    # In the plan it is one for each call, as each has its arguments as columns below it.
+    plan_text = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan_text.count("VariantExpressionEvalUtils.parseJson(") == 4
+
+
 def test_lookup_check_moves_one_row_per_task(spark, capsys):
     from visitmart.operators import joins
 

@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A parse reads the first JSON value of a text and leaves the rest. So the text is parsed as the
-# first element of an array whose second and last element is the text's own hash: if that is
+# first element of an array whose second and last element is the text's own 64-bit hash: if that is
 # found where it must be, the text was exactly one value.
 
 
 def marked_json(text: Column) -> Column:
     """The parsed array of the text and its hash. Keep it as a column of its own: it is the one parse."""
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text.cast("binary")), F.lit('"]')))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), F.xxhash64(text).cast("string"), F.lit("]")))
 
 
 def one_value(marked: Column, text: Column) -> Column:
@@ -22,21 +22,18 @@ def one_value(marked: Column, text: Column) -> Column:
     a key keeps its last value where ``spark.sql.variant.allowDuplicateKeys`` is on, as in
     ``build_session``, and is malformed elsewhere. The JSON value ``null`` is a variant, not NULL.
     """
-    complete = F.try_variant_get(marked, "$[1]", "string") == F.md5(text.cast("binary"))
+    complete = F.try_variant_get(marked, "$[1]", "bigint") == F.xxhash64(text)
     return F.when(complete, F.try_variant_get(marked, "$[0]", "variant"))
 
 
-def one_value_sql(text: str) -> str:
-    """The same as SQL text; the lambda keeps it at one parse."""
-    return (
-        f"transform(array(try_parse_json(concat('[', {text}, ',\"', md5({text}), '\"]'))), marked ->"
-        f" CASE WHEN try_variant_get(marked, '$[1]', 'string') = md5({text})"
-        " THEN try_variant_get(marked, '$[0]', 'variant') END)[0]"
-    )
+def marked_json_sql(text: str) -> str:
+    """``marked_json`` as SQL text."""
+    return f"try_parse_json(concat('[', {text}, ',', CAST(xxhash64({text}) AS string), ']'))"
 
 
 def is_array(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("ARRAY")
+    """Whether a variant is an array; told by a cast, which does not walk through the members of an object."""
+    return F.try_variant_get(value, "$", "array<variant>").isNotNull()
 
 
 def is_object(value: Column) -> Column:
@@ -50,7 +47,7 @@ def first_value(value: Column) -> Column:
 
 def member(value: Column, key: str) -> Column:
     """A member of an object as a variant; NULL if it is missing or the value is no object."""
-    return F.when(is_object(value), F.try_variant_get(value, f"$['{key}']", "variant"))
+    return F.try_variant_get(value, f"$['{key}']", "variant")
 
 
 def as_text(value: Column) -> Column:
