@@ -8,8 +8,9 @@ import pytest
 from conftest import SF
 from llm_rows import no_docs, odd_docs
 from visitmart.llm import alignment, queries
+from visitmart.llm.common import driver_file
 
-FILES = alignment.file_bytes(alignment.TOKENIZER_A), alignment.file_bytes(alignment.TOKENIZER_B)
+FILES = driver_file(f"/opt/tokenizers/{alignment.TOKENIZER_A}"), driver_file(f"/opt/tokenizers/{alignment.TOKENIZER_B}")
 
 
 def encoded(texts):

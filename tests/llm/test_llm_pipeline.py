@@ -1,3 +1,8 @@
+import math
+import random
+import zlib
+
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -6,7 +11,7 @@ from llm_rows import odd_docs, odd_rows, no_docs
 from test_llm_decontam import brute as leaks
 from test_llm_mixing import check as mix_is_right
 from test_llm_simhash import grouped, plain
-from visitmart.llm import mixing, sharding
+from visitmart.llm import langid, mixing, queries, sharding
 
 
 def docs_of(frame):
@@ -26,6 +31,54 @@ def test_stages_are_those_of_the_contract():
     assert corpus_pipeline.ORACLE_SQL is None and registered.queries()["pipeline"] is corpus_pipeline.run
 
 
+def in_language(spark, rows, text, known={}):
+    """By loops: whether the text's cosine to a prototype is at least half of what all but 1 in 200 training texts of its size have."""
+    if "bounds" not in known:
+        letters = known["letters"] = langid.Letters()
+        held = lambda doc_id: doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 1
+        training = [row for row in rows if row[2] is not None and not held(row[0])]
+        known["prototypes"] = {
+            lang: sum(letters.bundles([row[1]])[0] for row in training if row[2] == lang) for lang in {row[2] for row in training}
+        }
+        by_size = {}
+        for row in training:
+            if any(c.isalpha() for c in row[1] or ""):
+                size, cosine = size_and_cosine(known, row[1])
+                by_size.setdefault(size, []).append(math.floor(cosine * 1000))
+        known["bounds"] = {size: sorted(steps)[math.floor(len(steps) * 0.005)] / 2000 for size, steps in by_size.items()}
+    size, cosine = size_and_cosine(known, text)
+    bounds = known["bounds"]
+    return cosine >= bounds[max([s for s in bounds if s <= size], default=min(bounds))]
+
+
+def size_and_cosine(known, text):
+    vector = known["letters"].bundles([text])[0]
+    count = known["letters"].trigrams([text])[2].sum()
+    cosines = [p @ vector / np.linalg.norm(p) / max(np.linalg.norm(vector), 1) for p in known["prototypes"].values()]
+    return int(math.log2(max(count, 1))), min(max(*cosines, 0), 1)
+
+
+def test_language_stage_rejects_junk_and_keeps_clean_documents(spark, tmp_path):
+    """Letter noise, another script and signs go; of the provided documents, held out or not, all but 1 in 50 stay."""
+    rng = random.Random(5)
+    noise = lambda letters, words: " ".join("".join(rng.choices(letters, k=rng.randrange(2, 10))) for _ in range(words))
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    junk = [noise("abcdefghijklmnopqrstuvwxyz", words) for words in (40, 100, 300, 1000) for _ in range(20)]
+    junk += [noise("αβγδεζηθικλμνξοπρστυφχψω", words) for words in (10, 40, 300) for _ in range(20)]
+    junk += [noise("абвгдежзийклмнопрстуфхцчшщ", words) for words in (10, 40, 300) for _ in range(20)]
+    rows = [(10_000_000 + at, text, None, "junk", len(text)) for at, text in enumerate(junk)]
+    planted = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    planted.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = {row.doc_id for row in corpus_pipeline.known_language(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), "").collect()}
+    lettered = [row for row in planted.collect() if any(c.isalpha() for c in row.text or "")]
+    clean = [row.doc_id for row in lettered if row.source != "junk"]
+    held = [doc_id for doc_id in clean if zlib.crc32(str(doc_id).encode()) % 3 == 1]
+    assert sum(doc_id in kept for doc_id in held) >= 0.98 * len(held)
+    assert sum(doc_id in kept for doc_id in clean) >= 0.98 * len(clean)
+    assert sum(10_000_000 + at in kept for at in range(len(junk))) <= 0.02 * len(junk)
+    assert kept != {row.doc_id for row in lettered}
+
+
 def test_each_stage_against_brute_force(spark, tmp_path):
     items, folder = bench(spark, tmp_path), str(tmp_path)
     odd_docs(spark).write.parquet(f"{folder}/documents.parquet")
@@ -39,7 +92,8 @@ def test_each_stage_against_brute_force(spark, tmp_path):
         docs = spark.read.parquet(f"{folder}/stage{number}")
         after = docs_of(docs)
         if name == "language_id":
-            assert after == [row for row in before if any(c.isalpha() for c in row[1] or "")]
+            assert after == [row for row in before if any(c.isalpha() for c in row[1] or "") and in_language(spark, before, row[1])]
+            assert len(after) < sum(any(c.isalpha() for c in row[1] or "") for row in before)
         elif name == "simhash_dedup":
             groups: dict = {}
             prints = [plain(row[1]) for row in before]

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+import regex
 import tiktoken
 
 from conftest import rows_of
@@ -13,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def coder():
-    table = tokens.ranks(tokens.TOKENIZER)
+    table = tokens.ranks(f"/opt/tokenizers/{tokens.TOKENIZER}")
     return tiktoken.Encoding("test", pat_str=tokens.SPLIT, mergeable_ranks=table, special_tokens={})
 
 
@@ -79,3 +80,42 @@ def test_ids_must_fit(spark, tmp_path):
     (tmp_path / "ranks").write_bytes(b"YQ== 70000\n")
     with pytest.raises(ValueError, match="16 bits"):
         tokens.write_token_files(no_docs(spark), scratch_path(spark, "none"), f"file:{tmp_path}/ranks")
+
+
+def pieces(text):
+    """The pattern's pieces, by an engine that does not give up on long white space."""
+    return regex.findall(tokens.SPLIT, text)
+
+
+@pytest.mark.parametrize("limit", [2, 3, 7])
+def test_cut_white_space_encodes_as_uncut(monkeypatch, limit):
+    """Runs cut from a few characters on, on texts that the pattern can also take as a whole."""
+    monkeypatch.setattr(tokens, "_LONG_SPACE", tokens.re.compile(tokens._LONG_SPACE.pattern.replace("5000", str(limit))))
+    rng, own = random.Random(limit), coder()
+    for _ in range(400):
+        text = "".join(rng.choice([" ", "  ", "\n", "\t", "\xa0", "\u3000", "\x1c", "\x85", "a", "é", "1", "!", "'s"]) for _ in range(rng.randrange(40)))
+        assert tokens.encoded(own, text) == own.encode_ordinary(text), repr(text)
+
+
+def test_five_million_characters_of_white_space(spark):
+    rng = random.Random(1)
+    n = 5_000_000
+    mixed = "".join(rng.choices(" \t\n\r\xa0\u2003", k=n))
+    texts = [" " * n, "\t" * n, "\n" * n, mixed, f"a{' ' * n}b", f"{mixed}1 x {' ' * 100_000}\n! y", "ab" * (n // 2), "=" * n]
+    own = coder()
+    wanted = [(at, sum(len(own._encode_single_piece(piece)) for piece in pieces(text))) for at, text in enumerate(texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rows_of(tokens.document_tokens(docs)) == wanted
+
+
+def test_one_batch_per_pass_and_settings(spark):
+    docs = spark.createDataFrame([(at, f"text {at}") for at in range(50)], "doc_id long, text string").coalesce(1)
+    folder = scratch_path(spark, "files")
+    manifest = tokens.write_token_files(docs, folder, file_bytes=16)
+    assert manifest.count() == 50 and manifest.select("path").distinct().count() > 1
+    spark.conf.set("spark.visitmart.tokenizers", "/nowhere")
+    try:
+        with pytest.raises(FileNotFoundError, match="spark.visitmart.tokenizers"):
+            tokens.document_tokens(docs)
+    finally:
+        spark.conf.unset("spark.visitmart.tokenizers")

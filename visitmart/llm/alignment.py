@@ -25,15 +25,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import passes, staged
+from visitmart.llm.common import driver_file, passes, staged, tokenizer_path, valid_text
 
-TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
-TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
+TOKENIZER_A = "byte_bpe_50k.json"
+TOKENIZER_B = "piece_bpe_32k.model"
 #: A worker that holds more words, or more than eight times as many links, forgets all before its next block.
 KEPT_WORDS = 300_000
 
@@ -42,16 +41,6 @@ _PLAIN = re.compile(r"\A | \Z|\s ")
 _WORD_END = re.compile(r"(?<=\S) (?=[^ ])")
 
 
-def file_bytes(uri: str) -> bytes:
-    """A tokenizer's file, read on the driver from a local path or any file system that Arrow knows."""
-    file_system, name = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
-    try:
-        with file_system.open_input_stream(name) as stream:
-            return stream.readall()
-    except FileNotFoundError:
-        raise FileNotFoundError(f"no tokenizer file at {uri}; name one that the driver can read") from None
-
-
 def byte_alphabet() -> dict[str, int]:
     """The byte that each character stands for in a byte-level vocabulary.
 
@@ -240,7 +229,7 @@ ENCODED = (
 def encode(docs: DataFrame, a_file: bytes, b_file: bytes, id_col: str, text_col: str, digest_groups: bool) -> DataFrame:
     """Rows of three kinds: documents; blocks with their pairs (``pairs`` not null); a task's vector (``vector`` not null)."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.make_valid_utf8(F.col(text_col).cast("string")).alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), valid_text(text_col).alias("text"))
     schema = ENCODED.format(id=id_type)
 
     def of_block(pair: Pair, block: int, batch: pa.RecordBatch, vector: np.ndarray) -> Iterator[dict]:
@@ -340,8 +329,8 @@ def align(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    tokenizer_a: str = TOKENIZER_A,
-    tokenizer_b: str = TOKENIZER_B,
+    tokenizer_a: str | None = None,
+    tokenizer_b: str | None = None,
     digest_groups: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Per document its alignment, and the corpus counts of linked pairs.
@@ -354,7 +343,9 @@ def align(
     and empty groups. Rows repeated, or sharing an id, count as documents each; ids may be of any type. Bytes that
     are no UTF-8 become U+FFFD. No rows in, no rows out, and no pairs.
     """
-    a_file, b_file = file_bytes(tokenizer_a), file_bytes(tokenizer_b)
+    spark = docs.sparkSession
+    a_file = driver_file(tokenizer_a or tokenizer_path(spark, TOKENIZER_A))
+    b_file = driver_file(tokenizer_b or tokenizer_path(spark, TOKENIZER_B))
     a_bytes, b_bytes, identity = tables(a_file, b_file)
     width = len(b_bytes)
     if len(a_bytes) * width >= 1 << 31:

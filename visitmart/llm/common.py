@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,8 +24,37 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns an operator reads, under fixed names: other columns can't clash with its own."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """The two columns an operator reads, under fixed names: other columns can't clash with its own.
+
+    Ids are whole numbers, or text that spells them. Bytes of a text that are no UTF-8 become U+FFFD.
+    """
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), valid_text(text_col).alias("text"))
+
+
+def valid_text(text_col: str) -> Column:
+    """The column as text in which bytes that are no UTF-8 are replaced by U+FFFD."""
+    return F.make_valid_utf8(F.col(text_col).cast("string"))
+
+
+#: Setting that names the folder of the tokenizers' files, on the driver.
+TOKENIZER_FOLDER = "spark.visitmart.tokenizers"
+
+
+def tokenizer_path(spark: SparkSession, name: str) -> str:
+    """Place of a tokenizer's file: in the folder that the session names, or in /opt/tokenizers."""
+    return f"{spark.conf.get(TOKENIZER_FOLDER, '/opt/tokenizers').rstrip('/')}/{name}"
+
+
+def driver_file(uri: str) -> bytes:
+    """A file's bytes, read on the driver from a local path or any file system that Arrow knows."""
+    if uri.startswith("file:"):
+        uri = "/" + uri[5:].lstrip("/")
+    file_system, name = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+    try:
+        with file_system.open_input_stream(name) as stream:
+            return stream.readall()
+    except FileNotFoundError:
+        raise FileNotFoundError(f"no tokenizer file at {uri}; give its path, or name its folder in {TOKENIZER_FOLDER}") from None
 
 
 def unused(frame: DataFrame, name: str) -> str:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import arrow_map, passes, staged, text_rows
+from visitmart.llm.common import arrow_map, passes, staged, text_rows, valid_text
 from visitmart.llm.words import LOWER, PLAIN, column_bytes, run_hashes, word_spans
 
 WINDOW = 10
@@ -63,6 +63,15 @@ class Batch:
         return at, run_hashes(self.hashes, at, at + size)
 
 
+def valid(column: pa.Array) -> pa.Array:
+    """The column with U+FFFD for bytes that are no UTF-8."""
+    texts = column.cast(pa.binary())
+    try:
+        return texts.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([None if text is None else text.decode("utf-8", "replace") for text in texts.to_pylist()], pa.string())
+
+
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """(item_id, window): the distinct windows of each item as words joined by a space."""
 
@@ -302,13 +311,13 @@ def drop_contaminated(
     block_pairs: int = BLOCK_PAIRS,
 ) -> DataFrame:
     """The rows of the documents, with all their columns, that hold no window of the benchmark."""
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = docs.select(valid_text(f"`{text_col}`").alias("text"))
     clean = docs
     for block in blocks(rows, benchmark, item_id_col, item_text_col, window, block_pairs):
 
         def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in passes(batches, text_col):
-                words = Batch.of(batch.column(text_col))
+                words = Batch.of(valid(batch.column(text_col)))
                 _, low = block.hits(words)
                 stays = np.ones(batch.num_rows, bool)
                 stays[words.rows()[low]] = False

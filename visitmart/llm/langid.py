@@ -15,9 +15,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from visitmart.llm.common import arrow_map, text_rows
 
@@ -71,10 +71,16 @@ class Letters:
 
     def bundles(self, texts: list[str | None]) -> np.ndarray:
         """One row per text: the sum of its trigrams' vectors."""
+        return self.bundles_and_sizes(texts)[0]
+
+    def bundles_and_sizes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """``bundles``, and how many trigrams each text has."""
         out = np.zeros((len(texts), self.rolled[0].shape[1]), np.float64)
+        sizes = np.zeros(len(texts), np.int64)
         for at in range(0, len(texts), BLOCK_TEXTS):
             some = texts[at : at + BLOCK_TEXTS]
             text, trigram, count = self.trigrams(some)
+            np.add.at(sizes, at + text, count)
             distinct, where = np.unique(trigram, return_inverse=True)
             for low in range(0, len(distinct), BLOCK_TRIGRAMS):
                 block = distinct[low : low + BLOCK_TRIGRAMS]
@@ -86,7 +92,12 @@ class Letters:
                     out[at : at + len(some)] += counts.astype(np.float64) @ self.vectors(block)
                 else:
                     out[at : at + len(some)] += counts @ self.vectors(block)
-        return out
+        return out, sizes
+
+
+def decoded(column: pa.Array) -> list[str | None]:
+    """The texts of a column; bytes that are no UTF-8 count as U+FFFD, which is no letter."""
+    return [None if text is None else text.decode("utf-8", "replace") for text in column.cast(pa.binary()).to_pylist()]
 
 
 def train(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED) -> dict[str, np.ndarray]:
@@ -100,7 +111,7 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED) -> di
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for at in range(0, batch.num_rows, BLOCK_TEXTS):
-                rows = letters.bundles(batch.column("text").slice(at, BLOCK_TEXTS).to_pylist())
+                rows = letters.bundles(decoded(batch.column("text").slice(at, BLOCK_TEXTS)))
                 some = np.array(langs[at : at + BLOCK_TEXTS])
                 for lang in set(some.tolist()):
                     sums[lang] = sums.get(lang, 0) + rows[some == lang].sum(axis=0)
@@ -124,10 +135,12 @@ def tag(
     text_col: str = "text",
     dimensions: int = DIMENSIONS,
     seed: int = SEED,
-    names_out: tuple[str, str] = ("lang_pred", "score"),
+    names_out: tuple[str, ...] = ("lang_pred", "score"),
 ) -> DataFrame:
     """The rows with all their columns, and the language and its score (columns of those names are replaced).
 
+    With a third name in ``names_out`` the number of the text's trigrams is added.
+
     ``score`` is the cosine to the best prototype, 0 where it is negative; equal cosines go to
     the first language by name. Null texts, texts without a letter and all texts if nothing was
     learned get ``und`` and score 0. A text in letters that no prototype knows gets the best
@@ -138,38 +151,83 @@ def tag(
     letters: list[Letters] = []
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names_out])
 
-    def judged(texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def judged(texts: list[str | None]) -> tuple[list[str], list[float], list[int]]:
         has = [any(c.isalpha() for c in t or "") for t in texts]
         if not names:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        bundles = letters[0].bundles(texts)
+            return [UNKNOWN] * len(texts), [0.0] * len(texts), [0] * len(texts)
+        bundles, sizes = letters[0].bundles_and_sizes(texts)
         norms = np.linalg.norm(bundles, axis=1)
         cosines = bundles @ matrix.T / np.maximum(norms, 1)[:, None]
         best = cosines.argmax(axis=1)
         top = np.clip(cosines[np.arange(len(texts)), best], 0, 1)
         known = [names[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has)]
-        return known, [s if ok else 0.0 for s, ok in zip(top.tolist(), has)]
+        return known, [s if ok else 0.0 for s, ok in zip(top.tolist(), has)], sizes.tolist()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not letters:
             letters.append(Letters(dimensions, seed))
-        texts = batch.column(text_col).to_pylist()
-        preds: list[str] = []
-        scores: list[float] = []
+        texts = decoded(batch.column(text_col))
+        found: tuple[list, list, list] = ([], [], [])
         for at in range(0, len(texts), BLOCK_TEXTS):
-            some = judged(texts[at : at + BLOCK_TEXTS])
-            preds += some[0]
-            scores += some[1]
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
-            names=[*batch.schema.names, *names_out],
-        )
-
-    new = [StructField(name, kind) for name, kind in zip(names_out, (StringType(), DoubleType()))]
+            for values, some in zip(found, judged(texts[at : at + BLOCK_TEXTS])):
+                values += some
+        made = [pa.array(values, kind) for values, kind in zip(found, (pa.string(), pa.float64(), pa.int64()))]
+        return pa.RecordBatch.from_arrays([*batch.columns, *made[: len(names_out)]], names=[*batch.schema.names, *names_out])
+
+    new = [StructField(name, kind) for name, kind in zip(names_out, (StringType(), DoubleType(), LongType()))]
     schema = StructType([*rows.schema.fields, *new])
     return arrow_map(rows, work, schema, text_col)
 
 
+#: Of the training texts of a size, this share may lie below the cosine that a bound is taken from, and the bound is this part of it.
+BOUND_SHARE = 0.005
+BOUND_PART = 0.5
+_STEPS = 1000
+
+
+def size_class(trigrams: Column) -> Column:
+    """Texts of about the same size: the power of two below their number of trigrams. Cosines grow with it."""
+    return F.floor(F.log2(F.greatest(trigrams, F.lit(1)).cast("double"))).cast("int")
+
+
+def least_scores(
+    docs: DataFrame, prototypes: dict[str, np.ndarray], share: float = BOUND_SHARE, part: float = BOUND_PART, **options
+) -> dict[int, float]:
+    """By size class the score below which a text is in no language that was learned.
+
+    It is ``part`` of the cosine that all but ``share`` of the training texts of that size reach; letter noise and unknown
+    scripts stay far below it. All training rows (text, lang) count: their cosines are counted in
+    thousandths, and these counts, at most a thousand for each power of two, come to the driver. Null
+    languages and texts without a letter teach nothing.
+    """
+    pred, score, size = "lang_pred", "score", "n_trigrams"
+    rows = docs.where("lang IS NOT NULL").select("text")
+    tagged = tag(rows, prototypes, names_out=(pred, score, size), **options).where(F.col(pred) != UNKNOWN)
+    steps = tagged.groupBy(size_class(F.col(size)).alias("size"), F.floor(F.col(score) * _STEPS).alias("step")).count()
+    by_size: dict[int, list[tuple[int, int]]] = {}
+    for row in steps.collect():
+        by_size.setdefault(row["size"], []).append((row["step"], row["count"]))
+    bounds = {}
+    for size_at, counts in by_size.items():
+        left = share * sum(n for _, n in counts)
+        for step, n in sorted(counts):
+            left -= n
+            if left < 0:
+                bounds[size_at] = part * step / _STEPS
+                break
+    return bounds
+
+
+def reaches(score: Column, trigrams: Column, bounds: dict[int, float]) -> Column:
+    """Whether a text's score reaches the bound of its size; sizes that taught nothing take the next smaller one's, or else the smallest one's."""
+    if not bounds:
+        return F.lit(True)
+    least = F.lit(bounds[min(bounds)])
+    for size_at in sorted(bounds):
+        least = F.when(size_class(trigrams) >= size_at, F.lit(bounds[size_at])).otherwise(least)
+    return score >= least
+
+
 def identify(
     docs: DataFrame,
     prototypes: dict[str, np.ndarray],

@@ -15,6 +15,7 @@ where. Files of tasks that failed half-way are not in the manifest and are not r
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import passes, staged, text_rows
+from visitmart.llm.common import driver_file, passes, staged, text_rows, tokenizer_path
 from visitmart.session import scratch_path
 
 BLOCK_BYTES = 4 << 20
@@ -33,10 +34,15 @@ SPAN_BLOCKS = 1024
 #: A writer starts a new file beyond so many bytes.
 FILE_BYTES = 128 << 20
 #: Rank file of a byte-level BPE vocabulary, and the free id that ends documents.
-TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 END_ID = 50256
 #: Words with the space before them, numbers, runs of signs, white space.
 SPLIT = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Runs of white space from this length on are cut by hand: the pattern's look-ahead keeps a state for each character of a run.
+LONG_SPACE = 5_000
+_LONG_SPACE = re.compile(
+    f"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG_SPACE},}}"
+)
 
 
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -48,20 +54,36 @@ def opened(uri: str) -> tuple[pafs.FileSystem, str]:
 
 def ranks(path: str) -> dict[bytes, int]:
     """Tokens and ids of a rank file: a token in base 64 and its id per line."""
-    file_system, name = opened(path)
-    with file_system.open_input_stream(name) as stream:
-        pairs = (line.split() for line in stream.readall().splitlines() if line)
-        return {base64.b64decode(token): int(number) for token, number in pairs}
+    pairs = (line.split() for line in driver_file(path).splitlines() if line)
+    return {base64.b64decode(token): int(number) for token, number in pairs}
+
+
+def encoded(coder, text: str) -> list[int]:
+    """The text's ids, as of one uncut encoding by the pattern, whatever the length of its white space.
+
+    The pattern takes a run of white space as one piece, but for its last character where more text
+    follows. Long runs are encoded as such pieces, and what lies between them by the pattern.
+    """
+    ids: list[int] = []
+    at = 0
+    for run in _LONG_SPACE.finditer(text):
+        start, end = run.span()
+        if end < len(text):
+            end -= 1  # the last one goes with what follows
+        ids += coder.encode_ordinary(text[at:start])
+        ids += coder._encode_single_piece(text[start:end])
+        at = end
+    return ids + coder.encode_ordinary(text[at:] if at else text)
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id: int = END_ID, file_bytes: int = FILE_BYTES
+    docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID, file_bytes: int = FILE_BYTES
 ) -> DataFrame:
     """Writes the texts' tokens (16 bits each) under ``folder``; returns the manifest (path, doc_no, doc_id).
 
     ``doc_no`` counts a file's documents from 0. A null text is a document without tokens.
     """
-    table = ranks(tokenizer)
+    table = ranks(tokenizer or tokenizer_path(docs.sparkSession, TOKENIZER))
     if max(table.values(), default=0) >= 1 << 16 or end_id >= 1 << 16 or end_id in set(table.values()):
         raise ValueError("ids must fit in 16 bits, the end id must be free")
 
@@ -74,21 +96,22 @@ def write_token_files(
         out, name, written, number = None, "", 0, 0
         try:
             for batch in passes(batches):
-                ids = batch.column("doc_id")
-                for row, text in enumerate(batch.column("text").to_pylist()):
+                names, numbers = [], []
+                for text in batch.column("text").to_pylist():
                     if out is None or written >= file_bytes:
                         if out is not None:
                             out.close()
                         name, written, number = f"{uuid.uuid4().hex}.tokens", 0, 0
                         out = file_system.open_output_stream(f"{at}/{name}")
-                    body = np.array([*coder.encode_ordinary(text or ""), end_id], "<u2").tobytes()
+                    body = np.array([*encoded(coder, text or ""), end_id], "<u2").tobytes()
                     out.write(body)
                     written += len(body)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{folder}/{name}"]), pa.array([number], pa.int64()), ids.slice(row, 1)],
-                        names=["path", "doc_no", "doc_id"],
-                    )
+                    names.append(f"{folder}/{name}")
+                    numbers.append(number)
                     number += 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names), pa.array(numbers, pa.int64()), batch.column("doc_id")], names=["path", "doc_no", "doc_id"]
+                )
         finally:
             if out is not None:
                 out.close()
@@ -185,7 +208,7 @@ def document_tokens(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    tokenizer: str = TOKENIZER,
+    tokenizer: str | None = None,
     end_id: int = END_ID,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
