@@ -4,8 +4,8 @@ Each stage works on all rows that the one before kept. All but the last return t
 were given; the last adds ``slot`` and ``shard``. ``run`` writes each stage's rows as Parquet in
 the shared folder and reads them for the next.
 
-Nulls, empty texts, repeated rows and empty tables: a null text or one without a letter is
-rejected by the first stage; rows repeated in full, or sharing an id, are near copies if their
+Nulls, empty texts, repeated rows and empty tables: a null text, one without a letter
+and one unlike all languages learned are rejected by the first stage; rows repeated in full, or sharing an id, are near copies if their
 texts are, and then one of them stays; an empty table stays empty through all stages. Rows with a
 null id are kept last in a group of near copies, rows with a null source are the last source.
 """
@@ -23,12 +23,18 @@ from visitmart.llm.queries import table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows with a language; prototypes are learned as in the query of language ID. ``und`` goes."""
+    """Rows in a language that was learned.
+
+    Prototypes are learned as in the query of language ID, and from the same rows the cosine that a text of
+    its size must have to one of them: ``und`` goes, and so do letter noise and unknown scripts.
+    """
     held_out = F.coalesce(id_crc32() % 3 == 1, F.lit(False))
-    prototypes = langid.train(docs.where(~held_out))
-    pred, score = unused(docs, "_pred"), unused(docs, "_score")
-    tagged = langid.tag(docs, prototypes, names_out=(pred, score))
-    return tagged.where(F.col(pred) != langid.UNKNOWN).select(*docs.columns)
+    training = docs.where(~held_out)
+    prototypes = langid.train(training)
+    pred, score, size = unused(docs, "_pred"), unused(docs, "_score"), unused(docs, "_size")
+    tagged = langid.tag(docs, prototypes, names_out=(pred, score, size))
+    reached = langid.reaches(F.col(score), F.col(size), langid.least_scores(training, prototypes))
+    return tagged.where((F.col(pred) != langid.UNKNOWN) & reached).select(*docs.columns)
 
 
 def numbered_rows(docs: DataFrame, prefix: str) -> tuple[str, DataFrame]:
