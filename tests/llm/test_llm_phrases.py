@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import ahocorasick
+import pyarrow as pa
 import pytest
 
 from llm_rows import DOCS, no_docs, odd_docs, odd_rows, sentence, with_clashing
@@ -77,3 +79,48 @@ def test_query_has_the_digest_of_the_kept_words(spark):
 
 def test_odd_docs_keep_their_own_columns_out(spark):
     assert phrases.remove_repeats(odd_docs(spark)).columns == ["doc_id", "n_words", "n_removed", "text"]
+
+
+def located(rows, window=20):
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 6, pa.bool_()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=[f"c{at}" for at in range(11)])
+    return [row for out in phrases._located(window)(iter([batch])) for row in out.to_pylist()]
+
+
+def test_windows_are_located_by_the_hits_alone(monkeypatch):
+    """A segment does not say where its phrase is: without hits nothing is located, and a hit locates the windows around it."""
+    words = " ".join(f"w{at}" for at in range(24))
+    rows = [(7, "w9 w10", words, 5, doc, 1, 3, 1, doc, doc, False) for doc in (1, 2)]
+    found = located(rows)
+    assert [(row["k1"], row["found"], row["mask"]) for row in found] == [(1, 31, 0), (2, 31, 31)]
+    assert [row["found"] for row in located([(7, "w0 w1", *row[2:]) for row in rows])] == [1, 1]
+    assert located([(7, "w9 w11", *row[2:]) for row in rows]) == []
+    assert located(rows[:1]) == []  # the phrase does not recur
+    monkeypatch.setattr(phrases, "hits", lambda automaton, text: iter(()))
+    assert located(rows) == []
+
+
+def test_hits_are_all_occurrences():
+    automaton = ahocorasick.Automaton()
+    for name in ("a b", "b a", "a b a"):
+        automaton.add_word(f" {name} ", len(name) + 2)
+    automaton.make_automaton()
+    assert sorted(phrases.hits(automaton, "a b a b aa b a")) == [(0, 2), (0, 3), (1, 2), (2, 2), (5, 2)]
+    assert list(phrases.hits(automaton, "é😀 aa bb")) == [] and list(phrases.hits(automaton, "é😀 a b")) == [(1, 2)]
+
+
+def test_without_hits_nothing_is_removed(spark, monkeypatch):
+    rows = [(at, " ".join(f"v{n}" for n in range(40))) for at in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sum(row.n_removed for row in phrases.remove_repeats(docs).collect()) == 160
+
+    def nothing(window):
+        def run(batches):
+            for _ in batches:
+                pass
+            return iter(())
+
+        return run
+
+    monkeypatch.setattr(phrases, "_located", nothing)
+    assert sum(row.n_removed for row in phrases.remove_repeats(docs).collect()) == 0

@@ -8,13 +8,14 @@ of a phrase follow each other and make up a segment.
 1. Phrases whose hash is chosen only once in the corpus are dropped, and with them their windows.
 2. Documents are streamed again and the segments of the other phrases cut out. Segments of equal
    words are one, with its first occurrence; the copies of a hot passage shrink to a row per task.
-3. Segments are dealt to shards by phrase. A shard finds which of its phrases do recur, word
+   A segment does not say where its phrase is.
+3. Segments and phrases are dealt to shards by phrase. A shard finds which of its phrases do recur, word
    by word, compiles them into an Aho-Corasick automaton, and streams its segments through it.
-   The place of a segment's phrase is known from the cut; the automaton confirms it there, and what
-   it finds elsewhere in the segment is left to the segments cut for those windows. Confirmed
-   segments are spelled out into their windows, and each window's first place is found.
-   Shards take a bounded number of segments at a time. Phrases with very many different segments
-   are not one shard's work: their windows are grouped one by one, by their MD5.
+   Every occurrence that the automaton finds locates the windows around it; windows that no
+   occurrence locates are not looked at again, and without the automaton's hits nothing is removed.
+   Each located window's first place is found in the shard. Shards take a bounded number of segments
+   at a time. A phrase with very many different segments is split over shards; what these
+   locate is put together window by window, by MD5.
 4. Documents are joined with the windows that are repeated and lose the words these cover.
 """
 
@@ -29,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import arrow_map, passes, staged, text_rows
+from visitmart.llm.common import arrow_map, passes, small_side, staged, text_rows
 from visitmart.llm.words import SPACED, column_bytes, run_hashes, word_spans
 
 WINDOW = 20
 PHRASE = 5
 #: Segments that one automaton serves, about; a phrase's segments stay together.
 SHARD_SEGMENTS = 20_000
-#: A phrase with more different segments than this is handled window by window.
+#: A phrase with more different segments than this is split over shards of so many.
 PHRASE_SEGMENTS = 5_000
 #: Stands for a null id in the order of documents: after all others.
 LAST = (1 << 63) - 1
@@ -90,7 +91,7 @@ def _chosen(window: int, phrase: int):
     return work
 
 
-SEGMENT = "order_id long, text_key long, begin long, windows int, phrase long, offset int, words string, k1 long, k2 long"
+SEGMENT = "order_id long, text_key long, begin long, windows int, phrase long, name string, words string, k1 long, k2 long"
 
 
 def _key(words: bytes) -> tuple[int, int]:
@@ -115,6 +116,7 @@ def _segments(window: int, phrase: int):
         low = cut.begin[taken]
         high = low + cut.windows[taken] + window - 1
         texts = [cut.text(a, b) for a, b in zip(low.tolist(), high.tolist())]
+        names = [cut.text(a, a + phrase) for a in cut.anchor[taken].tolist()]
         keys = [_key(t) for t in texts]
         rows = pa.array(cut.row[taken])
         return pa.RecordBatch.from_arrays(
@@ -124,7 +126,7 @@ def _segments(window: int, phrase: int):
                 pa.array(low - cut.first[cut.row[taken]]),
                 pa.array(cut.windows[taken], pa.int32()),
                 pa.array(cut.hash[taken]),
-                pa.array(cut.anchor[taken] - low, pa.int32()),
+                pa.array(names, pa.binary()).cast(pa.string()),
                 pa.array(texts, pa.binary()).cast(pa.string()),
                 pa.array([a for a, _ in keys], pa.int64()),
                 pa.array([b for _, b in keys], pa.int64()),
@@ -135,80 +137,76 @@ def _segments(window: int, phrase: int):
     return work
 
 
-REPEATS = "k1 long, k2 long, mask int"
+LOCATED = (
+    "k1 long, k2 long, order_id long, text_key long, begin long, n long, found int, mask int, split boolean, w1 long, w2 long, j int"
+)
 
 
-def _located(window: int, phrase: int):
-    """Rows sorted by phrase: the windows of each segment that start earlier, as bits of a mask."""
+def hits(automaton: ahocorasick.Automaton, words: str) -> Iterator[tuple[int, int]]:
+    """(first word, number of words) of every occurrence of the automaton's phrases in words joined by a space."""
+    padded = f" {words} "
+    for end, length in automaton.iter(padded):
+        start = end - length + 1
+        yield padded.count(" ", 0, start), padded.count(" ", start, end)
 
-    def shard(rows: list[tuple]) -> pa.RecordBatch:
-        texts = [row[2].split(" ") for row in rows]
-        named = [" " + " ".join(words[row[1] : row[1] + phrase]) + " " for row, words in zip(rows, texts)]
+
+def _located(window: int):
+    """Rows sorted by phrase: of each segment the windows around hits, and those of them that start earlier, as bits.
+
+    Of split phrases each window located is a row as well, with its MD5; what starts earlier is found across shards.
+    """
+
+    def shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         total: dict[str, int] = {}
-        for name, row in zip(named, rows):
-            total[name] = total.get(name, 0) + row[8]
+        for row in rows:
+            total[row[1]] = total.get(row[1], 0) + (2 if row[10] else row[7])
         automaton = ahocorasick.Automaton()
-        for number, name in enumerate(n for n, count in total.items() if count > 1):
-            automaton.add_word(name, (number, len(name)))
-        out: list[tuple[int, int, int]] = []
+        for name, count in total.items():
+            if count > 1:
+                automaton.add_word(f" {name} ", len(name) + 2)
         if not len(automaton):
-            return result(out)
+            return
         automaton.make_automaton()
-        first: dict[tuple, tuple] = {}
-        spelled: list[list[tuple]] = []
-        for row, words in zip(rows, texts):
-            _, offset, text, windows, order_id, text_key, begin, *_ = row
-            own: list[tuple] = []
-            place = sum(map(len, words[:offset])) + offset  # of the phrase's leading space in " text "
-            for end, (number, length) in automaton.iter(" " + text + " "):
-                if end - length + 1 != place:
-                    continue  # another occurrence, in segments of its own
-                for j in range(windows):
-                    window_key = (number, offset - j, " ".join(words[j : j + window]))
-                    at = (order_id, text_key, begin + j)
-                    own.append((window_key, at))
-                    if window_key not in first or at < first[window_key]:
-                        first[window_key] = at
-            spelled.append(own)
-        for row, own in zip(rows, spelled):
-            mask = sum(1 << j for j, (window_key, at) in enumerate(own) if first[window_key] < at)
-            if mask:
-                out.append((row[9], row[10], mask))
-        return result(out)
-
-    def result(out: list[tuple[int, int, int]]) -> pa.RecordBatch:
-        k1, k2, mask = zip(*out) if out else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(mask, pa.int32())], names=["k1", "k2", "mask"]
-        )
+        first: dict[str, tuple] = {}
+        located: list[tuple[tuple, int, list[str]]] = []
+        for row in rows:
+            _, _, text, windows, *place, _, _, _, _ = row
+            found = 0
+            for at, length in hits(automaton, text):
+                low, high = max(0, at + length - window), min(windows - 1, at)
+                found |= (1 << high + 1) - (1 << low) if low <= high else 0
+            if not found:
+                continue
+            words = text.split(" ")
+            keys = [" ".join(words[j : j + window]) if found >> j & 1 else "" for j in range(windows)]
+            located.append((row, found, keys))
+            for j, key in enumerate(keys):
+                begin = (place[0], place[1], place[2] + j)
+                if key and (key not in first or begin < first[key]):
+                    first[key] = begin
+        out: list[tuple] = []
+        for row, found, keys in located:
+            _, _, _, _, order_id, text_key, begin, n, k1, k2, split = row
+            own = (k1, k2, order_id, text_key, begin, n)
+            earlier = [j for j, key in enumerate(keys) if key and first[key] < (order_id, text_key, begin + j)]
+            out.append((*own, found, sum(1 << j for j in earlier), split, None, None, None))
+            if split:
+                out += [(*own, None, None, True, *_key(key.encode()), j) for j, key in enumerate(keys) if key]
+        kinds = [pa.int64()] * 6 + [pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32()]
+        names = [column.split()[0] for column in LOCATED.split(", ")]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if len(held) >= SHARD_SEGMENTS and row[0] != held[-1][0]:
-                    yield shard(held)
+                    yield from shard(held)
                     held = []
                 held.append(row)
         if held:
-            yield shard(held)
-
-    return run
-
-
-def _spelled(window: int):
-    """Windows of segments one by one: (w1, w2, j, k1, k2, order_id, text_key, at)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for words, windows, order_id, text_key, begin, k1, k2 in zip(*(c.to_pylist() for c in batch.columns)):
-                parts = words.split(" ")
-                for j in range(windows):
-                    out.append((*_key(" ".join(parts[j : j + window]).encode()), j, k1, k2, order_id, text_key, begin + j))
-            if out:
-                columns = [pa.array(c, pa.int64()) for c in zip(*out)]
-                yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "j", "k1", "k2", "order_id", "text_key", "at"])
+            yield from shard(held)
 
     return run
 
@@ -270,35 +268,35 @@ def remove_repeats(
     per_doc = staged(per_doc, "phrases_repeated")
     segments = staged(arrow_map(rows.drop("doc_id").join(per_doc.hint("merge"), keys), _segments(window, phrase), SEGMENT), "phrase_segments")
 
-    same = ["k1", "k2", "phrase", "offset", "windows", "words"]
+    same = ["k1", "k2", "phrase", "name", "windows", "words"]
     occurrence = F.struct("order_id", "text_key", "begin")
     distinct = segments.groupBy(*same).agg(F.min(occurrence).alias("first"), F.count("*").alias("n"))
     distinct = staged(distinct.select(*same, "first.*", "n"), "phrase_distinct")
-    many = distinct.groupBy("phrase").agg(F.count("*").alias("different"), F.sum("n").alias("all"))
-    sized = distinct.join(many.where("all > 1").select("phrase", "different"), "phrase")
-    sized = staged(sized, "phrase_sized")
-    shards = sized.where(F.col("different") <= PHRASE_SEGMENTS).select(
-        "phrase", "offset", "words", "windows", "order_id", "text_key", "begin", F.lit(0).alias("_"), "n", "k1", "k2"
-    )
-    shards = shards.repartition("phrase").sortWithinPartitions("phrase")
-    located = shards.mapInArrow(_located(window, phrase), REPEATS)
-    spelled = sized.where(F.col("different") > PHRASE_SEGMENTS).select("words", "windows", "order_id", "text_key", "begin", "k1", "k2")
-    spelled = spelled.mapInArrow(
-        _spelled(window), "w1 long, w2 long, j long, k1 long, k2 long, order_id long, text_key long, at long"
-    )
-    place = F.struct("order_id", "text_key", "at")
-    firsts = spelled.groupBy("w1", "w2").agg(F.min(place).alias("first"))
-    later = spelled.join(firsts.hint("merge"), ["w1", "w2"]).where(F.col("first") < place)
-    bits = later.groupBy("k1", "k2").agg(F.bit_or(F.expr("shiftleft(1, CAST(j AS int))")).alias("mask"))
-    masks = located.union(bits)
-
-    # A segment's first occurrence loses what its mask says, its other occurrences lose all.
-    of_first = distinct.where("n > 1").select("k1", "k2", occurrence.alias("first")).join(masks, ["k1", "k2"], "full")
-    of_first = staged(of_first, "phrase_masks")
-    whole = F.expr("shiftleft(1, windows) - 1")
-    is_later = F.col("first").isNotNull() & (F.col("first") != occurrence)
-    marked = segments.select("k1", "k2", *keys, "begin", "windows").join(of_first, ["k1", "k2"]).select(
-        *keys, "begin", F.when(is_later, whole).otherwise(F.coalesce("mask", F.lit(0))).alias("mask")
+    large = distinct.groupBy("phrase").agg(F.count("*").alias("different")).where(F.col("different") > PHRASE_SEGMENTS)
+    dealt = distinct.join(small_side(staged(large, "phrase_large"), 32), "phrase", "left")
+    part = F.pmod("k1", F.ceil(F.col("different") / PHRASE_SEGMENTS))
+    shards = dealt.select(
+        "phrase", "name", "words", "windows", "order_id", "text_key", "begin", "n", "k1", "k2",
+        F.col("different").isNotNull().alias("split"), F.coalesce(part, F.lit(0)).alias("part"),
+    )
+    shards = shards.repartition("phrase", "part").sortWithinPartitions("phrase").drop("part")
+    located = staged(shards.mapInArrow(_located(window), LOCATED), "phrase_located")
+
+    # Windows of split phrases that start earlier in another segment, of whichever shard.
+    place = F.struct("order_id", "text_key", (F.col("begin") + F.col("j")).alias("at"))
+    windows = located.where("w1 IS NOT NULL").select("w1", "w2", "j", "k1", "k2", place.alias("place"))
+    firsts = windows.groupBy("w1", "w2").agg(F.min("place").alias("first"))
+    later = windows.join(firsts.hint("merge"), ["w1", "w2"]).where("first < place")
+    bits = later.groupBy("k1", "k2").agg(F.bit_or(F.expr("shiftleft(1, j)")).alias("more"))
+
+    # A segment's first occurrence loses what its mask says, its other occurrences lose all that was located.
+    own = located.where("found IS NOT NULL").select("k1", "k2", "n", occurrence.alias("first"), "found", "mask", "split")
+    whole = own.where("NOT split").withColumn("more", F.lit(0))
+    cut_up = own.where("split").join(bits.hint("merge"), ["k1", "k2"], "left")
+    masks = whole.unionByName(cut_up).withColumn("mask", F.col("mask").bitwiseOR(F.coalesce("more", F.lit(0))))
+    masks = staged(masks.where("n > 1 OR mask <> 0").select("k1", "k2", "first", "found", "mask"), "phrase_masks")
+    marked = segments.select("k1", "k2", *keys, "begin").join(masks, ["k1", "k2"]).select(
+        *keys, "begin", F.when(F.col("first") == occurrence, F.col("mask")).otherwise(F.col("found")).alias("mask")
     )
     lists = marked.where("mask > 0").groupBy(*keys).agg(F.collect_set(F.struct("begin", "mask")).alias("marks"))
     lists = lists.select(*keys, F.col("marks.begin").alias("begins"), F.col("marks.mask").alias("masks"))
