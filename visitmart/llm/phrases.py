@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitmart.llm.common import arrow_map, passes, small_side, staged, text_rows
-from visitmart.llm.words import SPACED, column_bytes, run_hashes, word_spans
+from visitmart.llm.words import SPACED, column_bytes, mixed, run_hashes, word_spans
 
 WINDOW = 20
 PHRASE = 5
@@ -72,8 +72,18 @@ class Cut:
         self.windows = np.diff(np.append(edge, len(begin)))
         self.hash = hashes[self.anchor].view(np.int64) if len(edge) else np.zeros(0, np.int64)
 
-    def text(self, low: int, high: int) -> bytes:
-        return b" ".join(self.data[a:b].tobytes() for a, b in zip(self.starts[low:high], self.ends[low:high]))
+    def texts(self, low: np.ndarray, high: np.ndarray) -> list[bytes]:
+        """Per span of words these words joined by a space: a slice of the text itself where only single spaces part them."""
+        if not len(low):
+            return []
+        single = (self.starts[1:] - self.ends[:-1] == 1) & (self.data[self.ends[:-1]] == 0x20)
+        other = np.concatenate([[0], np.cumsum(~single)])
+        plain = other[high - 1] == other[low]
+        whole, starts, ends = self.data.tobytes(), self.starts, self.ends
+        return [
+            whole[a:b] if ok else b" ".join([whole[c:d] for c, d in zip(starts[i:j].tolist(), ends[i:j].tolist())])
+            for a, b, ok, i, j in zip(starts[low].tolist(), ends[high - 1].tolist(), plain.tolist(), low.tolist(), high.tolist())
+        ]
 
 
 def _chosen(window: int, phrase: int):
@@ -81,10 +91,13 @@ def _chosen(window: int, phrase: int):
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         cut = Cut(batch.column("text"), window, phrase)
-        pairs, n = np.unique(np.stack([cut.row, cut.hash]), axis=1, return_counts=True) if len(cut.row) else (np.zeros((2, 0), np.int64), [])
-        rows = pa.array(pairs[0])
+        order = np.lexsort((cut.hash, cut.row))
+        row, chosen = cut.row[order], cut.hash[order]
+        edge = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (chosen[1:] != chosen[:-1]))[: len(row)])
+        n = np.diff(np.append(edge, len(row)))
+        rows = pa.array(row[edge])
         return pa.RecordBatch.from_arrays(
-            [batch.column("order_id").take(rows), batch.column("text_key").take(rows), pa.array(pairs[1]), pa.array(n, pa.int64())],
+            [batch.column("order_id").take(rows), batch.column("text_key").take(rows), pa.array(chosen[edge]), pa.array(n, pa.int64())],
             names=["order_id", "text_key", "phrase", "n"],
         )
 
@@ -107,17 +120,13 @@ def _segments(window: int, phrase: int):
         lists = batch.column("phrases")
         wanted = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         known = lists.flatten().to_numpy(zero_copy_only=False)
-        # Rows of the batch and phrases as one sorted list of pairs
-        pairs = np.zeros(len(wanted), [("row", np.int64), ("hash", np.int64)])
-        pairs["row"], pairs["hash"] = wanted, known
-        own = np.zeros(len(cut.row), pairs.dtype)
-        own["row"], own["hash"] = cut.row, cut.hash
-        taken = np.flatnonzero(np.isin(own, pairs))
+        # Row and phrase as one number; a segment that is taken in error has a phrase that its shard does not confirm.
+        taken = np.flatnonzero(np.isin(mixed(cut.hash) + cut.row.astype(np.uint64), mixed(known) + wanted.astype(np.uint64)))
         low = cut.begin[taken]
         high = low + cut.windows[taken] + window - 1
-        texts = [cut.text(a, b) for a, b in zip(low.tolist(), high.tolist())]
-        names = [cut.text(a, a + phrase) for a in cut.anchor[taken].tolist()]
-        keys = [_key(t) for t in texts]
+        texts = cut.texts(low, high)
+        names = cut.texts(cut.anchor[taken], cut.anchor[taken] + phrase)
+        keys = np.frombuffer(b"".join([hashlib.md5(t).digest() for t in texts]), ">i8").astype(np.int64).reshape(-1, 2)
         rows = pa.array(cut.row[taken])
         return pa.RecordBatch.from_arrays(
             [
@@ -128,8 +137,8 @@ def _segments(window: int, phrase: int):
                 pa.array(cut.hash[taken]),
                 pa.array(names, pa.binary()).cast(pa.string()),
                 pa.array(texts, pa.binary()).cast(pa.string()),
-                pa.array([a for a, _ in keys], pa.int64()),
-                pa.array([b for _, b in keys], pa.int64()),
+                pa.array(keys[:, 0].copy()),
+                pa.array(keys[:, 1].copy()),
             ],
             names=[c.split()[0] for c in SEGMENT.split(", ")],
         )
