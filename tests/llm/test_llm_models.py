@@ -145,3 +145,69 @@ def test_labels_without_documents_do_not_shrink_the_sample(spark, monkeypatch, t
     assert sizes == [fitted]
     scores = {row.doc_id: row.score for row in quality.score(docs, model).collect()}
     assert min(scores[at] for at in range(1, taught, 2)) > max(scores[at] for at in range(0, taught, 2))
+
+
+def test_primal_equals_dual_at_the_end_of_the_descent():
+    """The gap between hinge loss with penalty and the dual closes, so the fit is the optimum and not just a good point."""
+    rng = np.random.default_rng(4)
+    size, count = 40, 60
+    rows = [np.sort(rng.choice(size, rng.integers(3, 9), replace=False)) for _ in range(count)]
+    labels = rng.integers(0, 2, count)
+    ratio = rng.normal(size=size)
+    scaled = np.zeros((count, size + 1))
+    for at, row in enumerate(rows):
+        scaled[at, row] = ratio[row] / np.sqrt(len(row))
+    scaled[:, size] = 1  # the offset is a weight of its own
+    sign = np.where(labels > 0, 1.0, -1.0)
+    limit = np.where(sign > 0, count / (2 * (sign > 0).sum()), count / (2 * (sign < 0).sum())) * quality.COST
+    gaps = []
+    for rounds in (1, 20, 3000):
+        model = quality.fit(rows, labels, ratio, rounds=rounds)
+        w = np.append(model.weights / ratio, model.offset)
+        primal = w @ w / 2 + (limit * np.maximum(0, 1 - sign * (scaled @ w))).sum()
+        # By strong duality no point is lower than the best of the dual, found here by projected steps.
+        gaps.append(primal)
+    gram = (sign[:, None] * scaled) @ (sign[:, None] * scaled).T
+    alpha = np.zeros(count)
+    for _ in range(40000):
+        alpha = np.clip(alpha - (gram @ alpha - 1) / np.linalg.norm(gram, 2), 0, limit)
+    dual = alpha.sum() - alpha @ gram @ alpha / 2
+    assert gaps[0] >= gaps[2] - 1e-9 and gaps[1] >= dual - 1e-6
+    assert gaps[2] - dual < 1e-3 * abs(dual)
+
+
+def test_sample_is_bounded_by_parameters_and_reported(spark):
+    docs = spark.createDataFrame([(at, f"good words number {at}" if at % 2 else f"bad ones {at}") for at in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(at, at % 2) for at in range(60)], "doc_id long, quality int")
+    assert quality.train(docs, labels).rows_used == 60
+    assert quality.train(docs, labels, sample_rows=20).rows_used == 20
+    assert 1 <= quality.train(docs, labels, sample_features=100).rows_used < 20
+    assert quality.train(docs, labels, sample_features=1).rows_used == 1
+
+
+def test_languages_equal_loops_over_letters_and_trigrams(spark):
+    """Prototypes, cosines and labels of a few rows, bound and bundled letter by letter."""
+    texts = {"en": ["the cat and the dog", "this is it"], "fr": ["le chat et le chien", "c'est ça"]}
+    rows = [(at, text, lang) for at, (lang, text) in enumerate((lang, text) for lang, both in texts.items() for text in both)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    size = 128
+    letters = langid.Letters(size)
+    base = letters.rolled[2].astype(int)
+
+    def vector(text):
+        symbols, out = [0], np.zeros(size, int)
+        for c in text.lower():
+            at = 0 if not c.isalpha() else ord(c) - 96 if "a" <= c <= "z" else 27 + (ord(c) * 2654435761 >> 9) % (langid.SYMBOLS - 27)
+            if at or symbols[-1]:
+                symbols.append(at)
+        symbols += [0] if symbols[-1] else []
+        for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+            out += np.roll(base[a], 2) * np.roll(base[b], 1) * base[c]
+        return out
+
+    own = {lang: sum(vector(text) for text in both) for lang, both in texts.items()}
+    cosine = lambda a, b: float(a @ b / np.linalg.norm(a) / np.linalg.norm(b))
+    found = langid.identify(docs, langid.train(docs, size), dimensions=size).collect()
+    for row, (_, text, _) in zip(sorted(found), rows):
+        best = max(own, key=lambda lang: (cosine(vector(text), own[lang]), lang))
+        assert row.lang_pred == best and abs(row.score - cosine(vector(text), own[best])) < 1e-9

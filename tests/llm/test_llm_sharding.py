@@ -3,6 +3,7 @@ from collections import Counter
 from contextlib import redirect_stdout
 
 import pytest
+from pyspark.sql import functions as F
 
 from llm_rows import no_docs, odd_docs
 from visitmart.llm import queries, sharding
@@ -69,12 +70,35 @@ def test_placement_is_one_lookup_without_a_shuffle(spark):
 def test_written_shards(spark, tmp_path):
     rows = spark.range(5000).selectExpr("id % 30 AS k", "id")
     placed = sharding.place(rows, "k", ["a", "b"], 31)
-    sharding.write_shards(placed, f"{tmp_path}/out", 4)
+    sharding.write_shards(placed, f"{tmp_path}/out", 16_000)
     back = spark.read.parquet(f"{tmp_path}/out")
     assert sorted(map(tuple, back.select("id", "shard").collect())) == sorted(map(tuple, placed.select("id", "shard").collect()))
     assert {path.name for path in (tmp_path / "out").glob("shard=*")} == {"shard=0", "shard=1"}
 
 
+def test_writers_grow_with_the_bytes_of_a_shard(spark, tmp_path):
+    """Twice the rows, twice the writers; a shard with most of the rows gets most of them."""
+
+    def files(rows, name):
+        hot = F.when(F.col("id") % 10 < 8, 0).otherwise(F.col("id"))
+        placed = sharding.place(spark.range(rows).select(hot.alias("k"), F.repeat(F.lit("x"), 976).alias("t")), "k", ["a", "b"], 31)
+        with_parts = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            sharding.write_shards(placed, f"{tmp_path}/{name}", 100_000)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", with_parts[0])
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", with_parts[1])
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() == rows
+        return {shard: len(list((tmp_path / name).glob(f"shard={shard}/*.parquet"))) for shard in (0, 1)}
+
+    small, large = files(1000, "small"), files(4000, "large")
+    hot = max(small, key=small.get)
+    assert small[hot] >= 6 and small[1 - hot] <= 3
+    assert large[hot] >= 3 * small[hot] and large[1 - hot] >= 2 * small[1 - hot]
+
+
 def test_query_places_whole_documents(spark, tmp_path, monkeypatch):
     """The shards that the query writes hold all rows with all their columns, each in its own shard's folder."""
     odd_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")

@@ -1,3 +1,4 @@
+import glob
 import random
 
 import numpy as np
@@ -116,3 +117,37 @@ def test_components_of_chains_stars_and_loops(spark):
     assert found == {**dict.fromkeys(range(100, 161), 100), **dict.fromkeys([7, *range(200, 260)], 7), 300: 300, 301: 300}
     assert components(spark.createDataFrame([], "x long, y long")).count() == 0
     assert DOCS
+
+
+def test_rounds_leave_nothing_behind_and_a_hub_is_joined_by_dealt_sides(spark):
+    """One round's files at most stay until the scratch folder goes; the least of each node is dealt for its join."""
+    from visitmart.llm import components as module
+    from visitmart.session import scratch_folder
+
+    folder = scratch_folder(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/components_*"))
+    links = spark.createDataFrame([(at, at + 1) for at in range(300)] + [(1000, at) for at in range(2000, 2400)], "x long, y long")
+    found = components(links.repartition(5))
+    assert found.where("component = 0").count() == 301 and found.where("component = 1000").count() == 401
+    assert len(set(glob.glob(f"{folder}/components_*")) - before) == 1
+    for step in (module._largest_first, module._smallest_first):
+        plan = step(links.toDF("a", "b"))._jdf.queryExecution().executedPlan().toString()
+        joined = plan[plan.index("SortMergeJoin") :]
+        assert joined.count("Exchange hashpartitioning(a") >= 2
+
+
+def test_settings_are_put_back_by_the_last_of_several_threads(spark):
+    import threading
+
+    from visitmart.llm.common import FREE_SHUFFLES, freed_shuffles
+
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    first, second = freed_shuffles(spark), freed_shuffles(spark)
+    first.__enter__()
+    other = threading.Thread(target=second.__enter__)
+    other.start()
+    other.join()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(FREE_SHUFFLES) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(FREE_SHUFFLES) == before

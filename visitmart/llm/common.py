@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -65,26 +66,51 @@ def unused(frame: DataFrame, name: str) -> str:
     return name
 
 
+_freeing = threading.Lock()
+_inside: dict[int, tuple[int, str]] = {}
+
+
 @contextmanager
 def freed_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the queries inside go as each query ends; staged tables hold what is needed later."""
-    before = spark.conf.get(FREE_SHUFFLES, "false")
-    spark.conf.set(FREE_SHUFFLES, "true")
+    """Shuffle files of the queries inside go as each query ends; staged tables hold what is needed later.
+
+    The setting is the session's. Of threads that are inside at once, the first sets it and the last puts it back.
+    """
+    key = id(spark._jsparkSession)
+    with _freeing:
+        count, before = _inside.get(key, (0, spark.conf.get(FREE_SHUFFLES, "false")))
+        _inside[key] = count + 1, before
+        spark.conf.set(FREE_SHUFFLES, "true")
     try:
         yield
     finally:
-        spark.conf.set(FREE_SHUFFLES, before)
+        with _freeing:
+            count, before = _inside.pop(key)
+            if count > 1:
+                _inside[key] = count - 1, before
+            else:
+                spark.conf.set(FREE_SHUFFLES, before)
 
 
-def staged(frame: DataFrame, prefix: str) -> DataFrame:
-    """The frame written to the shared folder and read back: lineage ends here, lost executors lose nothing."""
+def written(frame: DataFrame, path: str) -> DataFrame:
+    """The frame written to a path of the shared folder and read back: lineage ends here, lost executors lose nothing."""
     spark = frame.sparkSession
-    path = scratch_path(spark, prefix)
     with freed_shuffles(spark):
         frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def staged(frame: DataFrame, prefix: str) -> DataFrame:
+    """``written`` at a new path in the application's scratch folder."""
+    return written(frame, scratch_path(frame.sparkSession, prefix))
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove what ``written`` wrote; frames that read it end here."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def small_side(frame: DataFrame, row_bytes: int) -> DataFrame:
     """The frame, marked for broadcast if its rows are counted to fit ``SMALL_SIDE_BYTES``, else for a merge join."""
     return frame.hint("broadcast" if frame.count() * row_bytes <= SMALL_SIDE_BYTES else "merge")

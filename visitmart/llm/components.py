@@ -2,8 +2,8 @@
 
 Links turn into stars that point at smaller ids: each round, every node first sends its larger
 neighbours to the smallest node it knows, then its smaller ones. The number of rounds grows with
-the logarithm of the longest path, and no round makes more links than there were. Each round ends
-in a checkpoint in the shared folder, so lost executors cost one round at most.
+the logarithm of the longest path, and no round makes more links than there were. Each round is
+written to the shared folder and the one before it removed, so lost executors cost one round at most.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.session import checkpointed
+from visitmart.llm.common import drop_path, written
+from visitmart.session import scratch_path
 
 
 class Forest:
@@ -64,17 +65,26 @@ def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield stars(forest)
 
 
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """Links (a, b) with the ``m`` that ``least`` has for a.
+
+    The key of ``least`` is written anew, so that both sides are dealt for this join: then adaptive execution can
+    split the links of a hub, which it can't where one side keeps the partitions of its aggregate.
+    """
+    return links.join(least.select(F.col("a").bitwiseXOR(F.lit(0).cast("long")).alias("a"), "m").hint("merge"), "a")
+
+
 def _largest_first(links: DataFrame) -> DataFrame:
     """Every node's larger neighbours linked to the smallest node it knows."""
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _with_least(both.where("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _smallest_first(links: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours linked to the smallest of them; links come as (larger, smaller)."""
     least = links.groupBy("a").agg(F.min("b").alias("m"))
-    moved = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = _with_least(links, least).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return least.select("a", F.col("m").alias("b")).union(moved).distinct()
 
 
@@ -85,7 +95,16 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     a, b = links.columns
     pairs = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b")
-    now = checkpointed(pairs.mapInArrow(_contracted, "a long, b long").distinct())
+    spark = links.sparkSession
+
+    def round_of(frame: DataFrame, before: str | None) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, "components")
+        done = written(frame, path)
+        if before:
+            drop_path(spark, before)
+        return done, path
+
+    now, path = round_of(pairs.mapInArrow(_contracted, "a long, b long").distinct(), None)
 
     def sign(frame: DataFrame) -> tuple:
         return tuple(frame.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -94,7 +113,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if seen[0] == 0:
             break
-        now = checkpointed(_smallest_first(_largest_first(now)))
+        now, path = round_of(_smallest_first(_largest_first(now)), path)
         found = sign(now)
         if found == seen:
             break

@@ -168,7 +168,9 @@ def dedup_lines(
     runs = Runs(spark, fanout=fanout)
     for at in range(batches):
         runs.add(entries.where(F.col("batch") == at).drop("batch"))
-    repeated = runs.state().where(F.col("n_docs") >= min_docs).select(*KEY, "top")
+    # Keys written anew: both sides are dealt for the join, and adaptive execution can split the entries of one line.
+    anew = [F.col(key).bitwiseXOR(F.lit(0).cast("long")).alias(key) for key in KEY]
+    repeated = runs.state().where(F.col("n_docs") >= min_docs).select(*anew, "top").hint("merge")
     mine = entries.join(repeated, KEY).where("NOT (doc_id <=> top)")
     packed = F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in KEY]))
     drops = staged(mine.groupBy("doc_id").agg(F.collect_set(packed).alias("dropped")), "line_drops")

@@ -80,6 +80,8 @@ class Model:
     offset: float
     slope: float
     shift: float
+    #: Rows that the margin was fitted on.
+    rows_used: int = 0
 
     def scores(self, column: pa.Array) -> np.ndarray:
         first, found = features(column, len(self.weights))
@@ -170,10 +172,12 @@ def train(
     label_col: str = "quality",
     buckets: int = FEATURES,
     sample_rows: int = SAMPLE_ROWS,
+    sample_features: int = SAMPLE_FEATURES,
 ) -> Model:
     """A model from all rows of the documents that have a label 0 or 1.
 
-    The margin is fitted on ``sample_rows`` of these rows, or all if there are fewer, up to ``SAMPLE_FEATURES``.
+    The margin is fitted on ``sample_rows`` of these rows, or all if there are fewer, up to ``sample_features`` features
+    in all and one row at least; ``Model.rows_used`` tells on how many.
     Rows with other labels or null ids teach nothing; a document with both labels teaches both.
     Without labelled rows the model scores 0.5 throughout; with one class, that class.
     """
@@ -241,11 +245,13 @@ def train(
     held = 0
     for row in sample.toLocalIterator():
         held += len(row.found)
-        if lists and held > SAMPLE_FEATURES:
+        if lists and held > sample_features:
             break
         lists.append(np.array(row.found, np.int32))
         truth.append(row.label)
-    return fit(lists, np.array(truth, int), ratio)
+    model = fit(lists, np.array(truth, int), ratio)
+    model.rows_used = len(lists)
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

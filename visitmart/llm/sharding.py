@@ -80,12 +80,28 @@ def place(rows: DataFrame, key: str, shards: list[str] | None = None, slots: int
     return found.select(*[keyed[f"`{c}`"] for c in keyed.columns], owners["owner"].alias("shard"))
 
 
-def write_shards(placed: DataFrame, path: str, files_per_shard: int = 8) -> None:
+#: Bytes of rows, before compression, that a writer of a shard takes, about.
+WRITER_BYTES = 256 << 20
+
+
+def _row_bytes(rows: DataFrame) -> Column:
+    """About the bytes of a row: those of its texts, and eight for every other column."""
+    texts = [field.name for field in rows.schema if field.dataType.simpleString() in ("string", "binary")]
+    size = F.lit(8 * (len(rows.columns) - len(texts))).cast("long")
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")).cast("long"), F.lit(0))
+    return size
+
+
+def write_shards(placed: DataFrame, path: str, writer_bytes: int = WRITER_BYTES) -> None:
     """Placed rows as one folder per shard.
 
-    A shard's rows are dealt over ``files_per_shard`` writers by a hash of the whole row's
-    slot and a salt, so that a shard with a hot key is not one task.
+    The bytes of each shard are counted first, and its rows dealt over as many writers as these ask
+    for, in turn by row number: neither a large input nor a shard with a hot key is one task's file.
     """
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_shard))
-    dealt = placed.withColumn("_salt", salt).repartition(F.col("shard"), F.col("_salt")).drop("_salt")
-    dealt.write.partitionBy("shard").parquet(path)
+    sizes = placed.groupBy("shard").agg(F.sum(_row_bytes(placed)).alias("_bytes"))
+    # One row for each shard, so never more than the lookup table has slots.
+    writers = sizes.select("shard", F.greatest(F.ceil(F.col("_bytes") / writer_bytes), F.lit(1)).alias("_writers"))
+    numbered = placed.withColumn("_number", F.monotonically_increasing_id()).join(F.broadcast(writers), "shard")
+    dealt = numbered.repartition(F.col("shard"), F.pmod("_number", "_writers"))
+    dealt.select(*[F.col(f"`{c}`") for c in placed.columns]).write.partitionBy("shard").parquet(path)

@@ -180,7 +180,9 @@ def _verified(max_bits: int):
 
 def linked_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) between distinct fingerprints (``bits``): a spanning forest of all pairs within ``max_bits``, or more."""
-    entries = distinct.select("bits").mapInArrow(_entered(max_bits), "cell long, bits long")
+    # Few bytes become many: dealt over all tasks before they are entered, a number that adaptive execution leaves alone.
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = distinct.select("bits").repartition(parts, "bits").mapInArrow(_entered(max_bits), "cell long, bits long")
     crowded = entries.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK)
     crowded = small_side(staged(crowded, "simhash_crowded"), 16)
     entries = entries.join(crowded, "cell", "left")
