@@ -66,3 +66,24 @@ def test_odd_rows(spark):
     assert sorted(map(tuple, found), key=str) == brute(rows)
     assert any(row.n_dropped for row in found)
     assert lines.dedup_lines(no_docs(spark)).count() == 0
+
+
+def executed(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_runs_are_read_in_their_order(spark):
+    """A batch is sorted once for all runs, no run is sorted or moved, and two runs are merged side by side."""
+    runs = lines.Runs(spark, buckets=4, fanout=3)
+    for batch in range(2):
+        runs.add(runs.spark.createDataFrame([(key * 7 % 41, key, batch) for key in range(batch * 30, batch * 30 + 40)], "h1 long, h2 long, doc_id long"))
+    one, other = runs.tables()
+    plan = executed(runs.merged(one, other))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+    batch = runs.spark.createDataFrame([(1, 1), (2, 2)], "h1 long, h2 long").repartition(4, *lines.KEY)
+    for table in (one, other):
+        batch = batch.join(runs.spark.table(table).select(*lines.KEY, lines.F.lit(True).alias(table[-5:])).hint("merge"), lines.KEY, "left")
+    plan = executed(batch)
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+    assert spark.conf.get("spark.sql.legacy.bucketedTableScan.outputOrdering") == "false"

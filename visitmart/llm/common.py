@@ -66,6 +66,17 @@ def unused(frame: DataFrame, name: str) -> str:
     return name
 
 
+def session_with(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session like the given one with some settings of its own; the given one keeps its settings."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key, value in conf.items():
+        own.conf.set(key, value)
+    return own
+
+
 _freeing = threading.Lock()
 _inside: dict[int, tuple[int, str]] = {}
 

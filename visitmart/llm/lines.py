@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import arrow_map, by_doc, freed_shuffles, staged, text_rows
+from visitmart.llm.common import arrow_map, by_doc, freed_shuffles, session_with, staged, text_rows, written
 from visitmart.session import scratch_path, scratch_table
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -71,17 +71,17 @@ class Runs:
     """The levelled runs of one corpus; tables live in the shared folder."""
 
     def __init__(self, spark: SparkSession, buckets: int | None = None, fanout: int = FANOUT) -> None:
-        self.spark, self.fanout = spark, fanout
+        # A session of its own: there scans of sorted buckets say that they are sorted, and joins don't sort them again.
+        self.spark, self.fanout = session_with(spark, **{"spark.sql.legacy.bucketedTableScan.outputOrdering": "true"}), fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
         self.hits: list[DataFrame] = []
 
     def _write(self, rows: DataFrame) -> str:
-        """A run: one file per bucket, sorted by hash."""
+        """A run: one file per bucket, sorted by hash; the rows must be dealt by bucket."""
         table = scratch_table(self.spark, "line_run")
         with freed_shuffles(self.spark):
-            dealt = rows.repartition(self.buckets, *KEY)
-            dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("compression", "zstd").saveAsTable(table)
+            rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("compression", "zstd").saveAsTable(table)
         return table
 
     def tables(self) -> list[str]:
@@ -97,14 +97,14 @@ class Runs:
         known = []
         for number, table in enumerate(self.tables()):
             run = self.spark.table(table).select(*KEY, F.lit(True).alias(f"in_{number}"))
-            batch = batch.join(run, KEY, "left")
+            batch = batch.join(run.hint("merge"), KEY, "left")
             known.append(F.col(f"in_{number}").isNotNull())
         seen = reduce(lambda a, b: a | b, known, F.lit(False))
         marked = staged(batch.select(*KEY, "n_docs", "top", seen.alias("seen")), "line_batch")
         if known:
             self.hits.append(marked.where("seen").drop("seen"))
         new = marked.where("NOT seen").drop("seen")
-        self._push(self._write(new), 0)
+        self._push(self._write(new.repartition(self.buckets, *KEY)), 0)
         return new
 
     def _push(self, table: str, level: int) -> None:
@@ -113,11 +113,20 @@ class Runs:
         self.levels[level].append(table)
         if len(self.levels[level]) < self.fanout:
             return
-        merged, self.levels[level] = self.levels[level], []
-        rows = reduce(DataFrame.union, [self.spark.table(t) for t in merged])  # runs share no key
-        self._push(self._write(rows), level + 1)
-        for table in merged:
-            self.spark.sql(f"DROP TABLE {table}")
+        runs, self.levels[level] = self.levels[level], []
+        merged = runs[0]
+        for table in runs[1:]:
+            both = self._write(self.merged(merged, table))
+            for old in (merged, table):
+                self.spark.sql(f"DROP TABLE {old}")
+            merged = both
+        self._push(merged, level + 1)
+
+    def merged(self, one: str, other: str) -> DataFrame:
+        """Two runs, which share no key, as one: their sorted buckets are read side by side, without a shuffle or a sort of either."""
+        left, right = self.spark.table(one), self.spark.table(other)
+        both = left.hint("merge").join(right, KEY, "full")
+        return both.select(*KEY, *[F.coalesce(left[c], right[c]).alias(c) for c in ("n_docs", "top")])
 
     def state(self) -> DataFrame:
         """(h1, h2, n_docs, top) of every key of all batches."""
@@ -163,9 +172,8 @@ def dedup_lines(
     number = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).alias("batch")
     entries = line_entries(rows, min_length).select("*", number)
     entries.write.partitionBy("batch").option("compression", "zstd").parquet(path)
-    entries = spark.read.schema("h1 long, h2 long, doc_id long, batch int").parquet(path)
-
     runs = Runs(spark, fanout=fanout)
+    entries = runs.spark.read.schema("h1 long, h2 long, doc_id long, batch int").parquet(path)
     for at in range(batches):
         runs.add(entries.where(F.col("batch") == at).drop("batch"))
     # Keys written anew: both sides are dealt for the join, and adaptive execution can split the entries of one line.
@@ -173,6 +181,7 @@ def dedup_lines(
     repeated = runs.state().where(F.col("n_docs") >= min_docs).select(*anew, "top").hint("merge")
     mine = entries.join(repeated, KEY).where("NOT (doc_id <=> top)")
     packed = F.unhex(F.concat(*[F.lpad(F.hex(h), 16, "0") for h in KEY]))
-    drops = staged(mine.groupBy("doc_id").agg(F.collect_set(packed).alias("dropped")), "line_drops")
-    joined = by_doc(rows, drops)
+    path = scratch_path(spark, "line_drops")
+    drops = written(mine.groupBy("doc_id").agg(F.collect_set(packed).alias("dropped")), path)
+    joined = by_doc(rows, spark.read.schema(drops.schema).parquet(path))
     return joined.mapInArrow(_kept, "doc_id long, n_lines long, n_dropped long, text string")

@@ -1,4 +1,8 @@
-"""The operators over the provided tables, one query each, with production parameters."""
+"""The operators over the provided tables, one query each, with production parameters.
+
+Most queries run all but their last step while they are built: steps are written to the shared folder and read
+back. What they return is lazy from the last written step on.
+"""
 
 from __future__ import annotations
 
