@@ -16,6 +16,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitmart.llm.common import staged
+
 #: Slots of the table; prime, and far more than shards, so that shares differ by under a percent.
 SLOTS = 65537
 SHARDS = 64
@@ -101,7 +103,10 @@ def write_shards(placed: DataFrame, path: str, writer_bytes: int = WRITER_BYTES)
     """
     sizes = placed.groupBy("shard").agg(F.sum(_row_bytes(placed)).alias("_bytes"))
     # One row for each shard, so never more than the lookup table has slots.
-    writers = sizes.select("shard", F.greatest(F.ceil(F.col("_bytes") / writer_bytes), F.lit(1)).alias("_writers"))
+    writers = staged(sizes.select("shard", F.greatest(F.ceil(F.col("_bytes") / writer_bytes), F.lit(1)).alias("_writers")), "shard_writers")
+    total = writers.agg(F.coalesce(F.sum("_writers"), F.lit(1))).first()[0]
     numbered = placed.withColumn("_number", F.monotonically_increasing_id()).join(F.broadcast(writers), "shard")
-    dealt = numbered.repartition(F.col("shard"), F.pmod("_number", "_writers"))
+    # At least two tasks for each writer, so that few writers meet in one, however small the session's number is.
+    tasks = max(2 * total, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = numbered.repartition(tasks, F.col("shard"), F.pmod("_number", "_writers"))
     dealt.select(*[F.col(f"`{c}`") for c in placed.columns]).write.partitionBy("shard").parquet(path)
