@@ -122,6 +122,7 @@ def test_components_of_chains_stars_and_loops(spark):
 def test_rounds_leave_nothing_behind_and_a_hub_is_joined_by_dealt_sides(spark):
     """One round's files at most stay until the scratch folder goes; the least of each node is dealt for its join."""
     from visitmart.llm import components as module
+    from visitmart.llm.common import session_with
     from visitmart.session import scratch_folder
 
     folder = scratch_folder(spark).removeprefix("file:")
@@ -130,6 +131,8 @@ def test_rounds_leave_nothing_behind_and_a_hub_is_joined_by_dealt_sides(spark):
     found = components(links.repartition(5))
     assert found.where("component = 0").count() == 301 and found.where("component = 1000").count() == 401
     assert len(set(glob.glob(f"{folder}/components_*")) - before) == 1
+    wide = session_with(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    links = wide.createDataFrame([(2, 1), (3, 1)], "x long, y long")
     for step in (module._largest_first, module._smallest_first):
         plan = step(links.toDF("a", "b"))._jdf.queryExecution().executedPlan().toString()
         joined = plan[plan.index("SortMergeJoin") :]

@@ -71,7 +71,7 @@ def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
     The key of ``least`` is written anew, so that both sides are dealt for this join: then adaptive execution can
     split the links of a hub, which it can't where one side keeps the partitions of its aggregate.
     """
-    return links.join(least.select(F.col("a").bitwiseXOR(F.lit(0).cast("long")).alias("a"), "m").hint("merge"), "a")
+    return links.join(least.select(F.col("a").bitwiseXOR(F.lit(0).cast("long")).alias("a"), "m"), "a")
 
 
 def _largest_first(links: DataFrame) -> DataFrame:
