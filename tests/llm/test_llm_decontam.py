@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from llm_rows import DOCS, no_docs, odd_docs, odd_rows, sentence
@@ -64,13 +65,64 @@ def test_random_texts(spark, window, block_pairs, vocabulary):
     assert check(spark, rows, items, window=window, block_pairs=block_pairs) > 0
 
 
-def test_odd_rows(spark):
+@pytest.mark.parametrize("block_pairs", [100_000, 1])
+def test_odd_rows(spark, block_pairs):
     rows = [(row[0], row[1]) for row in odd_rows()]
     items = [(1, next(text for _, text in rows if text and " tail" in text)), (2, "one"), (3, None), (4, "same same")]
-    assert check(spark, rows, items, odd_docs(spark)) > 0
+    assert check(spark, rows, items, odd_docs(spark), block_pairs=block_pairs) > 0
 
 
-def test_empty_tables(spark):
+@pytest.mark.parametrize("block_pairs", [100_000, 0])
+def test_empty_tables(spark, block_pairs):
     some = [(1, "a b c"), (2, None)]
-    assert check(spark, some, []) == 0
-    assert decontam.find_contamination(no_docs(spark), spark.createDataFrame(some, "item_id long, text string")).count() == 0
+    assert check(spark, some, [], block_pairs=block_pairs) == 0
+    items = spark.createDataFrame(some, "item_id long, text string")
+    assert decontam.find_contamination(no_docs(spark), items, block_pairs=block_pairs).count() == 0
+    assert decontam.drop_contaminated(no_docs(spark), items, block_pairs=block_pairs).count() == 0
+
+
+def test_benchmark_without_a_document(spark):
+    items = [(1, "not here at all"), (2, "nor this one")]
+    assert check(spark, [(1, "a b c"), (2, None), (2, None)], items, block_pairs=0) == 0
+
+
+def test_documents_are_read_twice_at_any_size_of_the_benchmark(spark):
+    rng = random.Random(8)
+    rows = [(doc, sentence(rng, 40, 500)) for doc in range(40)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").mapInArrow(counted, "doc_id long, text string")
+    for items in (10, 100, 1000):
+        bench = [(at, " ".join(rows[at % 40][1].split()[:12]) + " " + sentence(rng, 10, 500)) for at in range(items)]
+        before = read.value
+        found = decontam.find_contamination(docs, spark.createDataFrame(bench, "item_id long, text string"), block_pairs=100)
+        assert found.where("n_hit > 0").count() == min(items, 40)
+        assert read.value - before == 2 * len(rows)
+
+
+def test_frequent_windows_are_dealt_over_copies(spark, monkeypatch):
+    rng = random.Random(9)
+    passage = sentence(rng, 15, 1000)
+    rows = [(doc, sentence(rng, 5, 30) + (f" {passage}" if doc % 3 else "")) for doc in range(90)]
+    items = [(at, passage) for at in range(5)] + [(9, rows[0][1])]
+    monkeypatch.setattr(decontam, "SPREAD", 7)
+    assert check(spark, rows, items, block_pairs=1) >= 60
+    pairs = decontam._windows(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 10, 1)[0]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) AS text_key", "text")
+    index = decontam.prefix_index(docs, pairs)
+    assert index.agg({"n": "max"}).first()[0] == 60
+    assert "copy" in decontam._occurrences(decontam._runs(docs, index), index)._jdf.queryExecution().toString()
+
+
+def test_a_filter_misses_no_entry(spark):
+    rng = random.Random(10)
+    entries = [rng.getrandbits(64) - (1 << 63) for _ in range(3000)]
+    bits = decontam.Filter(spark.createDataFrame([(e,) for e in entries], "hash long"), "hash")
+    assert bits.passed(np.array(entries, np.int64).view(np.uint64)).all()
+    others = np.random.default_rng(1).integers(0, 1 << 63, 20_000, np.int64).view(np.uint64)
+    assert bits.passed(others).mean() < 0.15

@@ -7,9 +7,12 @@ number of documents that hold it. Windows with a shingle that no document holds
 A prefix found in a document fixes where the window would start; the length bound asks for as
 many words from there on. What passes is checked word by word.
 
-The benchmark is the query set. It is handled in blocks of ``BLOCK_PAIRS`` (window, item) pairs,
-and only one block at a time is sent to the executors; documents are streamed past, none is
-shuffled. Counts of shingles are over all documents.
+Documents are read twice at any size of the benchmark: once for the counts of shingles, which are
+over all documents, and once for the windows. A benchmark of up to ``BLOCK_PAIRS`` (window, item)
+pairs is sent to the executors, and documents are streamed past it. A larger one stays a table, the
+prefix index. Of it only two bit filters of bounded size are sent, one of the prefixes and one of
+the whole windows; runs of words that pass both are written out as text and joined with the index,
+which is the exact check.
 """
 
 from __future__ import annotations
@@ -19,16 +22,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import arrow_map, passes, staged, text_rows, valid_text
+from visitmart.llm.common import SMALL_SIDE_BYTES, arrow_map, passes, small_side, staged, text_rows, unused, valid_text
 from visitmart.llm.words import LOWER, PLAIN, column_bytes, run_hashes, word_spans
 
 WINDOW = 10
 SHINGLE = 5
-#: (window, item) pairs of one block of the benchmark; a block is about 150 bytes a pair.
+#: (window, item) pairs up to which the benchmark is sent to the executors, if its windows take ``SMALL_SIDE_BYTES`` at most.
 BLOCK_PAIRS = 100_000
+#: Bits of a filter per entry, and the power of two of bits that no filter exceeds (16 MB).
+FILTER_BITS = 16
+FILTER_POWER = 27
+#: Documents that hold a prefix per copy of its windows in the index; windows of frequent prefixes are repeated.
+SPREAD = 10_000
+#: Runs of words that leave a pass in one batch.
+OUT_ROWS = 20_000
 
 
 @dataclass
@@ -90,7 +100,7 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int)
 
 
 class Block:
-    """Windows of one block with their items, shingles and, once counts are known, prefixes."""
+    """Windows of a benchmark that fits the executors, with their items, shingles and, once counts are known, prefixes."""
 
     def __init__(self, pairs: list[tuple[int | None, str]]) -> None:
         texts = sorted({window for _, window in pairs})
@@ -161,7 +171,7 @@ class Block:
 
 
 def _counted(rows: DataFrame, block: Block) -> dict[tuple[int, int], int]:
-    """Rows that hold each shingle of the block, by (size, hash); one number per shingle comes back."""
+    """Rows that hold each shingle of the benchmark, by (size, hash); one number per shingle comes back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = {size: np.zeros(len(known), np.int64) for size, known in block.known.items()}
@@ -185,15 +195,205 @@ def _counted(rows: DataFrame, block: Block) -> dict[tuple[int, int], int]:
     return {(size, value): n for size, value, n in summed.agg(F.sum("n").alias("n")).collect()}
 
 
-def blocks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, window: int, block_pairs: int) -> Iterator[Block]:
-    """The benchmark's blocks, with prefixes ordered by the documents' counts."""
+def _windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_pairs: int) -> tuple[DataFrame, bool]:
+    """The written (item_id, window) pairs, and whether they are few enough to be sent to the executors."""
     pairs = staged(item_windows(benchmark, id_col, text_col, window), "benchmark_windows")
-    number = max(1, -(-pairs.count() // block_pairs))
-    for at in range(number):
-        mine = pairs.where(F.pmod(F.xxhash64("item_id", "window"), F.lit(number)) == at)
-        block = Block([(row.item_id, row.window) for row in mine.collect()])
-        block.order(_counted(docs, block))
-        yield block
+    number, size = pairs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("window")), F.lit(0))).first()
+    return pairs, number <= block_pairs and size <= SMALL_SIDE_BYTES
+
+
+def _block(docs: DataFrame, pairs: DataFrame) -> Block:
+    """The benchmark with prefixes ordered by the documents' counts."""
+    block = Block([(row.item_id, row.window) for row in pairs.collect()])
+    block.order(_counted(docs, block))
+    return block
+
+
+class Filter:
+    """A bit per leading part of a 64-bit hash: no entry is missed, others pass now and then. At most 16 MB."""
+
+    def __init__(self, hashes: DataFrame, column: str) -> None:
+        """Bits are gathered by Spark; one number per 64 bits comes to the driver."""
+        number = hashes.count()
+        self.power = min(FILTER_POWER, max(10, (number * FILTER_BITS).bit_length()))
+        slot = F.shiftrightunsigned(F.col(column), 64 - self.power)
+        words = hashes.select(F.shiftright(slot, 6).alias("word"), F.pmod(slot, F.lit(64)).cast("int").alias("bit"))
+        words = words.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+        self.words = np.zeros(1 << (self.power - 6), np.int64)
+        for word, bits in words.toLocalIterator():
+            self.words[word] = bits
+
+    def passed(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes may be entries."""
+        slot = hashes >> np.uint64(64 - self.power)
+        words = self.words.view(np.uint64)[(slot >> np.uint64(6)).astype(np.int64)]
+        return (words >> (slot & np.uint64(63))) & np.uint64(1) != 0
+
+
+def _window_shingles(pairs: DataFrame) -> DataFrame:
+    """(window, whole, length, offset, size, hash): the shingles of each distinct window; ``whole`` is the window's own hash."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = Batch.of(batch.column("window"))
+        length = np.diff(words.first)
+        count = length - np.minimum(SHINGLE, length) + 1
+        window = np.repeat(np.arange(len(length)), count)
+        offset = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
+        size = np.minimum(SHINGLE, length)[window]
+        at = words.first[:-1][window] + offset
+        whole = run_hashes(words.hashes, words.first[:-1], words.first[1:])[window]
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("window").take(pa.array(window)),
+                pa.array(whole.view(np.int64)),
+                pa.array(length[window]),
+                pa.array(offset),
+                pa.array(size),
+                pa.array(run_hashes(words.hashes, at, at + size).view(np.int64)),
+            ],
+            names=["window", "whole", "length", "offset", "size", "hash"],
+        )
+
+    schema = "window string, whole long, length long, offset long, size long, hash long"
+    return arrow_map(pairs.select("window").distinct(), work, schema, "window")
+
+
+def prefix_index(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(window, whole, length, offset, size, hash, n): the prefix of each window that documents may hold.
+
+    The prefix is the window's shingle in the fewest documents; ``n`` is their number.
+    """
+    shingles = staged(_window_shingles(pairs), "benchmark_shingles")
+    known = Filter(shingles.select("size", "hash").distinct(), "hash")
+    sizes = [row.size for row in shingles.select("size").distinct().collect()]
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = Batch.of(batch.column("text"))
+        row_of, out = words.rows(), [(np.zeros(0, np.uint64), np.zeros(0, int), 0)]
+        for size in sizes:
+            at, hashes = words.shingles(size)
+            some = known.passed(hashes)
+            at, hashes = at[some], hashes[some]
+            best = np.lexsort((row_of[at], hashes))
+            hashes, row = hashes[best], row_of[at][best]
+            new = np.ones(len(hashes), bool)  # a row counts once
+            new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
+            each, n = np.unique(hashes[new], return_counts=True)
+            out.append((each, n, size))
+        return pa.RecordBatch.from_pydict(
+            {
+                "size": pa.array(np.concatenate([np.full(len(h), s) for h, _, s in out]), pa.int64()),
+                "hash": pa.array(np.concatenate([h for h, _, _ in out]).view(np.int64)),
+                "n": pa.array(np.concatenate([n for _, n, _ in out]), pa.int64()),
+            }
+        )
+
+    counts = arrow_map(docs.select("text"), work, "size long, hash long, n long").groupBy("size", "hash").agg(F.sum("n").alias("n"))
+    counts = staged(counts.join(shingles.select("size", "hash").distinct(), ["size", "hash"], "left_semi"), "benchmark_counts")
+    # A window with a shingle that no document holds has that one as its rarest.
+    rated = shingles.join(small_side(counts, 32), ["size", "hash"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = rated.groupBy("window").agg(F.min(F.struct("n", "hash", "offset", "size", "length", "whole")).alias("least"))
+    return staged(rarest.where("least.n > 0").select("window", "least.*"), "benchmark_prefixes")
+
+
+RUNS = "doc_id long, text_key long, n_words long, low long, length long, window string"
+
+
+def _runs(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Runs of words that may be windows of the index, by text, and for each row one row without a run that has its number of words."""
+    prefixes = Filter(index.select("hash").distinct(), "hash")
+    wholes = Filter(index.select("whole").distinct(), "whole")
+    shapes: dict[int, list[tuple[int, int]]] = {}
+    for size, offset, length in sorted(index.select("size", "offset", "length").distinct().collect()):
+        shapes.setdefault(size, []).append((offset, length))
+
+    def found(words: Batch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """(rows, first words, length) of the runs that pass both filters."""
+        row_of = words.rows()
+        for size, places in shapes.items():
+            at, hashes = words.shingles(size)
+            at = at[prefixes.passed(hashes)]
+            row = row_of[at]
+            for offset, length in places:
+                low = at - offset
+                fits = (low >= words.first[row]) & (low + length <= words.first[row + 1])
+                own, low = row[fits], low[fits]
+                some = wholes.passed(run_hashes(words.hashes, low, low + length))
+                yield own[some], low[some], length
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in passes(batches):
+            words = Batch.of(batch.column("text"))
+            doc_id, key = batch.column("doc_id"), batch.column("text_key")
+            none = pa.nulls(batch.num_rows, pa.int64())
+            n_words = pa.array(np.diff(words.first), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [doc_id, key, n_words, none, none, none.cast(pa.string())], names=["doc_id", "text_key", "n_words", "low", "length", "window"]
+            )
+            for row, low, length in found(words):
+                for at in range(0, len(row), OUT_ROWS):
+                    own, start = row[at : at + OUT_ROWS], low[at : at + OUT_ROWS]
+                    texts = [words.text(a, a + length).decode("utf-8", "replace") for a in start.tolist()]
+                    taken = pa.array(own)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            doc_id.take(taken),
+                            key.take(taken),
+                            pa.nulls(len(own), pa.int64()),
+                            pa.array(start - words.first[own], pa.int64()),
+                            pa.array(np.full(len(own), length), pa.int64()),
+                            pa.array(texts, pa.string()),
+                        ],
+                        names=["doc_id", "text_key", "n_words", "low", "length", "window"],
+                    )
+
+    return rows.select("doc_id", "text_key", "text").mapInArrow(run, RUNS)
+
+
+def _occurrences(runs: DataFrame, index: DataFrame) -> DataFrame:
+    """The runs that are windows of the index. Windows of frequent prefixes are repeated and their runs dealt over the copies."""
+    copies = index.select("window", F.ceil(F.col("n") / SPREAD).alias("copies"))
+    frequent = small_side(staged(copies.where("copies > 1"), "benchmark_frequent"), 200)
+    copy = F.pmod(F.xxhash64("doc_id", "text_key", "low"), F.coalesce("copies", F.lit(1)))
+    dealt = runs.where("low IS NOT NULL").join(frequent, "window", "left").withColumn("copy", copy).drop("copies", "n_words")
+    sent = copies.select("window", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    return dealt.join(sent, ["window", "copy"]).drop("copy")
+
+
+def _hits(rows: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(runs, occurrences) of a benchmark that stays a table; ``rows`` are (doc_id, text_key, text)."""
+    index = prefix_index(rows, pairs)
+    runs = staged(_runs(rows, index), "benchmark_runs")
+    return runs, staged(_occurrences(runs, index), "benchmark_hits")
+
+
+def _joined_spans(hits: DataFrame) -> DataFrame:
+    """(doc_id, text_key, spans): overlapping and touching occurrences of a row as one span, by a sort per row."""
+    own = Window.partitionBy("doc_id", "text_key").orderBy("low")
+    ends = hits.groupBy("doc_id", "text_key", "low").agg(F.max(F.col("low") + F.col("length")).alias("high"))
+    reached = F.max("high").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    marked = ends.withColumn("new", F.when(F.col("low") <= reached, 0).otherwise(1)).withColumn("span", F.sum("new").over(own))
+    spans = marked.groupBy("doc_id", "text_key", "span").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    listed = spans.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_list(F.array("low", "high"))).alias("spans"))
+    return listed.withColumn("spans", F.flatten("spans"))
+
+
+def _indexed(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The columns of ``FOUND`` for every row, by the prefix index."""
+    runs, hits = _hits(rows, pairs)
+    held = hits.select("doc_id", "text_key", "window").distinct().join(pairs.where("item_id IS NOT NULL"), "window")
+    items = held.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+
+    def meets(left: str, right: str) -> Column:
+        return F.expr(f"{left}.doc_id <=> {right}.doc_id AND {left}.text_key = {right}.text_key")
+
+    none = F.array().cast("array<long>")
+    # Rows repeated in full have one key, which all of them find.
+    found = _joined_spans(hits).alias("s").join(items.alias("i"), meets("s", "i"), "left").select("s.*", "i.items")
+    every = runs.where("low IS NULL").select("doc_id", "text_key", "n_words")
+    return every.alias("e").join(found.alias("f"), meets("e", "f"), "left").select(
+        "e.*", F.coalesce("f.spans", none).alias("spans"), F.coalesce("f.items", none).alias("items")
+    )
 
 
 def _spans(marks: np.ndarray, low: int, high: int) -> list[int]:
@@ -205,7 +405,7 @@ def _spans(marks: np.ndarray, low: int, high: int) -> list[int]:
 FOUND = "doc_id long, text_key long, n_words long, spans array<long>, items array<long>"
 
 
-def _matches(rows: DataFrame, block: Block, all_rows: bool) -> DataFrame:
+def _matches(rows: DataFrame, block: Block) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = Batch.of(batch.column("text"))
         window, low = block.hits(words)
@@ -221,15 +421,14 @@ def _matches(rows: DataFrame, block: Block, all_rows: bool) -> DataFrame:
             items.setdefault(row, set()).update(own.tolist())
             if row not in spans:
                 spans[row] = _spans(marks, int(words.first[row]), int(words.first[row + 1]))
-        kept = range(batch.num_rows) if all_rows else sorted(spans)
-        taken = pa.array(kept, pa.int64())
+        every = range(batch.num_rows)
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id").take(taken),
-                batch.column("text_key").take(taken),
-                pa.array(np.diff(words.first)[list(kept)] if len(kept) else [], pa.int64()),
-                pa.array([spans.get(r, []) for r in kept], pa.list_(pa.int64())),
-                pa.array([sorted(items.get(r, ())) for r in kept], pa.list_(pa.int64())),
+                batch.column("doc_id"),
+                batch.column("text_key"),
+                pa.array(np.diff(words.first), pa.int64()),
+                pa.array([spans.get(r, []) for r in every], pa.list_(pa.int64())),
+                pa.array([sorted(items.get(r, ())) for r in every], pa.list_(pa.int64())),
             ],
             names=["doc_id", "text_key", "n_words", "spans", "items"],
         )
@@ -237,23 +436,6 @@ def _matches(rows: DataFrame, block: Block, all_rows: bool) -> DataFrame:
     return arrow_map(rows, work, FOUND)
 
 
-def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists of spans of one row, one list per block, as one list."""
-    for batch in batches:
-        out = []
-        for lists in batch.column("lists").to_pylist():
-            merged: list[int] = []
-            for low, high in sorted(pair for flat in lists for pair in zip(flat[::2], flat[1::2])):
-                if merged and low <= merged[-1]:
-                    merged[-1] = max(merged[-1], high)
-                else:
-                    merged += [low, high]
-            out.append(merged)
-        columns = [batch.column(c) for c in ("doc_id", "text_key")]
-        columns += [pa.array(out, pa.list_(pa.int64())), batch.column("items")]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "spans", "items"])
-
-
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -272,26 +454,8 @@ def find_contamination(
     items count once, repeated rows are returned as often. Empty tables give no hits, or no rows.
     """
     rows = text_rows(docs, id_col, text_col).withColumn("text_key", F.xxhash64("doc_id", "text"))
-    found = [
-        _matches(rows, block, all_rows=number == 0)
-        for number, block in enumerate(blocks(rows, benchmark, item_id_col, item_text_col, window, block_pairs))
-    ]
-    result = found[0]
-    if len(found) > 1:
-        spans = [frame.where("size(items) > 0 OR size(spans) > 0").select("doc_id", "text_key", "spans", "items") for frame in found]
-        every = spans[0]
-        for frame in spans[1:]:
-            every = every.union(frame)
-        # Repeated rows bring the same lists; sets keep one.
-        lists = every.groupBy("doc_id", "text_key").agg(
-            F.collect_set("spans").alias("lists"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
-        )
-        united = lists.mapInArrow(_united, "doc_id long, text_key long, spans array<long>, items array<long>")
-        united = united.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "spans", "items")
-        meets = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_key") == F.col("_key"))
-        none = F.array().cast("array<long>")
-        result = result.select("doc_id", "text_key", "n_words").join(united, meets, "left")
-        result = result.withColumns({c: F.coalesce(c, none) for c in ("spans", "items")})
+    pairs, few = _windows(benchmark, item_id_col, item_text_col, window, block_pairs)
+    result = _matches(rows, _block(rows, pairs)) if few else _indexed(rows, pairs)
     hit = F.aggregate(
         F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)),
         F.lit(0).cast("long"),
@@ -312,16 +476,26 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of the documents, with all their columns, that hold no window of the benchmark."""
     rows = docs.select(valid_text(f"`{text_col}`").alias("text"))
-    clean = docs
-    for block in blocks(rows, benchmark, item_id_col, item_text_col, window, block_pairs):
-
-        def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
-            for batch in passes(batches, text_col):
-                words = Batch.of(valid(batch.column(text_col)))
-                _, low = block.hits(words)
-                stays = np.ones(batch.num_rows, bool)
-                stays[words.rows()[low]] = False
-                yield batch.filter(pa.array(stays))
-
-        clean = clean.mapInArrow(run, docs.schema)
-    return clean
+    pairs, few = _windows(benchmark, item_id_col, item_text_col, window, block_pairs)
+    if not few:
+        # Equal texts hold equal windows, so two hashes of the text say which rows go.
+        text = valid_text(f"`{text_col}`")
+        names = {unused(docs, "_doc_id"): F.xxhash64(F.lit(1), text), unused(docs, "_text_key"): F.xxhash64(text)}
+        keyed = docs.withColumns(names)
+        one, other = names
+        _, hits = _hits(keyed.select(F.col(one).alias("doc_id"), F.col(other).alias("text_key"), text.alias("text")), pairs)
+        gone = hits.select(F.col("doc_id").alias(one), F.col("text_key").alias(other)).distinct()
+        return keyed.join(small_side(staged(gone, "benchmark_texts"), 32), [one, other], "left_anti").select(
+            *[F.col(f"`{c}`") for c in docs.columns]
+        )
+    block = _block(rows, pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in passes(batches, text_col):
+            words = Batch.of(valid(batch.column(text_col)))
+            _, low = block.hits(words)
+            stays = np.ones(batch.num_rows, bool)
+            stays[words.rows()[low]] = False
+            yield batch.filter(pa.array(stays))
+
+    return docs.mapInArrow(run, docs.schema)
