@@ -54,9 +54,10 @@ def clusters(rng, count, size, dims, labels, spread):
     return [(at, vector, rng.randrange(labels)) for at, vector in enumerate(rows)]
 
 
-@pytest.mark.parametrize("dims, spread, block", [(64, 0.08, 16), (3, 0.1, 16), (8, 0.12, 256), (1, 0.5, 16)])
-def test_clusters(spark, monkeypatch, dims, spread, block):
+@pytest.mark.parametrize("dims, spread, block, tile", [(64, 0.08, 16, 2), (3, 0.1, 16, 1), (8, 0.12, 256, 16), (1, 0.5, 16, 4), (32, 0.1, 4, 3)])
+def test_clusters(spark, monkeypatch, dims, spread, block, tile):
     monkeypatch.setattr(embeddings, "BLOCK_ROWS", block)
+    monkeypatch.setattr(embeddings, "TILE_BLOCKS", tile)
     monkeypatch.setattr(embeddings, "FANOUT", 2)
     assert check(spark, clusters(random.Random(dims), 40, 12, dims, 3, spread)) > 0
 
@@ -74,3 +75,33 @@ def test_copies_chains_and_unusable_vectors(spark):
 def test_no_rows(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     check(spark, [(1, None, 1), (2, [0.0], None)])
+
+
+def test_a_block_is_sent_once_per_near_tile(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(embeddings, "TILE_BLOCKS", 4)
+    sent, units = [], embeddings._units
+
+    def seen(blocks, pairs, *options):
+        rows = units(blocks, pairs, *options)
+        sent.append([(row.number, row.a, row.b, row.side) for row in rows.select("number", "a", "b", "side").collect()])
+        return rows
+
+    monkeypatch.setattr(embeddings, "_units", seen)
+    rng = random.Random(5)
+    rows = [(at, [rng.gauss(0, 1) for _ in range(16)], 1) for at in range(300)]
+    rows += [(1000 + at, [x + rng.gauss(0, 0.02) for x in vector], 1) for at, vector, _ in rows[::10]]
+    assert check(spark, rows) > 0
+    (found,) = sent
+    assert len(found) == len(set(found))
+    blocks, tiles = {n for n, *_ in found}, {t for _, a, b, _ in found for t in (a, b)}
+    assert len(blocks) > 30
+    assert len(found) <= len(blocks) * len(tiles)
+
+
+def test_what_the_directions_leave_prunes(spark):
+    """Boxes that meet in all directions are apart by the length of the rest."""
+    box = "label string, number long, low array<double>, high array<double>, parent long"
+    tiles = [("x", 0, [0.0, 0.1], [0.2, 0.2], 0), ("x", 1, [0.0, 0.8], [0.2, 0.9], 0), ("x", 2, [0.1, 0.3], [0.3, 0.5], 0), ("y", 2, [0.0, 0.1], [0.2, 0.2], 0)]
+    found = embeddings.near_tiles(spark.createDataFrame(tiles, box), 0.2, 2)
+    assert sorted((r.label, r.a, r.b) for r in found.collect()) == [("x", 0, 0), ("x", 0, 2), ("x", 1, 1), ("x", 2, 2), ("y", 2, 2)]

@@ -6,10 +6,13 @@ principal directions, put on a grid with cells of side epsilon, and sorted by la
 The sorted sequence is cut into blocks; blocks form a tree of intervals of the sequence, each with
 the box that holds its vectors. The join starts with the whole sequence against itself and goes
 down the tree: a pair of intervals whose boxes are farther apart than epsilon is dropped, any other
-is replaced by the pairs of its parts. Pairs of blocks that remain are compared exactly.
+is replaced by the pairs of its parts. A box has one side more than there are directions, the length
+of what the directions leave of a vector: lengths of what is left differ by no more than the vectors.
 
-A pair of blocks yields link counts per vector and a spanning forest, never all its links. Equal
-vectors of one label are one from the start.
+The tree's leaves are tiles of ``TILE_BLOCKS`` blocks. A near pair of tiles is one unit of work: a
+block is sent to it once, if its box is near the other tile's, and not once per near block. There,
+pairs of blocks whose boxes are near are compared exactly. A unit yields link counts per vector and a
+spanning forest, never all its links. Equal vectors of one label are one from the start.
 """
 
 from __future__ import annotations
@@ -21,14 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import staged
+from visitmart.llm.common import small_side, staged
 from visitmart.llm.components import Forest, components
 
 MIN_COSINE = 0.98
 #: Leading principal directions that the grid and the boxes use.
 DIRECTIONS = 6
-#: Vectors of a block, and children of a node of the tree.
+#: Vectors of a block, blocks of a tile, and children of a node of the tree above the tiles.
 BLOCK_ROWS = 256
+TILE_BLOCKS = 16
 FANOUT = 8
 #: What rounding may move a projection or a bound; boxes are wider by it.
 SLACK = 1e-9
@@ -74,8 +78,11 @@ def _projected(directions: np.ndarray, epsilon: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            turned = _matrix(batch.column("vector")) @ directions
+            unit = _matrix(batch.column("vector"))
+            turned = unit @ directions
             cells = np.floor(turned / epsilon).astype(np.int64)
+            left = np.linalg.norm(unit - turned @ directions.T, axis=1)
+            turned = np.column_stack([turned, left])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), batch.column("least"), batch.column("n"), batch.column("vector"),
                  pa.array(list(cells), pa.list_(pa.int64())), pa.array(list(turned), pa.list_(pa.float64()))],
@@ -119,75 +126,116 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(held)
 
 
-def _gap(directions: int) -> Column:
-    """Squared distance of the boxes of two nodes (columns a_low, a_high, b_low, b_high)."""
+def _gap(sides: int, one: str = "a_", other: str = "b_") -> Column:
+    """Squared distance of two boxes (columns <one>low, <one>high, <other>low, <other>high)."""
     total = F.lit(0.0)
-    for d in range(directions):
-        low = F.greatest(F.get("a_low", F.lit(d)), F.get("b_low", F.lit(d)))
-        high = F.least(F.get("a_high", F.lit(d)), F.get("b_high", F.lit(d)))
+    for d in range(sides):
+        low = F.greatest(F.get(f"{one}low", F.lit(d)), F.get(f"{other}low", F.lit(d)))
+        high = F.least(F.get(f"{one}high", F.lit(d)), F.get(f"{other}high", F.lit(d)))
         total = total + F.pow(F.greatest(low - high, F.lit(0.0)), 2)
     return total
 
 
-def near_blocks(blocks: DataFrame, epsilon: float, directions: int) -> DataFrame:
-    """(a, b), a <= b: the pairs of blocks (number, label, low, high) that may hold a link.
+def _boxes(nodes: DataFrame, sides: int) -> DataFrame:
+    """(label, number, low, high, parent): the parents of nodes (label, parent, low, high) with the boxes around them."""
+    grouped = nodes.groupBy("label", F.col("parent").alias("number")).agg(
+        *[F.min(F.get("low", F.lit(d))).alias(f"l{d}") for d in range(sides)],
+        *[F.max(F.get("high", F.lit(d))).alias(f"h{d}") for d in range(sides)],
+    )
+    low, high = (F.array(*[F.col(f"{side}{d}") for d in range(sides)]) for side in "lh")
+    return grouped.select("label", "number", low.alias("low"), high.alias("high"), F.floor(F.col("number") / FANOUT).alias("parent"))
+
+
+def near_tiles(tiles: DataFrame, epsilon: float, sides: int) -> DataFrame:
+    """(label, a, b, a_low, a_high, b_low, b_high), a <= b: the pairs of tiles (label, number, low, high, parent) that may hold a link.
 
     Levels of the tree are tables. Each step joins the pairs of a level with the parts of both
     sides, by the key of the node, so no step compares all nodes with all.
     """
-    levels = [blocks.select("number", "label", "low", "high", F.floor(F.col("number") / FANOUT).alias("parent"))]
-    top = blocks.agg(F.max("number")).first()[0] or 0
+    levels = [tiles]
+    top = tiles.agg(F.max("number")).first()[0] or 0
     while top > 0:
         top //= FANOUT
-        below = levels[-1]
-        level = below.groupBy("label", F.col("parent").alias("number")).agg(
-            *[F.min(F.get("low", F.lit(d))).alias(f"l{d}") for d in range(directions)],
-            *[F.max(F.get("high", F.lit(d))).alias(f"h{d}") for d in range(directions)],
-        )
-        low, high = (F.array(*[F.col(f"{side}{d}") for d in range(directions)]) for side in "lh")
-        level = level.select("number", "label", low.alias("low"), high.alias("high"), F.floor(F.col("number") / FANOUT).alias("parent"))
-        levels.append(staged(level, "embedding_level"))
+        levels.append(staged(_boxes(levels[-1], sides), "embedding_level"))
     # A node of a level is known by (label, number): an interval can hold the end of one label and the start of the next.
-    pairs = levels[-1].select("label", F.col("number").alias("a"), F.col("number").alias("b"))
+    ends = [F.col(side).alias(f"{s}_{side}") for s in "ab" for side in ("low", "high")]
+    pairs = levels[-1].select("label", F.col("number").alias("a"), F.col("number").alias("b"), *ends)
     limit = (epsilon + SLACK) ** 2
     for level in levels[-2::-1] if len(levels) > 1 else []:
-        sides = [
+        parts = [
             level.select("label", F.col("parent").alias(s), F.col("number").alias(f"{s}_number"), F.col("low").alias(f"{s}_low"), F.col("high").alias(f"{s}_high"))
             for s in "ab"
         ]
-        down = pairs.join(sides[0], ["label", "a"]).join(sides[1], ["label", "b"])
-        pairs = down.where((F.col("a_number") <= F.col("b_number")) & (_gap(directions) <= limit)).select(
-            "label", F.col("a_number").alias("a"), F.col("b_number").alias("b")
+        down = pairs.select("label", "a", "b").join(parts[0], ["label", "a"]).join(parts[1], ["label", "b"])
+        pairs = down.where((F.col("a_number") <= F.col("b_number")) & (_gap(sides) <= limit)).select(
+            "label", F.col("a_number").alias("a"), F.col("b_number").alias("b"), "a_low", "a_high", "b_low", "b_high"
         )
-    return pairs.select("a", "b")
+    return pairs
+
+
+SENT = ("number", "low", "high", "ids", "sizes", "units")
 
 
-def _joined(min_cosine: float):
-    """Pairs of blocks compared exactly: rows (id, links, other); ``other`` holds the forest, ``links`` the counts."""
+def _units(blocks: DataFrame, pairs: DataFrame, epsilon: float, sides: int) -> DataFrame:
+    """Rows (label, a, b, side, and those of ``SENT``), those of a pair of tiles together: first the blocks of a, then those of b.
+
+    A block goes to a pair only if its box is near the other tile's.
+    """
+    pairs = small_side(staged(pairs, "embedding_pairs"), 64 + 32 * sides)
+    limit = (epsilon + SLACK) ** 2
+    ways = []
+    for number, (own, other) in enumerate(("ab", "ba")):
+        wanted = pairs if own == "a" else pairs.where("a != b")
+        named = blocks.withColumnRenamed("tile", own)
+        near = named.join(wanted, ["label", own]).where(_gap(sides, "", f"{other}_") <= limit)
+        ways.append(near.select("label", "a", "b", F.lit(number).alias("side"), *SENT))
+    # A number of tasks that adaptive execution leaves alone: small blocks make long comparisons.
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ways[0].union(ways[1]).repartition(parts, "label", "a", "b")
+    return dealt.sortWithinPartitions("label", "a", "b", "side", "number")
+
+
+def _compared(a: dict, b: dict, min_cosine: float, forest: Forest) -> Iterator[tuple[int, int, int | None]]:
+    """Rows (id, links, other) of two blocks compared exactly; ``other`` holds new links of the forest, ``links`` the counts."""
+    same = a["number"] == b["number"]
+    left, right = (np.frombuffer(block["units"]).reshape(len(block["ids"]), -1) for block in (a, b))
+    near = left @ right.T >= min_cosine
+    if same:
+        np.fill_diagonal(near, False)
+    for ids, sizes, hits in ((a["ids"], b["sizes"], near), (b["ids"], a["sizes"], near.T))[: 1 if same else 2]:
+        counts = hits @ np.array(sizes, np.int64)
+        for i in np.flatnonzero(counts).tolist():
+            yield ids[i], int(counts[i]), None
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+        if forest.union(a["ids"][i], b["ids"][j]):
+            yield a["ids"][i], 0, b["ids"][j]
+
+
+def _joined(min_cosine: float, epsilon: float):
+    """Units of sorted rows as rows (id, links, other). A task holds the blocks of one tile and streams those of the other."""
+    limit = (epsilon + SLACK) ** 2
+
+    def near(a: dict, b: dict) -> bool:
+        gap = np.maximum(np.array(a["low"]), np.array(b["low"])) - np.minimum(np.array(a["high"]), np.array(b["high"]))
+        return float((np.maximum(gap, 0) ** 2).sum()) <= limit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held, forest = None, [], Forest()
         for batch in batches:
-            for same, a_ids, a_sizes, a_units, b_ids, b_sizes, b_units in zip(*(c.to_pylist() for c in batch.columns)):
-                left = np.frombuffer(a_units).reshape(len(a_ids), -1)
-                right = np.frombuffer(b_units).reshape(len(b_ids), -1)
-                near = left @ right.T >= min_cosine
-                if same:
-                    np.fill_diagonal(near, False)
-                ids, links, others, forest = [], [], [], Forest()
-                for own, sizes, hits in ((a_ids, b_sizes, near), (b_ids, a_sizes, near.T))[: 1 if same else 2]:
-                    counts = hits @ np.array(sizes, np.int64)
-                    some = np.flatnonzero(counts)
-                    ids += [own[i] for i in some]
-                    links += counts[some].tolist()
-                    others += [None] * len(some)
-                for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
-                    if forest.union(a_ids[i], b_ids[j]):
-                        ids.append(a_ids[i])
-                        links.append(0)
-                        others.append(b_ids[j])
-                if ids:
+            for at in range(batch.num_rows):
+                (block,) = batch.slice(at, 1).to_pylist()
+                key = block["label"], block["a"], block["b"]
+                if key != unit:
+                    unit, held, forest = key, [], Forest()
+                if block["side"] == 0:
+                    held.append(block)
+                # A tile meets itself: each block meets those before it and itself.
+                others = held if block["side"] == 1 or block["a"] == block["b"] else []
+                found = [row for other in others if near(other, block) for row in _compared(other, block, min_cosine, forest)]
+                if found:
+                    ids, links, other = zip(*found)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids, pa.int64()), pa.array(links, pa.int64()), pa.array(others, pa.int64())], names=["id", "links", "other"]
+                        [pa.array(ids, pa.int64()), pa.array(links, pa.int64()), pa.array(other, pa.int64())], names=["id", "links", "other"]
                     )
 
     return run
@@ -230,7 +278,8 @@ def near_duplicates(
         basis = principal_directions(mine, size, count)
         schema = "label string, least long, n long, vector array<double>, cell array<long>, turned array<double>"
         placed = mine.select("label", "least", "n", "vector").mapInArrow(_projected(basis, epsilon), schema)
-        parts = max(1, mine.count() // (BLOCK_ROWS * FANOUT))
+        # Parts of several tiles, so that few tiles are cut short by the end of a part.
+        parts = max(1, mine.count() // (BLOCK_ROWS * TILE_BLOCKS * 4))
         ordered = placed.repartitionByRange(parts, "label", "cell", "least").sortWithinPartitions("label", "cell", "least")
         packed = ordered.withColumn("part", F.spark_partition_id().cast("long")).mapInArrow(
             _packed,
@@ -238,17 +287,14 @@ def near_duplicates(
         )
         packed = staged(packed, "embedding_blocks")
         # Numbers that ascend with the sequence: room for the largest part's blocks is left for each part.
-        room = FANOUT
+        room = TILE_BLOCKS
         while room <= (packed.agg(F.max("seq")).first()[0] or 0):
             room *= FANOUT
         blocks = packed.withColumn("number", F.col("part") * room + F.col("seq"))
-        pairs = near_blocks(blocks, epsilon, count)
-        sides = [
-            blocks.select(F.col("number").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("ids", "sizes", "units")]) for s in "ab"
-        ]
-        both = pairs.join(sides[0], "a").join(sides[1], "b")
-        compared = both.select((F.col("a") == F.col("b")).alias("same"), *[f"{s}_{c}" for s in "ab" for c in ("ids", "sizes", "units")])
-        links = compared.mapInArrow(_joined(min_cosine), "id long, links long, other long")
+        blocks = blocks.withColumn("tile", F.floor(F.col("number") / TILE_BLOCKS))
+        tiles = staged(_boxes(blocks.withColumn("parent", F.col("tile")), count + 1), "embedding_tiles")
+        units = _units(blocks, near_tiles(tiles, epsilon, count + 1), epsilon, count + 1)
+        links = units.mapInArrow(_joined(min_cosine, epsilon), "id long, links long, other long")
         found = links if found is None else found.union(links)
     if found is None:
         found = spark.createDataFrame([], "id long, links long, other long")
