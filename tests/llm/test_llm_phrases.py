@@ -124,3 +124,32 @@ def test_without_hits_nothing_is_removed(spark, monkeypatch):
 
     monkeypatch.setattr(phrases, "_located", nothing)
     assert sum(row.n_removed for row in phrases.remove_repeats(docs).collect()) == 0
+
+
+def test_texts_are_shuffled_once(spark, monkeypatch):
+    """Both joins read the sorted buckets of the texts as they are: neither moved nor sorted again."""
+    plans, staged = [], phrases.staged
+
+    def seen(frame, prefix):
+        plans.append((prefix, frame._jdf.queryExecution().executedPlan().toString()))
+        return staged(frame, prefix)
+
+    monkeypatch.setattr(phrases, "staged", seen)
+    rng = random.Random(3)
+    rows = [(at, sentence(rng, 60, 40)) for at in range(40)] + [(None, sentence(rng, 60, 40)), (7, None)]
+    found = phrases.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    plans.append(("result", found._jdf.queryExecution().executedPlan().toString()))
+    for plan in (plan for prefix, plan in plans if prefix in ("phrase_segments", "result")):
+        assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+        assert plan.count("Exchange hashpartitioning") == plan.count("+- Sort [") == 1
+    assert found.count() == len(rows)
+
+
+def test_buckets_grow_with_the_bytes(spark, monkeypatch):
+    docs = spark.createDataFrame([(at, at, "w " * 500) for at in range(50)], "order_id long, text_key long, text string")
+    monkeypatch.setattr(phrases, "MOST_BUCKETS", 120)
+    for size, wanted in ((0, 8), (100 * phrases.BUCKET_BYTES, 100), (1 << 60, 120)):
+        rows = phrases._bucketed(docs, ["order_id", "text_key"], size)
+        assert rows.select("order_id", "text_key").distinct().count() == rows.count() == 50
+        plan = rows.groupBy("order_id", "text_key").count()._jdf.queryExecution().executedPlan().toString()
+        assert f"SelectedBucketsCount: {wanted} out of {wanted}" in plan

@@ -17,6 +17,9 @@ of a phrase follow each other and make up a segment.
    at a time. A phrase with very many different segments is split over shards; what these
    locate is put together window by window, by MD5.
 4. Documents are joined with the windows that are repeated and lose the words these cover.
+
+Whole texts are shuffled once: they are written as sorted buckets by document, and both joins read
+these as they are.
 """
 
 from __future__ import annotations
@@ -27,11 +30,12 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import arrow_map, passes, small_side, staged, text_rows
+from visitmart.llm.common import arrow_map, freed_shuffles, passes, session_with, small_side, staged, text_rows
 from visitmart.llm.words import SPACED, column_bytes, mixed, run_hashes, word_spans
+from visitmart.session import scratch_table
 
 WINDOW = 20
 PHRASE = 5
@@ -39,6 +43,9 @@ PHRASE = 5
 SHARD_SEGMENTS = 20_000
 #: A phrase with more different segments than this is split over shards of so many.
 PHRASE_SEGMENTS = 5_000
+#: Text of a bucket of documents, and the most buckets there are.
+BUCKET_BYTES = 64 << 20
+MOST_BUCKETS = 50_000
 #: Stands for a null id in the order of documents: after all others.
 LAST = (1 << 63) - 1
 
@@ -253,6 +260,18 @@ def _removed(window: int):
     return work
 
 
+def _bucketed(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """The rows as a table of sorted buckets by ``keys``, as many as ``size`` bytes of text ask for and at least one a core."""
+    # A session of its own: there scans of sorted buckets say that they are sorted, and joins don't sort them again.
+    own = session_with(rows.sparkSession, **{"spark.sql.legacy.bucketedTableScan.outputOrdering": "true"})
+    buckets = min(MOST_BUCKETS, max(own.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)))
+    table = scratch_table(own, "phrase_documents")
+    with freed_shuffles(rows.sparkSession):
+        dealt = rows.repartition(buckets, *keys)
+        dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("compression", "zstd").saveAsTable(table)
+    return own.table(table)
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, phrase: int = PHRASE
 ) -> DataFrame:
@@ -270,8 +289,11 @@ def remove_repeats(
         "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("order_id"), F.xxhash64("text").alias("text_key"), "text"
     )
     keys = ["order_id", "text_key"]
-    chosen = arrow_map(rows.drop("doc_id"), _chosen(window, phrase), "order_id long, text_key long, phrase long, n long")
+    seen = Observation()
+    watched = rows.drop("doc_id").observe(seen, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"))
+    chosen = arrow_map(watched, _chosen(window, phrase), "order_id long, text_key long, phrase long, n long")
     chosen = staged(chosen, "phrases_chosen")
+    rows = _bucketed(rows, keys, seen.get["bytes"])
     repeated = chosen.groupBy("phrase").agg(F.sum("n").alias("total")).where("total > 1").select("phrase")
     per_doc = chosen.select(*keys, "phrase").join(repeated, "phrase").groupBy(*keys).agg(F.collect_set("phrase").alias("phrases"))
     per_doc = staged(per_doc, "phrases_repeated")
