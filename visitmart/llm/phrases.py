@@ -44,7 +44,7 @@ SHARD_SEGMENTS = 20_000
 #: A phrase with more different segments than this is split over shards of so many.
 PHRASE_SEGMENTS = 5_000
 #: Text of a bucket of documents, and the most buckets there are.
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
 MOST_BUCKETS = 50_000
 #: Stands for a null id in the order of documents: after all others.
 LAST = (1 << 63) - 1
