@@ -39,11 +39,27 @@ def grouped(ids, prints, max_bits=4):
     return [out[at] for at in range(len(ids))]
 
 
-def test_fingerprints():
+@pytest.mark.parametrize("size", [1, 3, 4])
+def test_fingerprints(spark, size):
     rng = random.Random(2)
-    for text in [None, "", " \n", "a", "A b", "a b c d", "É a b c d e", *(sentence(rng, rng.randrange(80)) for _ in range(30))]:
-        assert simhash.fingerprint(text) == plain(text)
-    assert simhash.fingerprint("x y z " * 20000) == plain("x y z " * 20000)
+    texts = [None, "", " \n", "a", "A b", "a b c d", " a b c d", "a b c d \r\n", "É a b c d e", "ÀB İ ẞ Ａ Q", "\x1c\x85\xa0 a b c d"]
+    texts += [sentence(rng, rng.randrange(80)) for _ in range(30)] + ["x y z " * 20000, sentence(rng, 100_000), "Y" * 1_000_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = dict(map(tuple, simhash.fingerprints(docs, size).collect()))
+    assert {at: bits % (1 << 64) for at, bits in found.items()} == {at: plain(text, size) for at, text in enumerate(texts)}
+
+
+def test_fingerprints_keep_repeated_and_null_ids(spark):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c"), (None, "c"), (None, None)], "doc_id long, text string")
+    found = [(row.doc_id, row.bits % (1 << 64)) for row in simhash.fingerprints(docs).collect()]
+    wanted = [(1, plain("a b")), (1, plain("a b")), (1, plain("c")), (None, plain("c")), (None, 0)]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
+
+
+def test_fingerprints_stay_in_generated_code(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    plan = simhash.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Python" not in plan
 
 
 @pytest.mark.parametrize("max_bits", [0, 1, 3, 4, 5, 6])

@@ -1,7 +1,7 @@
 """SimHash near-dedup by segment popcounts.
 
-Each text gets a 64-bit fingerprint: the bit majority over the XXH64 values of its word
-shingles. Fingerprints that differ in at most ``max_bits`` bits are linked.
+Each text gets a 64-bit fingerprint: the bit majority over the XXH64 values (seed 42, as Spark's
+``xxhash64`` has it) of its word shingles. Fingerprints that differ in at most ``max_bits`` bits are linked.
 
 Candidates come from the segment-popcount embedding. A fingerprint is cut into segments of
 ``SEGMENT_BITS`` bits; its bit counts per segment are a point on an integer grid, and the
@@ -23,51 +23,50 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitmart.llm.common import arrow_map, small_side, staged, text_rows
+from visitmart.llm.common import small_side, staged, text_rows
 from visitmart.llm.components import Forest, components
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
-SEED = 42
 SEGMENT_BITS = 2
 #: Fingerprints of one cell that a unit of work takes from each of two chunks.
 CHUNK = 1024
-#: Shingles whose bits are counted at once.
-BLOCK = 1 << 14
-
-
-def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
-    """The fingerprint as an unsigned number; 0 for a text without words."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII only
-    if not words:
-        return 0
-    whole = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    size = min(shingle_words, len(words))
-    spans = list(zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()))
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(spans), BLOCK):
-        hashes = [xxhash.xxh64_intdigest(whole[a:b], SEED) for a, b in spans[at : at + BLOCK]]
-        bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(spans), bitorder="little").view("<u8")[0])
+#: What lies between words.
+SPACES = r"[\x20\x09-\x0D]+"
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, bits) for every row of (doc_id, text); ``bits`` is the fingerprint as a signed long."""
+def _lowered(text: Column) -> Column:
+    """The text with A-Z made lower-case; where all characters are single bytes, ``lower`` does just that."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.array([fingerprint(t, shingle_words) for t in batch.column("text").to_pylist()], np.uint64)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "bits"]
-        )
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, bits) for every row of (doc_id, text); ``bits`` is the fingerprint as a signed long, 0 for a text without words.
 
-    return arrow_map(docs, work, "doc_id long, bits long")
+    Shingles are hashed and their bits counted row by row in generated code; a document leaves its task as 32 longs.
+    Each long counts two bits, 32 places apart, so a text may have 2**31 shingles.
+    """
+    words = F.array_remove(F.split(_lowered(F.coalesce("text", F.lit(""))), SPACES, -1), "")
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words.alias("words"))
+    last = F.greatest(F.size("words") - shingle_words, F.lit(0))
+    placed = rows.select("doc_id", "row", "words", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+    # Places after the last word are NULL, which concat_ws leaves out.
+    shingle = F.concat_ws(" ", *[F.get("words", F.col("at") + n) for n in range(shingle_words)])
+    hashed = placed.select("doc_id", "row", F.when(F.size("words") > 0, F.xxhash64(shingle)).alias("hash"))
+    pair = F.lit((1 << 32) | 1)
+    sums = [F.sum(F.shiftrightunsigned("hash", bit).bitwiseAND(pair)).alias(f"bits{bit}") for bit in range(32)]
+    counted = hashed.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.count("hash").alias("n"), *sums)
+    found = F.lit(0).cast("long")
+    for bit in range(32):
+        both = F.col(f"bits{bit}")
+        for place, count in ((bit, both.bitwiseAND(F.lit((1 << 32) - 1))), (bit + 32, F.shiftrightunsigned(both, 32))):
+            value = F.shiftleft(F.lit(1).cast("long"), place)
+            found = found.bitwiseOR(F.when(count * 2 > F.col("n"), value).otherwise(F.lit(0).cast("long")))
+    return counted.select("doc_id", found.alias("bits"))
 
 
 def _ball(center: np.ndarray, steps: int, most: int) -> np.ndarray:
